@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import groups
+from quarry.functions.columns import suffix_label
+from quarry.operators import grid, groups
+from quarry.plans import logs
+from quarry.sources import tables
 from quarry.sources.readers import read_table
 
 # Groups of interest for the per-group counts (the stand-in for the three
@@ -51,10 +54,47 @@ def q_top_n_vs_rest(spark, sf_dir):
                                 item_label_col="host")
 
 
+# Fixed values of this catalogue: page host suffix -> class.
+PAGE_SUFFIXES = {".com": "commercial", ".net": "network", ".org": "organisation"}
+URL_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
+
+
+def q_log_parse(spark, sf_dir):
+    lines = tables.access_log_lines(_t(spark, sf_dir, "events"))
+    return logs.parse_access_log(lines)
+
+
+def q_suffix_class(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", URL_HOST, 1)
+    labelled = pages.select(suffix_label(host, PAGE_SUFFIXES).alias("host_class"))
+    return groups.group_counts(labelled, "host_class", "n_pages")
+
+
+def q_calendar_parts(spark, sf_dir):
+    lines = tables.access_log_lines(_t(spark, sf_dir, "events"))
+    parsed = logs.parse_access_log(lines, keep_malformed=False)
+    return grid.day_hour_counts(parsed, [], "ts", "n")
+
+
+def q_dense_grid(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return logs.top_item_activity_grid(ev, "event_type", "user_id", "ts", "n")
+
+
+def q_pivot_grid(spark, sf_dir):
+    return grid.pivot_hours(q_dense_grid(spark, sf_dir), ["event_type", "user_id", "day"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_counts": q_group_counts,
     "group_distinct": q_group_distinct,
     "class_distribution": q_class_distribution,
     "top_n_per_group": q_top_n_per_group,
     "top_n_vs_rest": q_top_n_vs_rest,
+    "log_parse": q_log_parse,
+    "suffix_class": q_suffix_class,
+    "calendar_parts": q_calendar_parts,
+    "dense_grid": q_dense_grid,
+    "pivot_grid": q_pivot_grid,
 }

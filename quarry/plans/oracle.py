@@ -8,6 +8,28 @@ from __future__ import annotations
 
 _TYPES = "('click', 'purchase', 'signup')"
 
+_DENSE_GRID = """
+    WITH c AS (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL),
+    top AS (SELECT event_type, user_id FROM (
+              SELECT *, row_number() OVER (PARTITION BY event_type
+                                           ORDER BY n DESC, user_id) AS rk FROM c)
+            WHERE rk = 1),
+    cnt AS (SELECT event_type, user_id, CAST(ts AS DATE) AS day,
+                   CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
+            FROM events SEMI JOIN top USING (event_type, user_id) GROUP BY ALL),
+    b AS (SELECT event_type, user_id, min(day) AS lo, max(day) AS hi FROM cnt GROUP BY ALL),
+    spine AS (SELECT event_type, user_id, CAST(d AS DATE) AS day, CAST(h AS INTEGER) AS hour
+              FROM b, unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                             INTERVAL 1 DAY)) AS g(d),
+                   range(24) AS r(h))
+    SELECT s.event_type, s.user_id, s.day, s.hour, coalesce(cnt.n, 0) AS n
+    FROM spine s LEFT JOIN cnt USING (event_type, user_id, day, hour)"""
+
+_HOURS = ",\n".join(f"coalesce(max(n) FILTER (WHERE hour = {h}), 0) AS h{h:02d}"
+                     for h in range(24))
+
+_URL_HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)"
+
 ORACLE_SQL: dict[str, str] = {
     "group_counts": f"""
         SELECT event_type, count(*) AS n_requests
@@ -45,4 +67,27 @@ ORACLE_SQL: dict[str, str] = {
         SELECT g.event_type, host, n_requests, rank,
                floor(n_requests * 10000.0::DOUBLE / total + 0.5) / 100 AS pct
         FROM g JOIN t USING (event_type)""",
+    "log_parse": """
+        SELECT 'u' || user_id || '.' || event_type AS host,
+               date_trunc('second', ts) AS ts, '-0400' AS tz_offset,
+               'GET /' || event_type || '/' || event_id || ' HTTP/1.0' AS request,
+               CASE WHEN event_type = 'error' THEN 500
+                    WHEN event_type = 'signup' THEN 302 ELSE 200 END AS status,
+               CASE WHEN event_type <> 'error' THEN CAST(floor(value * 100.0::DOUBLE) AS BIGINT)
+               END AS size,
+               false AS malformed
+        FROM events""",
+    "suffix_class": f"""
+        SELECT CASE lower(regexp_extract({_URL_HOST}, '(\\.[^.]+)$', 1))
+                 WHEN '.com' THEN 'commercial' WHEN '.net' THEN 'network'
+                 WHEN '.org' THEN 'organisation' ELSE 'Other' END AS host_class,
+               count(*) AS n_pages
+        FROM pages GROUP BY ALL""",
+    "calendar_parts": """
+        SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
+        FROM events GROUP BY ALL""",
+    "dense_grid": _DENSE_GRID,
+    "pivot_grid": f"""
+        SELECT event_type, user_id, day, {_HOURS}
+        FROM ({_DENSE_GRID}) GROUP BY event_type, user_id, day""",
 }
