@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import suffix_label
-from quarry.operators import grid, groups
+from quarry.operators import features, grid, groups, sampling
 from quarry.plans import logs
 from quarry.sources import tables
 from quarry.sources.readers import read_table
@@ -86,6 +86,72 @@ def q_pivot_grid(spark, sf_dir):
     return grid.pivot_hours(q_dense_grid(spark, sf_dir), ["event_type", "user_id", "day"])
 
 
+# Fixed values of this catalogue: per-class sampling fractions.
+SAMPLE_FRACTIONS = {"F": 0.1, "O": 0.2, "P": 0.3}
+SCALED = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def q_claim_labels(spark, sf_dir):
+    claims = tables.claims_table(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    lab = features.claim_labels(claims)
+    return lab.select("policy_id", "nz_claim", "pp_claim_nb",
+                      F.round("log_claim_nb", 12).alias("log_claim_nb"))
+
+
+def _status(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+
+
+def q_stratified_split(spark, sf_dir):
+    return sampling.stratified_split(_status(spark, sf_dir), "o_orderstatus", "o_orderkey",
+                                     0.7, seed=14)
+
+
+def q_holdout_split(spark, sf_dir):
+    return sampling.holdout_split(_status(spark, sf_dir), "o_orderstatus", "o_orderkey",
+                                  0.7, 0.9, seed=14, inner_seed=15)
+
+
+def q_stratified_sample(spark, sf_dir):
+    return sampling.stratified_sample(_status(spark, sf_dir), "o_orderstatus", "o_orderkey",
+                                      SAMPLE_FRACTIONS, seed=7)
+
+
+def q_temporal_split(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return (sampling.temporal_split(orders, "o_orderdate", "o_orderkey", (0.4, 0.6, 0.8))
+            .select("train_frac", "o_orderkey", "split"))
+
+
+def q_category_index(spark, sf_dir):
+    return features.category_index(_t(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+def q_one_hot(spark, sf_dir):
+    return features.one_hot_sparse(_t(spark, sf_dir, "orders"), "o_orderpriority", "o_orderkey")
+
+
+def q_scale_features(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *SCALED)
+    out = features.scale_columns(li, SCALED)
+    return out.select("l_orderkey", "l_linenumber",
+                      *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in SCALED])
+
+
+def q_standardise_vectors(spark, sf_dir):
+    emb = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    z, _ = features.standardise_array(emb, "embedding", "z")
+    return z.select("vec_id", F.posexplode("z").alias("dim", "z")).select(
+        "vec_id", F.col("dim").cast("int"), F.round("z", 6).alias("z"))
+
+
+def q_matrix_transpose(spark, sf_dir):
+    long = tables.count_matrix_long(_t(spark, sf_dir, "embeddings"))
+    long = long.select(F.col("row_label").alias("vec_id"), "col_pos", "n")
+    return grid.transpose_long(long, "vec_id", "col_pos", "n").select(
+        F.col("vec_id").alias("row_label"), F.col("col_pos").alias("column_label"), "n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_counts": q_group_counts,
     "group_distinct": q_group_distinct,
@@ -97,4 +163,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calendar_parts": q_calendar_parts,
     "dense_grid": q_dense_grid,
     "pivot_grid": q_pivot_grid,
+    "claim_labels": q_claim_labels,
+    "stratified_split": q_stratified_split,
+    "holdout_split": q_holdout_split,
+    "stratified_sample": q_stratified_sample,
+    "temporal_split": q_temporal_split,
+    "category_index": q_category_index,
+    "one_hot": q_one_hot,
+    "scale_features": q_scale_features,
+    "standardise_vectors": q_standardise_vectors,
+    "matrix_transpose": q_matrix_transpose,
 }

@@ -30,6 +30,31 @@ _HOURS = ",\n".join(f"coalesce(max(n) FILTER (WHERE hour = {h}), 0) AS h{h:02d}"
 
 _URL_HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)"
 
+_SPLIT = """
+    WITH t AS (SELECT o_orderkey, o_orderstatus,
+                      md5('{seed}:' || CAST(o_orderkey AS VARCHAR)) AS h FROM {src}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, o_orderkey) AS rn,
+                 count(*) OVER (PARTITION BY o_orderstatus) AS cnt FROM t)
+    SELECT o_orderkey, o_orderstatus,
+           CASE WHEN rn <= (cnt * {bp}) // 10000 THEN '{a}' ELSE '{b}' END AS split FROM r"""
+
+_OUTER = _SPLIT.format(seed=14, src="orders", bp=7000, a="train", b="test")
+
+
+def _thr(f):
+    return format(int(f * 16 ** 8), "08x")
+
+
+_CAT_INDEX = """
+    SELECT o_orderpriority, n,
+           CAST(row_number() OVER (ORDER BY n DESC, o_orderpriority) - 1 AS INTEGER) AS idx
+    FROM (SELECT o_orderpriority, count(*) AS n FROM orders
+          WHERE o_orderpriority IS NOT NULL GROUP BY ALL)"""
+
+_LONG = """
+    SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
+           CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings"""
+
 ORACLE_SQL: dict[str, str] = {
     "group_counts": f"""
         SELECT event_type, count(*) AS n_requests
@@ -90,4 +115,55 @@ ORACLE_SQL: dict[str, str] = {
     "pivot_grid": f"""
         SELECT event_type, user_id, day, {_HOURS}
         FROM ({_DENSE_GRID}) GROUP BY event_type, user_id, day""",
+    "claim_labels": """
+        WITH r AS (SELECT l_orderkey, count(*) AS c FROM lineitem
+                   WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+        c AS (SELECT o_orderkey AS policy_id, CAST(coalesce(r.c, 0) AS DOUBLE) AS claim_nb
+              FROM orders LEFT JOIN r ON o_orderkey = r.l_orderkey),
+        s AS (SELECT policy_id, claim_nb,
+                     CAST(CASE WHEN claim_nb = 0 THEN 0.5 ELSE claim_nb END AS DOUBLE) AS pp
+              FROM c)
+        SELECT policy_id, CAST(CASE WHEN claim_nb > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS nz_claim,
+               pp AS pp_claim_nb, round(ln(pp), 12) AS log_claim_nb
+        FROM s""",
+    "stratified_split": _OUTER,
+    "holdout_split": f"""
+        WITH o AS ({_OUTER}),
+        tr AS (SELECT o_orderkey, o_orderstatus FROM o WHERE split = 'train'),
+        i AS ({_SPLIT.format(seed=15, src="tr", bp=9000, a="fit", b="validate")})
+        SELECT * FROM i UNION ALL SELECT * FROM o WHERE split = 'test'""",
+    "stratified_sample": f"""
+        SELECT o_orderkey, o_orderstatus FROM orders
+        WHERE substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 8) <
+              CASE o_orderstatus WHEN 'F' THEN '{_thr(0.1)}' WHEN 'O' THEN '{_thr(0.2)}'
+                                 WHEN 'P' THEN '{_thr(0.3)}' END""",
+    "temporal_split": """
+        WITH r AS (SELECT o_orderkey,
+                          row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn,
+                          count(*) OVER () AS cnt FROM orders),
+        f AS (SELECT * FROM (VALUES (0.4, 4000), (0.6, 6000), (0.8, 8000)) AS v(train_frac, bp))
+        SELECT CAST(f.train_frac AS DOUBLE) AS train_frac, o_orderkey,
+               CASE WHEN rn <= (cnt * bp) // 10000 THEN 'train' ELSE 'test' END AS split
+        FROM r CROSS JOIN f""",
+    "category_index": _CAT_INDEX,
+    "one_hot": f"""
+        WITH i AS ({_CAT_INDEX}), k AS (SELECT count(*) AS k FROM i)
+        SELECT o_orderkey, o.o_orderpriority,
+               CASE WHEN idx < k - 1 THEN idx END AS slot, CAST(k - 1 AS INTEGER) AS width
+        FROM orders o LEFT JOIN i USING (o_orderpriority) CROSS JOIN k""",
+    "scale_features": """
+        SELECT l_orderkey, l_linenumber,
+               round(l_quantity / stddev_samp(l_quantity) OVER (), 6) AS l_quantity_scaled,
+               round(l_extendedprice / stddev_samp(l_extendedprice) OVER (), 6)
+                   AS l_extendedprice_scaled,
+               round(l_discount / stddev_samp(l_discount) OVER (), 6) AS l_discount_scaled
+        FROM lineitem""",
+    "standardise_vectors": f"""
+        WITH l AS ({_LONG})
+        SELECT vec_id, dim,
+               round((x - avg(x) OVER (PARTITION BY dim)) / stddev_samp(x) OVER (PARTITION BY dim),
+                     6) AS z
+        FROM l""",
+    "matrix_transpose": f"""
+        SELECT dim AS row_label, vec_id AS column_label, x AS n FROM ({_LONG})""",
 }
