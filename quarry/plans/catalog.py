@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import suffix_label
-from quarry.operators import features, grid, groups, sampling
+from quarry.operators import features, grid, groups, metrics, sampling
 from quarry.plans import logs
 from quarry.sources import tables
 from quarry.sources.readers import read_table
@@ -152,6 +152,37 @@ def q_matrix_transpose(spark, sf_dir):
         F.col("vec_id").alias("row_label"), F.col("col_pos").alias("column_label"), "n")
 
 
+# Fixed values of this catalogue: the scores being evaluated.
+SCORE_INTERCEPT, SCORE_SLOPE = 10.0, 0.1      # prediction of events.value from user_id
+LONG_DOC_CHARS = 2000                          # "good quality" when a doc is this long
+
+
+def q_regression_metrics(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    pred = F.lit(SCORE_INTERCEPT) + F.lit(SCORE_SLOPE) * F.col("user_id")
+    m = metrics.regression_metrics(ev, "value", pred, by=["event_type"])
+    return m.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "mse")])
+
+
+def _labelled_docs(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return docs.join(_t(spark, sf_dir, "labels"), "doc_id")
+
+
+def q_accuracy_score(spark, sf_dir):
+    d = _labelled_docs(spark, sf_dir)
+    pred = (F.col("n_chars") >= LONG_DOC_CHARS).cast("double")
+    r = metrics.classification_report(d, "quality", pred)
+    return r.select("n", F.round("accuracy", 12).alias("accuracy"), "tp", "fp", "tn", "fn")
+
+
+def q_auc_score(spark, sf_dir):
+    d = _labelled_docs(spark, sf_dir)
+    long = d.unpivot("n_chars", ["quality", "toxic"], "label_name", "label")
+    r = metrics.area_under_roc(long, "n_chars", "label", by=["label_name"])
+    return r.select("label_name", F.round("auc", 12).alias("auc"), "n_pos", "n_neg")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_counts": q_group_counts,
     "group_distinct": q_group_distinct,
@@ -173,4 +204,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scale_features": q_scale_features,
     "standardise_vectors": q_standardise_vectors,
     "matrix_transpose": q_matrix_transpose,
+    "regression_metrics": q_regression_metrics,
+    "accuracy_score": q_accuracy_score,
+    "auc_score": q_auc_score,
 }

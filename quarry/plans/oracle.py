@@ -166,4 +166,38 @@ ORACLE_SQL: dict[str, str] = {
         FROM l""",
     "matrix_transpose": f"""
         SELECT dim AS row_label, vec_id AS column_label, x AS n FROM ({_LONG})""",
+    "regression_metrics": """
+        WITH d AS (SELECT event_type, (10.0::DOUBLE + 0.1::DOUBLE * user_id) - value AS d
+                   FROM events)
+        SELECT event_type, count(d) AS n, round(sqrt(avg(d * d)), 6) AS rmse,
+               round(avg(abs(d)), 6) AS mae, round(avg(d * d), 6) AS mse
+        FROM d GROUP BY event_type""",
+    "accuracy_score": """
+        WITH d AS (SELECT CAST(quality AS DOUBLE) AS y,
+                          CASE WHEN n_chars >= 2000 THEN 1.0 ELSE 0.0 END::DOUBLE AS p
+                   FROM documents JOIN labels USING (doc_id))
+        SELECT count(*) AS n, round(avg(CAST(y = p AS DOUBLE)), 12) AS accuracy,
+               count(*) FILTER (WHERE y = 1 AND p = 1) AS tp,
+               count(*) FILTER (WHERE y <> 1 AND p = 1) AS fp,
+               count(*) FILTER (WHERE y <> 1 AND p <> 1) AS tn,
+               count(*) FILTER (WHERE y = 1 AND p <> 1) AS fn
+        FROM d""",
+    "auc_score": """
+        WITH d AS (SELECT CAST(n_chars AS DOUBLE) AS s, label_name, label
+                   FROM (SELECT n_chars, quality, toxic FROM documents JOIN labels USING (doc_id))
+                   UNPIVOT (label FOR label_name IN (quality, toxic))),
+        r AS (SELECT label_name, label,
+                     (rank() OVER (PARTITION BY label_name ORDER BY s)
+                      + count(*) OVER (PARTITION BY label_name, s) - 1
+                      + rank() OVER (PARTITION BY label_name ORDER BY s)) / 2.0 AS midrank
+              FROM d)
+        SELECT label_name,
+               round((sum(midrank) FILTER (WHERE label = 1)
+                      - count(*) FILTER (WHERE label = 1)
+                        * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+                     / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label <> 1))
+                       ::DOUBLE, 12) AS auc,
+               count(*) FILTER (WHERE label = 1) AS n_pos,
+               count(*) FILTER (WHERE label <> 1) AS n_neg
+        FROM r GROUP BY label_name""",
 }
