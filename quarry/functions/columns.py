@@ -83,3 +83,15 @@ def suffix_label(host: str | Column, mapping: Mapping[str, str],
         pairs += [F.lit(k.lower()), F.lit(v)]
     lookup = F.create_map(*pairs)
     return F.coalesce(F.try_element_at(lookup, suffix), F.lit(default))
+
+
+def round_sig(col: str | Column, digits: int) -> Column:
+    """Round a double to ``digits`` significant digits (0 stays 0).
+
+    ``round(x / 10**e, digits - 1) * 10**e`` with ``e = floor(log10 |x|)``;
+    every step is a plain IEEE operation, so other SQL engines reproduce it.
+    """
+    x = _c(col).cast("double")
+    e = F.floor(F.log10(F.abs(x)))
+    scale = F.pow(F.lit(10.0), e)
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / scale, digits - 1) * scale)

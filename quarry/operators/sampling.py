@@ -13,9 +13,10 @@ Exact "first k rows of each group in a total order" is computed by a
    of it or only part of it falls within the first k;
 3. only the one boundary bucket per group is refined with a finer bucket
    (and, at the last level, ranked row by row);
-4. one final pass over the data joins the small decision tables (AQE
-   broadcasts them when their measured size allows, and keeps a shuffle
-   join otherwise).
+4. the decided rows get their flag by joining the small decision tables
+   (AQE broadcasts them when their measured size allows, and keeps a
+   shuffle join otherwise); the few rows of the last boundary bucket get
+   theirs from the row-by-row rank.
 
 So the data is scanned a few times with pruned columns, but never sorted
 or shuffled as a whole, and no group -- however large -- is ranked in one
@@ -47,12 +48,13 @@ def head_target(bp: int | str) -> Callable[[Column], Column]:
     return f
 
 
-def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str], key: str,
+def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
                  levels: Sequence[Column], target: Callable[[Column], Column],
                  flag_col: str = "_head") -> DataFrame:
     """Flag the first ``target(n_group)`` rows of each ``by`` group.
 
-    ``order`` is a total order ending with the unique ``key``.  ``levels``
+    ``order`` sorts the rows completely (rows equal in all its columns are
+    interchangeable).  ``levels``
     are bucket expressions, each consistent with ``order`` and each a
     refinement of the previous one (e.g. day, then the exact timestamp).
     """
@@ -82,16 +84,20 @@ def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str], key: st
         boundary = (hist.filter(F.col("_state").isNull())
                     .select(*part, bcols[i], (F.col("_need") - F.col("_before")).alias("_need")))
     last = by + bcols
+    flags = [F.col(f"_s{i}") for i in range(nb)]
+    decided = d
+    for i, dec in enumerate(decisions):
+        decided = decided.join(dec, by + bcols[: i + 1], "left")
+    decided = (decided.filter(F.coalesce(*flags).isNotNull())
+               .withColumn(flag_col, F.coalesce(*flags))
+               .drop(*[f"_s{i}" for i in range(nb)]))
+    # Rows of the last boundary bucket are ranked row by row.  Rows equal in
+    # every ``order`` column are interchangeable, so no unique key is needed.
     rank = Window.partitionBy(*last).orderBy(*[F.col(c) for c in order])
     ranked = (d.join(boundary, last)
-              .select(*by, key, (F.row_number().over(rank) <= F.col("_need")).alias("_sr")))
-    out = d
-    for i, dec in enumerate(decisions):
-        out = out.join(dec, by + bcols[: i + 1], "left")
-    out = out.join(ranked, by + [key], "left")
-    flag = F.coalesce(*[F.col(f"_s{i}") for i in range(nb)], F.col("_sr"), F.lit(False))
-    return (out.withColumn(flag_col, flag)
-            .drop(*bcols, *[f"_s{i}" for i in range(nb)], "_sr"))
+              .withColumn(flag_col, F.row_number().over(rank) <= F.col("_need"))
+              .drop("_need"))
+    return decided.unionByName(ranked).drop(*bcols)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, ratio: float = 0.7,
@@ -107,7 +113,7 @@ def stratified_split(df: DataFrame, label: str, key: str, ratio: float = 0.7,
     """
     d = df.withColumn("_h", hash_order_key(F.col(key), seed))
     levels = [F.substring("_h", 1, n) for n in hex_levels]
-    flagged = ordered_head(d, [label], ["_h", key], key, levels, head_target(_bp(ratio)))
+    flagged = ordered_head(d, [label], ["_h", key], levels, head_target(_bp(ratio)))
     return (flagged.withColumn(split_col, F.when(F.col("_head"), F.lit(names[0]))
                                .otherwise(F.lit(names[1])))
             .drop("_h", "_head"))
@@ -145,7 +151,7 @@ def stratified_sample(df: DataFrame, label: str, key: str,
     return df.filter(prefix < F.lit(threshold_hex(fractions, digits)))
 
 
-def temporal_split(df: DataFrame, ts: str, key: str,
+def temporal_split(df: DataFrame, ts: str, key: str | Sequence[str],
                    fractions: Sequence[float] = (0.4, 0.6, 0.8),
                    frac_col: str = "train_frac", split_col: str = "split",
                    day_level: bool = True) -> DataFrame:
@@ -160,7 +166,8 @@ def temporal_split(df: DataFrame, ts: str, key: str,
     d = (df.withColumn("_fs", F.explode(spec))
          .withColumn(frac_col, F.col("_fs.f")).withColumn("_fbp", F.col("_fs.bp")).drop("_fs"))
     levels = ([F.date_trunc("day", F.col(ts))] if day_level else []) + [F.col(ts)]
-    flagged = ordered_head(d, [frac_col, "_fbp"], [ts, key], key, levels, head_target("_fbp"))
+    keys = [key] if isinstance(key, str) else list(key)
+    flagged = ordered_head(d, [frac_col, "_fbp"], [ts, *keys], levels, head_target("_fbp"))
     return (flagged.withColumn(split_col, F.when(F.col("_head"), F.lit("train"))
                                .otherwise(F.lit("test")))
             .drop("_head", "_fbp"))

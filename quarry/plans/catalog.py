@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import suffix_label
+from quarry.functions.columns import round_sig, suffix_label
 from quarry.operators import features, grid, groups, metrics, sampling
-from quarry.plans import logs
+from quarry.plans import claims, logs
 from quarry.sources import tables
 from quarry.sources.readers import read_table
 
@@ -183,6 +183,33 @@ def q_auc_score(spark, sf_dir):
     return r.select("label_name", F.round("auc", 12).alias("auc"), "n_pos", "n_neg")
 
 
+def _claims(spark, sf_dir):
+    return tables.claims_table(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+
+
+def _claim_report(name):
+    def q(spark, sf_dir):
+        m, c = claims.claim_models(spark, _claims(spark, sf_dir), [name], [0.001])
+        return claims.report(m, c)
+    q.__name__ = f"q_{name}"
+    return q
+
+
+def q_validation_curve(spark, sf_dir):
+    return claims.validation_curve(spark, _claims(spark, sf_dir))
+
+
+def _linear(alpha):
+    def q(spark, sf_dir):
+        from quarry.operators.linear import one_feature_paths
+        li = _t(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+        out = one_feature_paths(spark, li, "l_quantity", "l_extendedprice", alpha,
+                                claims.REG_PARAMS)
+        return out.select("reg_param", round_sig("slope", 7).alias("slope"),
+                          round_sig("intercept", 7).alias("intercept"))
+    return q
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_counts": q_group_counts,
     "group_distinct": q_group_distinct,
@@ -207,4 +234,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regression_metrics": q_regression_metrics,
     "accuracy_score": q_accuracy_score,
     "auc_score": q_auc_score,
+    "linear_l1": _linear(1.0),
+    "linear_l2": _linear(0.0),
+    "poisson_fit": _claim_report("glm_poisson"),
+    "logistic_l1": _claim_report("logistic_l1"),
+    "logistic_l2": _claim_report("logistic_l2"),
+    "validation_curve": q_validation_curve,
 }

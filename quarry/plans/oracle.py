@@ -55,6 +55,24 @@ _LONG = """
     SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
            CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings"""
 
+
+def _sig(x, d=7):
+    return (f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / pow(10.0, floor(log10(abs({x})))), {d - 1})"
+            f" * pow(10.0, floor(log10(abs({x})))) END")
+
+
+def _linear(slope_expr):
+    return f"""
+        WITH s AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, avg(l_quantity) AS mx,
+                          avg(l_extendedprice) AS my, stddev_pop(l_quantity) AS sx,
+                          stddev_pop(l_extendedprice) AS sy FROM lineitem),
+        r AS (SELECT CAST(reg_param AS DOUBLE) AS reg_param
+              FROM (VALUES (0.001), (0.01), (0.1), (1.0), (10.0)) AS v(reg_param)),
+        w AS (SELECT reg_param, {slope_expr} AS slope, my, mx FROM r CROSS JOIN s)
+        SELECT reg_param, {_sig("slope")} AS slope, {_sig("(my - slope * mx)")} AS intercept
+        FROM w"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "group_counts": f"""
         SELECT event_type, count(*) AS n_requests
@@ -200,4 +218,8 @@ ORACLE_SQL: dict[str, str] = {
                count(*) FILTER (WHERE label = 1) AS n_pos,
                count(*) FILTER (WHERE label <> 1) AS n_neg
         FROM r GROUP BY label_name""",
+    # Lasso / ridge with one standardised feature have closed forms.
+    "linear_l1": _linear("CASE WHEN b > 0 THEN greatest(b - reg_param / sx, 0.0) "
+                         "ELSE least(b + reg_param / sx, 0.0) END"),
+    "linear_l2": _linear("b / (1.0 + reg_param / sy)"),
 }
