@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.columns import round_sig, suffix_label
 from quarry.operators import features, grid, groups, metrics, sampling
-from quarry.plans import claims, logs
+from quarry.plans import classifier, claims, logs, papers, recommender
 from quarry.sources import tables
 from quarry.sources.readers import read_table
 
@@ -210,6 +210,68 @@ def _linear(alpha):
     return q
 
 
+def _ratings(spark, sf_dir):
+    return tables.ratings_table(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders"))
+
+
+def q_recommender_backtest(spark, sf_dir):
+    m, _ = recommender.backtest(spark, _ratings(spark, sf_dir))
+    return m
+
+
+def _setting_b(spark, sf_dir):
+    parts = recommender.temporal_parts(_ratings(spark, sf_dir))
+    _, fitted = recommender.backtest(spark, None, {"B": recommender.SETTINGS["B"]},
+                                     parts=parts)
+    movies = tables.movies_table(_t(spark, sf_dir, "part"))
+    return recommender.cluster_genres(parts, fitted, movies)
+
+
+def q_taste_clusters(spark, sf_dir):
+    sizes, _ = _setting_b(spark, sf_dir)
+    return sizes.select("train_frac", "position", "cluster", "size")
+
+
+def q_cluster_genres(spark, sf_dir):
+    _, genres = _setting_b(spark, sf_dir)
+    return genres.select("train_frac", "rank", "genre", "n")
+
+
+def q_genre_top_k(spark, sf_dir):
+    cust = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("user_id"),
+                                                "c_mktsegment")
+    rated = _ratings(spark, sf_dir).join(cust, "user_id")
+    movies = tables.movies_table(_t(spark, sf_dir, "part"))
+    return recommender.top_genres(rated, movies, ["c_mktsegment"], 10, delimiter=" ")
+
+
+def q_paper_projection(spark, sf_dir):
+    long = tables.count_matrix_long(_t(spark, sf_dir, "embeddings"))
+    long = long.select("row_label", F.col("col_pos").alias("column_label"), "n")
+    coords, _ = papers.paper_projection(long)
+    return coords.select(F.col("row_label").alias("paper"), "pc1", "pc2")
+
+
+def _events(spark, sf_dir):
+    return tables.collision_events(_t(spark, sf_dir, "lineitem"))
+
+
+def _search(kind):
+    def q(spark, sf_dir):
+        parts, _ = classifier.prepare(_events(spark, sf_dir), tables.COLLISION_FEATURES,
+                                      "event_key")
+        cv_model, res, _ = classifier.search(parts, kind)
+        best = max(range(len(cv_model.avgMetrics)), key=lambda i: (cv_model.avgMetrics[i], -i))
+        return res.withColumn("is_best", F.col("combo") == best).withColumn("model", F.lit(kind))
+    return q
+
+
+def q_classifier_report(spark, sf_dir):
+    report, _ = classifier.classifier_report(spark, _events(spark, sf_dir),
+                                             tables.COLLISION_FEATURES, "event_key")
+    return report.select("model", "stage", "metric", "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_counts": q_group_counts,
     "group_distinct": q_group_distinct,
@@ -240,4 +302,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistic_l1": _claim_report("logistic_l1"),
     "logistic_l2": _claim_report("logistic_l2"),
     "validation_curve": q_validation_curve,
+    "recommender_backtest": q_recommender_backtest,
+    "taste_clusters": q_taste_clusters,
+    "cluster_genres": q_cluster_genres,
+    "genre_top_k": q_genre_top_k,
+    "paper_projection": q_paper_projection,
+    "forest_search": _search("forest"),
+    "boost_search": _search("boost"),
+    "classifier_report": q_classifier_report,
 }

@@ -93,12 +93,18 @@ def count_matrix_long(embeddings: DataFrame) -> DataFrame:
     ).select("row_label", F.col("col_pos").cast("int"), F.col("n").cast("double"))
 
 
+COLLISION_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                      "line_no", "ship_doy"]
+
+
 def collision_events(lineitem: DataFrame) -> DataFrame:
-    """Binary label (returned line) + numeric features, as the classifier input."""
+    """Binary label (returned line) + numeric features, as the classifier input.
+
+    ``event_key`` identifies a line for hashing (sampling, splits, folds).
+    """
     return lineitem.select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("event_key"),
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
         F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax"),
-        F.col("l_linenumber").cast("double").alias("l_linenumber"),
-        F.dayofyear("l_shipdate").cast("double").alias("ship_doy"),
-        F.col("l_orderkey"), F.col("l_linenumber").alias("line_no"),
-        F.col("l_partkey"), F.col("l_suppkey"))
+        F.col("l_linenumber").cast("double").alias("line_no"),
+        F.dayofyear("l_shipdate").cast("double").alias("ship_doy"))
