@@ -32,15 +32,17 @@ def dense_grid(counts: DataFrame, keys: Sequence[str], n_col: str = "n",
     """Every (day in [min, max] of the key) x (hour 0..23) cell; missing = 0.
 
     ``counts`` holds one row per (keys, day, hour) that occurred.  The spine
-    is a subset-free superset of the data by construction (its bounds come
-    from the same rows), so a left join from the spine loses nothing.
+    is a superset of the data by construction (its bounds come from the same
+    rows), so a left join from the spine loses nothing; keys are matched
+    null-safely.  Rows without a timestamp have no cell.
     """
     keys = list(keys)
     bounds = counts.groupBy(*keys).agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
     spine = (bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY")))
                            .alias(day_col))
              .select(*keys, day_col, F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour_col)))
-    return (spine.join(counts, keys + [day_col, hour_col], "left")
+    from quarry.operators.joins import join_null_safe
+    return (join_null_safe(spine, counts, keys + [day_col, hour_col], "left")
             .select(*keys, day_col, hour_col,
                     F.coalesce(F.col(n_col), F.lit(0).cast("long")).alias(n_col)))
 

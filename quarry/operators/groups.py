@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import half_up_pct
+from quarry.operators.joins import join_null_safe
 
 
 def _list(cols: str | Sequence[str]) -> list[str]:
@@ -104,14 +105,14 @@ def top_n_vs_rest(df: DataFrame, keys: str | Sequence[str], item: str, n: int =
     totals = counted.groupBy(*keys).agg(F.sum(count_col).alias("_total"),
                                         F.count(F.lit(1)).alias("_items"))
     top_sum = top.groupBy(*keys).agg(F.sum(count_col).alias("_top"))
-    rest = (totals.join(top_sum, keys).filter(F.col("_items") > n)
+    rest = (join_null_safe(totals, top_sum, keys).filter(F.col("_items") > n)
             .select(*keys, F.lit(rest_label).alias(label_col),
                     (F.col("_total") - F.col("_top")).alias(count_col),
                     F.lit(n + 1).alias(rank_col)))
     head = top.select(*keys, F.col(item).cast("string").alias(label_col),
                       F.col(count_col), F.col(rank_col))
     both = head.unionByName(rest)
-    return (both.join(totals.select(*keys, "_total"), keys)
+    return (join_null_safe(both, totals.select(*keys, "_total"), keys)
             .withColumn(pct_col, half_up_pct(F.col(count_col), F.col("_total")))
             .drop("_total"))
 

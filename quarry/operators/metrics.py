@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import join_null_safe
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -76,7 +78,7 @@ def area_under_roc(df: DataFrame, score: str | Column, label: str | Column,
                                    F.count(F.when(~F.col("_pos"), 1)).alias("_n"))
     probs = [i / ranges for i in range(1, ranges)]
     cuts = per.groupBy(*by).agg(F.percentile_approx("_s", probs, accuracy).alias("_cuts"))
-    per = per.join(cuts, by, "left")
+    per = join_null_safe(per, cuts, by, "left")
     per = per.withColumn("_r", F.size(F.filter("_cuts", lambda c: c < F.col("_s")))).drop("_cuts")
     rng = per.groupBy(*by, "_r").agg(F.sum("_n").alias("_rn"))
     before_range = Window.partitionBy(*by).orderBy("_r").rowsBetween(
@@ -84,7 +86,7 @@ def area_under_roc(df: DataFrame, score: str | Column, label: str | Column,
     rng = rng.withColumn("_nb", F.coalesce(F.sum("_rn").over(before_range), F.lit(0)))
     within = Window.partitionBy(*by, "_r").orderBy("_s").rowsBetween(
         Window.unboundedPreceding, -1)
-    per = (per.join(rng.select(*by, "_r", "_nb"), by + ["_r"])
+    per = (join_null_safe(per, rng.select(*by, "_r", "_nb"), by + ["_r"])
            .withColumn("_nw", F.coalesce(F.sum("_n").over(within), F.lit(0))))
     contrib = F.col("_p") * (F.col("_nb") + F.col("_nw") + F.col("_n") * F.lit(0.5))
     agg = per.groupBy(*by).agg(F.sum(contrib).alias("_u"), F.sum("_p").alias("n_pos"),

@@ -54,25 +54,30 @@ def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
     """Flag the first ``target(n_group)`` rows of each ``by`` group.
 
     ``order`` sorts the rows completely (rows equal in all its columns are
-    interchangeable).  ``levels``
-    are bucket expressions, each consistent with ``order`` and each a
-    refinement of the previous one (e.g. day, then the exact timestamp).
+    interchangeable).  ``levels`` are bucket expressions, each consistent
+    with ``order`` and each a refinement of the previous one (e.g. day, then
+    the exact timestamp).  ``target`` may use the ``by`` columns.
+
+    Groups and buckets are compared as structs, which join NULL with NULL,
+    so rows with a NULL class or timestamp are kept like any other.
     """
     by = list(by)
     nb = len(levels)
     bcols = [f"_b{i}" for i in range(nb)]
-    d = df.withColumns(dict(zip(bcols, levels)))
+    gk = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    d = df.withColumn("_gk", gk).withColumns(
+        {b: F.struct(lvl.alias("v")) for b, lvl in zip(bcols, levels)})
     decisions: list[DataFrame] = []
-    boundary = None  # by + bcols[:i] + _need, one row per undecided bucket
+    boundary = None  # _gk + bcols[:i] + _need, one row per undecided bucket
     for i in range(nb):
-        part = by + bcols[:i]
+        part = ["_gk"] + bcols[:i]
         rows = d if boundary is None else d.join(boundary.select(*part), part, "left_semi")
-        hist = rows.groupBy(*part, bcols[i]).agg(F.count(F.lit(1)).alias("_c"))
+        hist = rows.groupBy(*part, *by, bcols[i]).agg(F.count(F.lit(1)).alias("_c"))
         run = Window.partitionBy(*part).orderBy(bcols[i]).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         hist = hist.withColumn("_upto", F.sum("_c").over(run))
         if boundary is None:
-            hist = hist.withColumn("_need", target(F.sum("_c").over(Window.partitionBy(*by))))
+            hist = hist.withColumn("_need", target(F.sum("_c").over(Window.partitionBy("_gk"))))
         else:
             hist = hist.join(boundary, part)
         hist = hist.withColumn("_before", F.col("_upto") - F.col("_c"))
@@ -83,11 +88,11 @@ def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
                          .select(*part, bcols[i], F.col("_state").alias(f"_s{i}")))
         boundary = (hist.filter(F.col("_state").isNull())
                     .select(*part, bcols[i], (F.col("_need") - F.col("_before")).alias("_need")))
-    last = by + bcols
+    last = ["_gk"] + bcols
     flags = [F.col(f"_s{i}") for i in range(nb)]
     decided = d
     for i, dec in enumerate(decisions):
-        decided = decided.join(dec, by + bcols[: i + 1], "left")
+        decided = decided.join(dec, ["_gk"] + bcols[: i + 1], "left")
     decided = (decided.filter(F.coalesce(*flags).isNotNull())
                .withColumn(flag_col, F.coalesce(*flags))
                .drop(*[f"_s{i}" for i in range(nb)]))
@@ -97,7 +102,7 @@ def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
     ranked = (d.join(boundary, last)
               .withColumn(flag_col, F.row_number().over(rank) <= F.col("_need"))
               .drop("_need"))
-    return decided.unionByName(ranked).drop(*bcols)
+    return decided.unionByName(ranked).drop("_gk", *bcols)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, ratio: float = 0.7,

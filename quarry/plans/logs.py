@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions.columns import suffix_label
 from quarry.functions.logs import parse_log_line
 from quarry.operators import grid, groups
+from quarry.operators.joins import join_null_safe
 
 # Host suffixes of the countries of interest and their names.
 COUNTRY_SUFFIXES = {".de": "Germany", ".ca": "Canada", ".sg": "Singapore"}
@@ -54,6 +55,6 @@ def top_item_activity_grid(df: DataFrame, group: str, item: str, ts_col: str = "
     rows are counted.
     """
     top = groups.arg_max(df, group, item).select(group, item)
-    rows = df.join(top, [group, item], "left_semi")
+    rows = join_null_safe(df, top, [group, item], "left_semi")
     counts = grid.day_hour_counts(rows, [group, item], ts_col, n_col)
     return grid.dense_grid(counts, [group, item], n_col)

@@ -48,3 +48,11 @@ def test_distinct_and_distribution(spark):
     assert sum(r.n for r in dist) == df.count()
     approx = groups.distinct_counts(df, "g", "host", approximate=True).agg(F.sum("n_distinct"))
     assert approx.first()[0] == 24
+
+
+def test_null_group_is_kept(spark):
+    rows = [(None, f"h{i}") for i in range(12) for _ in range(i + 1)] + [("x", "h0")]
+    df = spark.createDataFrame(rows, "g string, host string")
+    out = groups.top_n_vs_rest(df, "g", "host", 9).collect()
+    assert len([r for r in out if r.g is None]) == 10
+    assert sum(r.n for r in out) == len(rows)

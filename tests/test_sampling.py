@@ -73,3 +73,13 @@ def test_kfold_column(spark):
     df = _classes(spark)
     folds = {r.fold for r in sampling.kfold_column(df, "k", 3).collect()}
     assert folds == {0, 1, 2}
+
+
+def test_null_class_and_null_time_are_kept(spark):
+    rows = [(i, None if i % 4 == 0 else "a", None if i % 5 == 0 else dt.datetime(2024, 1, 1 + i % 9))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, c string, ts timestamp_ntz")
+    s = sampling.stratified_split(df, "c", "k", 0.5).collect()
+    assert len(s) == 40 and sum(r.split == "train" for r in s if r.c is None) == 5
+    t = sampling.temporal_split(df, "ts", "k", (0.5,)).collect()
+    assert len(t) == 40 and sum(r.split == "train" for r in t) == 20
