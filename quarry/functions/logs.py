@@ -35,13 +35,26 @@ def _month_number(abbrev: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(abbrev))
 
 
+_SEP = "\u0001"      # field separator of the packed match (not in log text)
+_MARK = "\u0002"     # prefix that marks a line the pattern matched
+
+
 def parse_log_line(line: str | Column) -> list[Column]:
-    """Columns ``host, ts, tz_offset, request, status, size, malformed``."""
+    """Columns ``host, ts, tz_offset, request, status, size, malformed``.
+
+    The regular expression runs once per line: ``regexp_replace`` rewrites a
+    matching line into its 11 groups joined by a control character (and
+    leaves any other line as it was), then a single-character ``split``
+    cuts the fields apart.
+    """
     value = F.col(line) if isinstance(line, str) else line
-    ok = value.rlike(LOG_PATTERN)
+    packed = F.regexp_replace(value, LOG_PATTERN,
+                              _MARK + _SEP.join(f"${i}" for i in range(1, 12)))
+    parts = F.split(F.substring(packed, 2, 1 << 30), _SEP)
+    ok = packed.startswith(_MARK) & ~value.startswith(_MARK) & (F.size(parts) == 11)
 
     def grp(i: int) -> Column:
-        return F.when(ok, F.regexp_extract(value, LOG_PATTERN, i))
+        return F.when(ok, F.get(parts, i - 1))
 
     ts = F.try_make_timestamp_ntz(
         grp(4).cast("int"), _month_number(grp(3)), grp(2).cast("int"),
@@ -54,7 +67,7 @@ def parse_log_line(line: str | Column) -> list[Column]:
         grp(9).alias("request"),
         grp(10).cast("int").alias("status"),
         F.when(size != F.lit("-"), size.try_cast("long")).alias("size"),
-        (~ok | ok.isNull()).alias("malformed"),
+        F.coalesce(~ok, F.lit(True)).alias("malformed"),
     ]
 
 

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming source, sink, watermark or state, so there is
+nothing to build here.  Every batch job in :mod:`quarry.plans.logs` is a pure
+column/aggregate plan and can be applied unchanged to a ``readStream`` frame
+of the same schema if incremental ingestion is ever wanted.
+"""
