@@ -115,3 +115,30 @@ def standardise_array(df: DataFrame, array_col: str, out_col: str = "z",
                                             withMean=with_mean)]).fit(vec)
     out = model.transform(vec).withColumn(out_col, vector_to_array("_z")).drop("_v", "_z")
     return out, model
+
+
+def dense_ids(df: DataFrame, col: str, out_col: str) -> DataFrame:
+    """Map each distinct value of ``col`` to an int in 0..n-1 (for ALS).
+
+    ALS needs int ids; keys of a large table may not fit in an int.  The
+    distinct values are numbered within their shuffle partition, partition
+    sizes are summed to offsets on the small per-partition table, and
+    offset + local number is the id -- no global sort, no driver hop.  The
+    mapping is checkpointed (partition numbering must not change if a
+    partition is recomputed).
+    """
+    from quarry.session import ensure_checkpoint_dir
+    vals = df.select(col).filter(F.col(col).isNotNull()).distinct()
+    vals = vals.withColumn("_pid", F.spark_partition_id())
+    local = vals.withColumn("_local", F.row_number().over(
+        Window.partitionBy("_pid").orderBy(col)) - 1)
+    ensure_checkpoint_dir(df.sparkSession)
+    local = local.checkpoint(eager=True)
+    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    if total > 2 ** 31 - 1:
+        raise ValueError(f"{total} distinct values of {col} do not fit in an int id")
+    return (local.join(offsets.select("_pid", "_off"), "_pid")
+            .select(col, (F.col("_off") + F.col("_local")).cast("int").alias(out_col)))

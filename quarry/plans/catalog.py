@@ -238,7 +238,7 @@ def q_cluster_genres(spark, sf_dir):
 
 
 def q_genre_top_k(spark, sf_dir):
-    cust = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("user_id"),
+    cust = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"),
                                                 "c_mktsegment")
     rated = _ratings(spark, sf_dir).join(cust, "user_id")
     movies = tables.movies_table(_t(spark, sf_dir, "part"))

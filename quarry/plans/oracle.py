@@ -223,13 +223,12 @@ ORACLE_SQL: dict[str, str] = {
                          "ELSE least(b + reg_param / sx, 0.0) END"),
     "linear_l2": _linear("b / (1.0 + reg_param / sy)"),
     "genre_top_k": """
-        WITH r AS (SELECT CAST(o_custkey AS INTEGER) AS user_id,
-                          CAST(l_partkey AS INTEGER) AS item_id,
+        WITH r AS (SELECT o_custkey AS user_id, l_partkey AS item_id,
                           1.0::DOUBLE + (l_quantity % 5.0::DOUBLE) AS rating
                    FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
         s AS (SELECT c_mktsegment, item_id FROM r JOIN customer ON user_id = c_custkey
               GROUP BY c_mktsegment, item_id HAVING avg(rating) >= 4),
-        t AS (SELECT CAST(p_partkey AS INTEGER) AS item_id,
+        t AS (SELECT p_partkey AS item_id,
                      unnest(list_distinct(string_split(p_name, ' '))) AS genre FROM part),
         g AS (SELECT c_mktsegment, genre, count(*) AS n FROM s JOIN t USING (item_id)
               GROUP BY ALL)

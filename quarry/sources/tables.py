@@ -66,12 +66,12 @@ def claims_table(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def ratings_table(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Explicit ratings: customer (user) rates part (item) at the order date.
 
-    ``rating = 1 + l_quantity mod 5`` (1..5).  Ids are cast to int, the id
-    type ALS requires.
+    ``rating = 1 + l_quantity mod 5`` (1..5).  Ids keep their key type; the
+    recommender maps them to dense int ids for ALS.
     """
     return (lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-            .select(F.col("o_custkey").cast("int").alias("user_id"),
-                    F.col("l_partkey").cast("int").alias("item_id"),
+            .select(F.col("o_custkey").alias("user_id"),
+                    F.col("l_partkey").alias("item_id"),
                     (F.lit(1.0) + F.pmod(F.col("l_quantity"), F.lit(5.0))).alias("rating"),
                     F.col("o_orderdate").alias("ts"),
                     F.col("l_orderkey").alias("order_id"),
@@ -80,7 +80,7 @@ def ratings_table(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 def movies_table(part: DataFrame) -> DataFrame:
     """Items with a title and a delimiter-separated genre list (``p_name`` words)."""
-    return part.select(F.col("p_partkey").cast("int").alias("item_id"),
+    return part.select(F.col("p_partkey").alias("item_id"),
                        F.col("p_name").alias("title"),
                        F.col("p_name").alias("genres"))
 

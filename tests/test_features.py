@@ -46,3 +46,10 @@ def test_standardise_zero_variance(spark):
     z, _ = features.standardise_array(df, "v")
     rows = sorted((r.id, r.z) for r in z.collect())
     assert [round(x, 9) for x in rows[0][1]] == [-0.707106781, 0.0]
+
+
+def test_dense_ids_are_dense_and_unique(spark):
+    df = spark.createDataFrame([(k,) for k in [10**12, 5, 5, 7, 3 * 10**11, None]], "k long")
+    m = features.dense_ids(df, "k", "idx").collect()
+    assert sorted(r.idx for r in m) == [0, 1, 2, 3]
+    assert len({r.k for r in m}) == 4
