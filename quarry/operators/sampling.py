@@ -178,6 +178,15 @@ def temporal_split(df: DataFrame, ts: str, key: str | Sequence[str],
             .drop("_head", "_fbp"))
 
 
+def rest_of(df: DataFrame, part: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys are not in ``part`` (a left-anti join).
+
+    Bag semantics: duplicate rows of the rest are all kept (``subtract``
+    would collapse them).
+    """
+    return df.join(part.select(*keys), list(keys), "left_anti")
+
+
 def kfold_column(df: DataFrame, key: str, k: int, seed: int = 11,
                  fold_col: str = "fold") -> DataFrame:
     """Repeatable fold id 0..k-1 from the key's md5 (for ``CrossValidator(foldCol=)``)."""

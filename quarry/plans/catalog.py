@@ -248,7 +248,7 @@ def q_genre_top_k(spark, sf_dir):
 def q_paper_projection(spark, sf_dir):
     long = tables.count_matrix_long(_t(spark, sf_dir, "embeddings"))
     long = long.select("row_label", F.col("col_pos").alias("column_label"), "n")
-    coords, _ = papers.paper_projection(long)
+    coords = papers.paper_projection(long).coords
     return coords.select(F.col("row_label").alias("paper"), "pc1", "pc2")
 
 

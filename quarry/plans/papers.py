@@ -10,6 +10,8 @@ itself needs (d = number of features, at most 65,535).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,6 +22,12 @@ from pyspark.sql import types as T
 from quarry.operators import grid
 
 
+class Projection(NamedTuple):
+    coords: DataFrame
+    variance: DataFrame
+    loadings: DataFrame
+
+
 def feature_positions(long_df: DataFrame, feature_col: str) -> DataFrame:
     """Dense 0-based position per distinct feature label (sorted by label).
 
@@ -50,7 +58,8 @@ def project(vectors: DataFrame, obs_col: str, k: int = 2):
 
     Component signs are arbitrary in any eigen-solver; each is flipped so
     that its largest-magnitude loading is positive, which makes results
-    repeatable.  Returns ``(coordinates, variance)``.
+    repeatable.  Returns a :class:`Projection` (coordinates, explained
+    variance and sign-fixed loadings, all as tables).
     """
     scaler = StandardScaler(inputCol="features", outputCol="_z", withMean=True, withStd=True)
     z = scaler.fit(vectors).transform(vectors)
@@ -64,7 +73,16 @@ def project(vectors: DataFrame, obs_col: str, k: int = 2):
     variance = vectors.sparkSession.createDataFrame(
         ev, T.StructType([T.StructField("component", T.IntegerType()),
                           T.StructField("explained_variance", T.DoubleType())]))
-    return coords, variance
+    return Projection(coords, variance,
+                      loadings_table(vectors.sparkSession, pc * np.array(signs)))
+
+
+def loadings_table(spark, pc) -> DataFrame:
+    """``(feature, component, loading)`` rows of a d x k loading matrix."""
+    rows = [(i, j + 1, float(pc[i, j])) for i in range(pc.shape[0]) for j in range(pc.shape[1])]
+    return spark.createDataFrame(rows, T.StructType([
+        T.StructField("feature", T.IntegerType()), T.StructField("component", T.IntegerType()),
+        T.StructField("loading", T.DoubleType())]))
 
 
 def paper_projection(long_df: DataFrame, row_col: str = "row_label",

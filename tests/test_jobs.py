@@ -41,10 +41,20 @@ def test_temporal_parts_invariants(spark):
 def test_paper_projection_invariants(spark):
     long = tables.count_matrix_long(read_table(spark, SF_SMALL, "embeddings"))
     long = long.select("row_label", F.col("col_pos").alias("column_label"), "n")
-    coords, var = papers.paper_projection(long)
+    coords, var, _ = papers.paper_projection(long)
     ev = [r.explained_variance for r in var.orderBy("component").collect()]
     assert len(ev) == 2 and 1 >= ev[0] >= ev[1] >= 0
     assert coords.count() == 64 and coords.select("row_label").distinct().count() == 64
     # centred data: coordinates average to zero
     m = coords.agg(F.avg("pc1"), F.avg("pc2")).first()
     assert abs(m[0]) < 1e-9 and abs(m[1]) < 1e-9
+
+
+def test_pca_loadings_sign_rule(spark):
+    long = tables.count_matrix_long(read_table(spark, SF_SMALL, "embeddings"))
+    long = long.select("row_label", F.col("col_pos").alias("column_label"), "n")
+    rows = papers.paper_projection(long).loadings.collect()
+    for comp in (1, 2):
+        col = [r.loading for r in rows if r.component == comp]
+        assert max(col, key=abs) > 0
+        assert abs(sum(x * x for x in col) - 1.0) < 1e-9

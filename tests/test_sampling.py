@@ -83,3 +83,9 @@ def test_null_class_and_null_time_are_kept(spark):
     assert len(s) == 40 and sum(r.split == "train" for r in s if r.c is None) == 5
     t = sampling.temporal_split(df, "ts", "k", (0.5,)).collect()
     assert len(t) == 40 and sum(r.split == "train" for r in t) == 20
+
+
+def test_rest_of_keeps_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c")], "k long, v string")
+    part = df.filter("k = 1")
+    assert sorted(r.k for r in sampling.rest_of(df, part, ["k"]).collect()) == [2, 2, 3]
