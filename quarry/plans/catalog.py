@@ -246,10 +246,14 @@ def q_genre_top_k(spark, sf_dir):
 
 
 def q_paper_projection(spark, sf_dir):
+    # ``embeddings`` already holds one observation per row (d = 64 fixed), so
+    # no transpose: the feature count, and with it the d x d covariance on
+    # the driver, stays fixed while the rows grow with the data.  The
+    # transpose itself is the ``matrix_transpose`` query.
     long = tables.count_matrix_long(_t(spark, sf_dir, "embeddings"))
     long = long.select("row_label", F.col("col_pos").alias("column_label"), "n")
-    coords = papers.paper_projection(long).coords
-    return coords.select(F.col("row_label").alias("paper"), "pc1", "pc2")
+    coords = papers.paper_projection(long, transpose=False).coords
+    return coords.select(F.col("row_label").alias("vec_id"), "pc1", "pc2")
 
 
 def _events(spark, sf_dir):

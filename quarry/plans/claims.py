@@ -49,7 +49,7 @@ def featurize(parts: DataFrame, fit_part: str, numeric: Sequence[str] = NUMERIC,
 
 def claim_models(spark: SparkSession, claims: DataFrame,
                  names: Sequence[str] = tuple(models.MODEL_NAMES),
-                 reg_params: Sequence[float] = (0.001,), parallelism: int = 4):
+                 reg_params: Sequence[float] = (0.001,), parallelism: int = 8):
     """Fit the chosen models on the 70 % part; score train and test.
 
     Returns ``(metrics, coefficients)``.
@@ -64,7 +64,7 @@ def claim_models(spark: SparkSession, claims: DataFrame,
 def validation_curve(spark: SparkSession, claims: DataFrame,
                      names: Sequence[str] = tuple(models.MODEL_NAMES),
                      reg_params: Sequence[float] = tuple(REG_PARAMS),
-                     parallelism: int = 4) -> DataFrame:
+                     parallelism: int = 8) -> DataFrame:
     """Train score and held-out score for every model x regularisation.
 
     The 70 % training part is split again 90/10 (``fit`` / ``validate``);
