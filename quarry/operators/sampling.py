@@ -11,16 +11,22 @@ Exact "first k rows of each group in a total order" is computed by a
 1. count rows per (group, coarse bucket) -- a small table;
 2. running sums over that table tell, per bucket, whether all of it, none
    of it or only part of it falls within the first k;
-3. only the one boundary bucket per group is refined with a finer bucket
-   (and, at the last level, ranked row by row);
+3. only the one boundary bucket per group is refined with the next, finer
+   bucket level, and only until that bucket is small (levels have bounded
+   fan-out: day -> hour -> minute -> second -> ms -> exact time; integer
+   keys by 12-bit shifts; md5 by longer prefixes), so every running sum runs
+   over a few thousand histogram rows;
 4. the decided rows get their flag by joining the small decision tables
    (AQE broadcasts them when their measured size allows, and keeps a
-   shuffle join otherwise); the few rows of the last boundary bucket get
-   theirs from the row-by-row rank.
-
-So the data is scanned a few times with pruned columns, but never sorted
-or shuffled as a whole, and no group -- however large -- is ranked in one
-task.
+   shuffle join otherwise); the few rows of the last boundary bucket are
+   ranked row by row.  Rows tied on *every* order column (interchangeable)
+   beyond ``max_rank_rows`` are numbered by position per partition and
+   offsets instead, so even a third of the data tied on one value is never
+   sorted in one task.
+
+The small histograms and the flags of the boundary rows are checkpointed
+(reliable storage), so recomputing a lost partition can never move a row
+from one side to the other.
 """
 
 from __future__ import annotations
@@ -48,46 +54,90 @@ def head_target(bp: int | str) -> Callable[[Column], Column]:
     return f
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def order_levels(df: DataFrame, order: Sequence[str],
+                 first: Sequence[Column] | None = None) -> list[Column]:
+    """Bucket levels (coarse -> fine, bounded fan-out) for a sort order.
+
+    Each level is consistent with sorting by ``order`` and refines the one
+    before: timestamps by day, hour, minute, second, millisecond, exact;
+    integers by 12-bit right shifts; strings by growing prefixes; other
+    types exactly.  ``first`` replaces the levels of the first column.
+    """
+    types = dict(df.dtypes)
+    levels: list[Column] = []
+    exact: list[Column] = []
+    for i, c in enumerate(order):
+        col, t = F.col(c), types[c]
+        if i == 0 and first is not None:
+            own = list(first) + [col]
+        elif t.startswith("timestamp") or t == "date":
+            own = [F.date_trunc(u, col) for u in
+                   ("day", "hour", "minute", "second", "millisecond")] + [col]
+            if t == "date":
+                own = [col]
+        elif t in ("bigint", "int", "smallint", "tinyint"):
+            own = [F.shiftright(col.cast("long"), b) for b in (48, 36, 24, 12)] + [col]
+        elif t == "string":
+            own = [F.substring(col, 1, n) for n in (1, 2, 4, 8, 16, 32)] + [col]
+        else:
+            own = [col]
+        levels += [F.struct(*exact, lvl.alias(f"_l{i}")) if exact else lvl for lvl in own]
+        exact.append(col.alias(f"_e{i}"))
+    return levels
+
+
 def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
                  levels: Sequence[Column], target: Callable[[Column], Column],
-                 flag_col: str = "_head") -> DataFrame:
+                 flag_col: str = "_head", max_rank_rows: int = 100_000) -> DataFrame:
     """Flag the first ``target(n_group)`` rows of each ``by`` group.
 
-    ``order`` sorts the rows completely (rows equal in all its columns are
-    interchangeable).  ``levels`` are bucket expressions, each consistent
-    with ``order`` and each a refinement of the previous one (e.g. day, then
-    the exact timestamp).  ``target`` may use the ``by`` columns.
-
-    Groups and buckets are compared as structs, which join NULL with NULL,
-    so rows with a NULL class or timestamp are kept like any other.
+    ``order`` sorts the rows; rows equal in all its columns are
+    interchangeable.  ``levels`` are bucket expressions, each consistent
+    with ``order`` and each a refinement of the previous one (see
+    :func:`order_levels`); refinement stops as soon as every boundary bucket
+    holds at most ``max_rank_rows`` rows.  ``target`` may use the ``by``
+    columns.  Groups and buckets are compared as structs, which join NULL
+    with NULL, so rows with a NULL class or timestamp are kept.
     """
     by = list(by)
-    nb = len(levels)
-    bcols = [f"_b{i}" for i in range(nb)]
     gk = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
-    d = df.withColumn("_gk", gk).withColumns(
-        {b: F.struct(lvl.alias("v")) for b, lvl in zip(bcols, levels)})
+    d = df.withColumn("_gk", gk)
+    bcols: list[str] = []
     decisions: list[DataFrame] = []
-    boundary = None  # _gk + bcols[:i] + _need, one row per undecided bucket
-    for i in range(nb):
-        part = ["_gk"] + bcols[:i]
+    boundary = None  # _gk + bcols + _need + _c, one row per undecided bucket
+    for i, lvl in enumerate(levels):
+        b = f"_b{i}"
+        d = d.withColumn(b, F.struct(lvl.alias("v")))
+        part = ["_gk"] + bcols
         rows = d if boundary is None else d.join(boundary.select(*part), part, "left_semi")
-        hist = rows.groupBy(*part, *by, bcols[i]).agg(F.count(F.lit(1)).alias("_c"))
-        run = Window.partitionBy(*part).orderBy(bcols[i]).rowsBetween(
+        hist = rows.groupBy(*part, *by, b).agg(F.count(F.lit(1)).alias("_c"))
+        run = Window.partitionBy(*part).orderBy(b).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         hist = hist.withColumn("_upto", F.sum("_c").over(run))
         if boundary is None:
             hist = hist.withColumn("_need", target(F.sum("_c").over(Window.partitionBy("_gk"))))
         else:
-            hist = hist.join(boundary, part)
+            hist = hist.join(boundary.select(*part, "_need"), part)
         hist = hist.withColumn("_before", F.col("_upto") - F.col("_c"))
         state = (F.when(F.col("_upto") <= F.col("_need"), F.lit(True))
                  .when(F.col("_before") >= F.col("_need"), F.lit(False)))
-        hist = hist.withColumn("_state", state)
+        hist = _checkpoint(hist.withColumn("_state", state)
+                           .select(*part, b, "_c", "_need", "_before", "_state"))
+        bcols.append(b)
         decisions.append(hist.filter(F.col("_state").isNotNull())
-                         .select(*part, bcols[i], F.col("_state").alias(f"_s{i}")))
+                         .select(*bcols, "_gk", F.col("_state").alias(f"_s{i}")))
         boundary = (hist.filter(F.col("_state").isNull())
-                    .select(*part, bcols[i], (F.col("_need") - F.col("_before")).alias("_need")))
+                    .select(*part, b, (F.col("_need") - F.col("_before")).alias("_need"), "_c"))
+        largest = boundary.agg(F.max("_c")).first()[0]
+        if largest is None or largest <= max_rank_rows:
+            break
+    nb = len(bcols)
     last = ["_gk"] + bcols
     flags = [F.col(f"_s{i}") for i in range(nb)]
     decided = d
@@ -96,29 +146,53 @@ def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
     decided = (decided.filter(F.coalesce(*flags).isNotNull())
                .withColumn(flag_col, F.coalesce(*flags))
                .drop(*[f"_s{i}" for i in range(nb)]))
-    # Rows of the last boundary bucket are ranked row by row.  Rows equal in
-    # every ``order`` column are interchangeable, so no unique key is needed.
-    rank = Window.partitionBy(*last).orderBy(*[F.col(c) for c in order])
-    ranked = (d.join(boundary, last)
-              .withColumn(flag_col, F.row_number().over(rank) <= F.col("_need"))
-              .drop("_need"))
+    tied = d.join(boundary.drop("_c"), last)
+    largest = boundary.agg(F.max("_c")).first()[0] or 0
+    if largest <= max_rank_rows:
+        rank = Window.partitionBy(*last).orderBy(*[F.col(c) for c in order])
+        ranked = tied.withColumn(flag_col, F.row_number().over(rank) <= F.col("_need"))
+    else:
+        ranked = _positional_head(tied, last, flag_col)
+    ranked = _checkpoint(ranked.drop("_need"))
     return decided.unionByName(ranked).drop("_gk", *bcols)
 
 
+def _positional_head(tied: DataFrame, last: list[str], flag_col: str) -> DataFrame:
+    """First ``_need`` rows of each bucket whose rows are all tied.
+
+    The rows are interchangeable, so any ``_need`` of them will do: each
+    row's position is its partition's offset within the bucket (from the
+    small per-(bucket, partition) count table) plus its index inside the
+    partition -- no sort of the bucket, no single hot task.
+    """
+    t = tied.withColumn("_pid", F.spark_partition_id())
+    t = _checkpoint(t.withColumn("_ix", F.row_number().over(
+        Window.partitionBy(*last, "_pid").orderBy(F.monotonically_increasing_id())) - 1))
+    counts = t.groupBy(*last, "_pid").agg(F.count(F.lit(1)).alias("_pc"))
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_pc").over(
+        Window.partitionBy(*last).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)))
+    t = t.join(offsets.select(*last, "_pid", "_off"), last + ["_pid"])
+    return (t.withColumn(flag_col, F.col("_off") + F.col("_ix") < F.col("_need"))
+            .drop("_pid", "_ix", "_off"))
+
+
 def stratified_split(df: DataFrame, label: str, key: str, ratio: float = 0.7,
                      seed: int = 14, split_col: str = "split",
                      names: tuple[str, str] = ("train", "test"),
-                     hex_levels: tuple[int, ...] = (3, 8)) -> DataFrame:
+                     hex_levels: tuple[int, ...] = (3, 6, 9, 12, 16, 24),
+                     max_rank_rows: int = 100_000) -> DataFrame:
     """Exact stratified split: per class the first ``floor(ratio * n)`` rows
     in md5 order go to ``names[0]``, the rest to ``names[1]``.
 
     Class shares are therefore equal in both parts up to one row per class.
-    ``hex_levels`` are the md5 prefix lengths of the histogram levels; 3 and
-    8 hex digits keep the boundary bucket tiny up to ~10^11 rows per class.
+    ``hex_levels`` are the md5 prefix lengths of the histogram levels (12
+    bits of fan-out each); usually the first one or two suffice.
     """
     d = df.withColumn("_h", hash_order_key(F.col(key), seed))
-    levels = [F.substring("_h", 1, n) for n in hex_levels]
-    flagged = ordered_head(d, [label], ["_h", key], levels, head_target(_bp(ratio)))
+    levels = order_levels(d, ["_h", key], [F.substring("_h", 1, n) for n in hex_levels])
+    flagged = ordered_head(d, [label], ["_h", key], levels, head_target(_bp(ratio)),
+                           max_rank_rows=max_rank_rows)
     return (flagged.withColumn(split_col, F.when(F.col("_head"), F.lit(names[0]))
                                .otherwise(F.lit(names[1])))
             .drop("_h", "_head"))
@@ -159,20 +233,21 @@ def stratified_sample(df: DataFrame, label: str, key: str,
 def temporal_split(df: DataFrame, ts: str, key: str | Sequence[str],
                    fractions: Sequence[float] = (0.4, 0.6, 0.8),
                    frac_col: str = "train_frac", split_col: str = "split",
-                   day_level: bool = True) -> DataFrame:
+                   max_rank_rows: int = 100_000) -> DataFrame:
     """Oldest ``floor(f * n)`` rows (by ts, then key) train, the rest test.
 
     One copy of the rows per fraction ``f`` (a generator, not a join); all
-    fractions are cut in the same plan.  Levels: the day, then the exact
-    timestamp; rows sharing the boundary timestamp are ranked by key.
+    fractions are cut in the same plan.  Levels: day, hour, ..., exact time,
+    then the key columns (see :func:`order_levels`).
     """
     spec = F.array(*[F.struct(F.lit(float(f)).alias("f"), F.lit(_bp(f)).alias("bp"))
                      for f in fractions])
     d = (df.withColumn("_fs", F.explode(spec))
          .withColumn(frac_col, F.col("_fs.f")).withColumn("_fbp", F.col("_fs.bp")).drop("_fs"))
-    levels = ([F.date_trunc("day", F.col(ts))] if day_level else []) + [F.col(ts)]
     keys = [key] if isinstance(key, str) else list(key)
-    flagged = ordered_head(d, [frac_col, "_fbp"], [ts, *keys], levels, head_target("_fbp"))
+    levels = order_levels(d, [ts, *keys])
+    flagged = ordered_head(d, [frac_col, "_fbp"], [ts, *keys], levels, head_target("_fbp"),
+                           max_rank_rows=max_rank_rows)
     return (flagged.withColumn(split_col, F.when(F.col("_head"), F.lit("train"))
                                .otherwise(F.lit("test")))
             .drop("_head", "_fbp"))

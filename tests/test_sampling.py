@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -25,12 +27,14 @@ def test_stratified_split_floors_and_partition(spark):
     assert by.get("big") == 70 and by.get("mid") == 7 and by.get("one", 0) == 0
 
 
-def test_stratified_split_equals_brute_force(spark):
+@pytest.mark.parametrize("max_rank_rows", [100_000, 40, 1])
+def test_stratified_split_equals_brute_force(spark, max_rank_rows):
     rnd = random.Random(5)
     rows = [(i, rnd.choice("abc")) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, c string")
-    ours = {r.k: r.split for r in sampling.stratified_split(df, "c", "k", 0.63, seed=9,
-                                                            hex_levels=(1, 2)).collect()}
+    out = sampling.stratified_split(df, "c", "k", 0.63, seed=9, hex_levels=(1, 2),
+                                    max_rank_rows=max_rank_rows)
+    ours = {r.k: r.split for r in out.collect()}
     h = df.withColumn("h", hash_order_key(F.col("k"), 9))
     w = Window.partitionBy("c").orderBy("h", "k")
     brute = h.withColumn("rn", F.row_number().over(w)).withColumn(
@@ -89,3 +93,28 @@ def test_rest_of_keeps_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c")], "k long, v string")
     part = df.filter("k = 1")
     assert sorted(r.k for r in sampling.rest_of(df, part, ["k"]).collect()) == [2, 2, 3]
+
+
+@pytest.mark.parametrize("max_rank_rows", [100_000, 2])
+def test_temporal_split_deep_levels_equal_brute_force(spark, max_rank_rows):
+    rnd = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(rnd.randrange(50), t0 + dt.timedelta(minutes=rnd.randrange(3) * 90,
+                                                  seconds=rnd.randrange(3)))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
+    out = sampling.temporal_split(df, "ts", "k", (0.37,), max_rank_rows=max_rank_rows)
+    got = sorted((r.ts, r.k, r.split) for r in out.collect())
+    srt = sorted((t, k) for k, t in rows)
+    cut = (len(rows) * 3700) // 10000
+    want = sorted((t, k, "train" if i < cut else "test") for i, (t, k) in enumerate(srt))
+    assert got == want
+
+
+def test_massive_ties_use_positional_numbering(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(7, t0)] * 50 + [(8, t0)] * 10, "k long, ts timestamp_ntz")
+    out = sampling.temporal_split(df.repartition(4), "ts", "k", (0.5,), max_rank_rows=5)
+    rows = out.collect()
+    assert len(rows) == 60 and sum(r.split == "train" for r in rows) == 30
+    assert sum(r.split == "train" and r.k == 7 for r in rows) == 30
