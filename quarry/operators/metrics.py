@@ -60,7 +60,8 @@ def area_under_roc(df: DataFrame, score: str | Column, label: str | Column,
     AUC = sum over positives of (#negatives scored lower + 0.5 * #negatives
     tied) / (P * N), i.e. the Mann-Whitney statistic with mid-ranks.
 
-    Plan: count positives and negatives per distinct score; cut the
+    Plan: count positives and negatives per distinct score (materialised
+    once, so the input is read a single time); cut the
     distinct scores into ``ranges`` contiguous score ranges (approximate
     quantiles only choose the cut points, the result stays exact); prefix
     sums of negatives run across the small per-range table and within
@@ -76,6 +77,12 @@ def area_under_roc(df: DataFrame, score: str | Column, label: str | Column,
     s = s.filter(F.col("_s").isNotNull() & F.col("_pos").isNotNull())
     per = s.groupBy(*by, "_s").agg(F.count(F.when(F.col("_pos"), 1)).alias("_p"),
                                    F.count(F.when(~F.col("_pos"), 1)).alias("_n"))
+    # The per-score table feeds the cut points, the per-range sums and the
+    # final pass: materialise it once (reliably) so the input -- often a
+    # model's predictions -- is computed a single time.
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    per = per.checkpoint(eager=True)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = per.groupBy(*by).agg(F.percentile_approx("_s", probs, accuracy).alias("_cuts"))
     per = join_null_safe(per, cuts, by, "left")
