@@ -75,10 +75,13 @@ def indexer_encoder(categorical: Sequence[str]) -> list:
 
 def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (),
                      with_mean: bool = False, out_col: str = "features",
-                     handle_invalid: str = "skip") -> Pipeline:
+                     handle_invalid: str = "error") -> Pipeline:
     """Numeric columns assembled and scaled by their sample std (no centring
     by default), categorical ones indexed and one-hot coded, all assembled
-    into ``out_col``.  Fit it once and reuse the model for every estimator."""
+    into ``out_col``.  Fit it once and reuse the model for every estimator.
+
+    A NULL/NaN numeric feature fails the job by default rather than silently
+    dropping the row; pass ``handle_invalid="skip"`` to drop such rows."""
     stages = []
     if categorical:
         stages += indexer_encoder(categorical)

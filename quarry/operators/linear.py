@@ -19,7 +19,7 @@ def one_feature_paths(spark: SparkSession, df: DataFrame, x: str, y: str, alpha:
     features Spark solves the normal equations from one distributed pass of
     sufficient statistics per fit.
     """
-    data = VectorAssembler(inputCols=[x], outputCol="_x", handleInvalid="skip").transform(df)
+    data = VectorAssembler(inputCols=[x], outputCol="_x", handleInvalid="error").transform(df)
 
     def fit(r):
         m = LinearRegression(featuresCol="_x", labelCol=y, regParam=float(r),
