@@ -58,3 +58,25 @@ def test_pca_loadings_sign_rule(spark):
         col = [r.loading for r in rows if r.component == comp]
         assert max(col, key=abs) > 0
         assert abs(sum(x * x for x in col) - 1.0) < 1e-9
+
+
+def test_taste_clusters_invariants(spark):
+    import __spark_entry__ as E
+    sizes = E.queries()["taste_clusters"](spark, SF_SMALL).collect()
+    for f in (0.4, 0.6, 0.8):
+        rows = sorted((r for r in sizes if r.train_frac == f), key=lambda r: r.position)
+        assert 1 <= len(rows) <= 5
+        assert [r.position for r in rows] == list(range(1, len(rows) + 1))
+        assert all(a.size >= b.size for a, b in zip(rows, rows[1:]))
+
+
+def test_search_best_params_come_from_grid(spark):
+    from quarry.plans import classifier
+    ev = tables.collision_events(read_table(spark, SF_SMALL, "lineitem"))
+    parts, _ = classifier.prepare(ev, tables.COLLISION_FEATURES, "event_key",
+                                  sample_fraction=0.5)
+    opts = {"maxDepth": [2, 4], "numTrees": [3, 6]}
+    cv_model, res, best = classifier.search(parts, "forest", opts)
+    assert best["maxDepth"] in opts["maxDepth"] and best["numTrees"] in opts["numTrees"]
+    assert res.count() == 4
+    assert len(set(round(m, 12) for m in cv_model.avgMetrics)) > 1
