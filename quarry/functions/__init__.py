@@ -3,4 +3,6 @@
 from quarry.functions.columns import (  # noqa: F401
     half_up_pct, hash_order_key, hash_fraction_below, suffix_label, round_to,
 )
-from quarry.functions.logs import parse_log_line, render_log_line  # noqa: F401
+from quarry.functions.logs import (  # noqa: F401
+    log_fields, log_parts, parse_log_frame, parse_log_line, render_log_line,
+)

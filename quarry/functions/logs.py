@@ -15,7 +15,7 @@ server's hours, not the session time zone's.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOG_PATTERN = (
@@ -39,22 +39,29 @@ _SEP = "\u0001"      # field separator of the packed match (not in log text)
 _MARK = "\u0002"     # prefix that marks a line the pattern matched
 
 
-def parse_log_line(line: str | Column) -> list[Column]:
-    """Columns ``host, ts, tz_offset, request, status, size, malformed``.
+def log_parts(line: str | Column) -> Column:
+    """The 11 regex groups of a log line as an array (NULL if it does not match).
 
-    The regular expression runs once per line: ``regexp_replace`` rewrites a
-    matching line into its 11 groups joined by a control character (and
-    leaves any other line as it was), then a single-character ``split``
-    cuts the fields apart.
+    The regular expression runs once: ``regexp_replace`` rewrites a
+    matching line into its groups joined by a control character (and leaves
+    any other line as it was), then a single-character ``split`` cuts them
+    apart.
     """
     value = F.col(line) if isinstance(line, str) else line
     packed = F.regexp_replace(value, LOG_PATTERN,
                               _MARK + _SEP.join(f"${i}" for i in range(1, 12)))
     parts = F.split(F.substring(packed, 2, 1 << 30), _SEP)
-    ok = packed.startswith(_MARK) & ~value.startswith(_MARK) & (F.size(parts) == 11)
+    return F.when(packed.startswith(_MARK) & ~value.startswith(_MARK), parts)
+
+
+def log_fields(parts: str | Column) -> list[Column]:
+    """Typed columns ``host, ts, tz_offset, request, status, size, malformed``
+    from the array made by :func:`log_parts`."""
+    arr = F.col(parts) if isinstance(parts, str) else parts
+    ok = arr.isNotNull() & (F.size(arr) == 11)
 
     def grp(i: int) -> Column:
-        return F.when(ok, F.get(parts, i - 1))
+        return F.when(ok, F.get(arr, i - 1))
 
     ts = F.try_make_timestamp_ntz(
         grp(4).cast("int"), _month_number(grp(3)), grp(2).cast("int"),
@@ -71,6 +78,22 @@ def parse_log_line(line: str | Column) -> list[Column]:
     ]
 
 
+def parse_log_line(line: str | Column) -> list[Column]:
+    """Single-projection form of ``log_fields(log_parts(line))``.
+
+    Prefer :func:`parse_log_frame`, which evaluates the regex once per line;
+    in one projection every field re-evaluates it.
+    """
+    return log_fields(log_parts(line))
+
+
+def parse_log_frame(df: DataFrame, line: str = "value") -> DataFrame:
+    """Parse a frame of log lines: the regex array is projected first and
+    kept as its own column (Catalyst does not inline an expensive expression
+    that is used many times), then the fields are derived from it."""
+    return df.select(log_parts(line).alias("_parts")).select(*log_fields("_parts"))
+
+
 def render_log_line(host: Column, ts: Column, offset: str, request: Column,
                     status: Column, size: Column) -> Column:
     """Inverse of :func:`parse_log_line` (used to build log text from tables)."""

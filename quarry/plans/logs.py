@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import suffix_label
-from quarry.functions.logs import parse_log_line
+from quarry.functions.logs import parse_log_frame
 from quarry.operators import grid, groups
 from quarry.operators.joins import join_null_safe
 
@@ -25,7 +25,7 @@ COUNTRIES_OF_INTEREST = ["Germany", "Canada", "Singapore"]
 def parse_access_log(lines: DataFrame, value_col: str = "value",
                      keep_malformed: bool = True) -> DataFrame:
     """Text lines -> ``host, ts, tz_offset, request, status, size, malformed``."""
-    parsed = lines.select(*parse_log_line(value_col))
+    parsed = parse_log_frame(lines, value_col)
     return parsed if keep_malformed else parsed.filter(~F.col("malformed"))
 
 
