@@ -23,6 +23,8 @@ RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of frames that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
