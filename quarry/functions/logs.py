@@ -48,8 +48,14 @@ def log_parts(line: str | Column) -> Column:
     apart.
     """
     value = F.col(line) if isinstance(line, str) else line
-    packed = F.regexp_replace(value, LOG_PATTERN,
-                              _MARK + _SEP.join(f"${i}" for i in range(1, 12)))
+    return _unpack(_pack(value), value)
+
+
+def _pack(value: Column) -> Column:
+    return F.regexp_replace(value, LOG_PATTERN, _MARK + _SEP.join(f"${i}" for i in range(1, 12)))
+
+
+def _unpack(packed: Column, value: Column) -> Column:
     parts = F.split(F.substring(packed, 2, 1 << 30), _SEP)
     return F.when(packed.startswith(_MARK) & ~value.startswith(_MARK), parts)
 
@@ -88,10 +94,19 @@ def parse_log_line(line: str | Column) -> list[Column]:
 
 
 def parse_log_frame(df: DataFrame, line: str = "value") -> DataFrame:
-    """Parse a frame of log lines: the regex array is projected first and
-    kept as its own column (Catalyst does not inline an expensive expression
-    that is used many times), then the fields are derived from it."""
-    return df.select(log_parts(line).alias("_parts")).select(*log_fields("_parts"))
+    """Parse a frame of log lines, evaluating the regex once per line.
+
+    The packed match and the regex array are projected first (Catalyst does
+    not inline an expensive expression that is used more than once), and
+    the typed fields are
+    produced by a generator (``inline`` of a one-element array).  Filters on
+    the parsed columns (e.g. ``NOT malformed``) therefore stay above the
+    parse instead of being pushed below it with the regex copied into them.
+    """
+    fields = log_fields("_parts")
+    return (df.select(_pack(F.col(line)).alias("_packed"), F.col(line).alias("_line"))
+            .select(_unpack(F.col("_packed"), F.col("_line")).alias("_parts"))
+            .select(F.inline(F.array(F.struct(*fields)))))
 
 
 def render_log_line(host: Column, ts: Column, offset: str, request: Column,
