@@ -49,11 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when nothing is configured (local tests) a fresh scratch
     folder is created.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server's setting applies
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")

@@ -37,8 +37,12 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     large multi-file input already has many partitions and is left alone, so
     this never adds a shuffle at scale.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < want
+    except Exception:  # no RDD access (remote session): leave the plan as is
+        return df
+    return df.repartition(want) if narrow else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
