@@ -33,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A ``local[n]`` session for tests and benchmarks."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g")))
+               .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g")))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
