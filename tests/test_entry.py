@@ -51,3 +51,13 @@ def test_oracle_agreement(spark, name):
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF_SMALL).count() > 0
+
+
+@pytest.mark.parametrize("name", ["log_parse", "calendar_parts", "dense_grid", "temporal_split"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        test_oracle_agreement(spark, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
