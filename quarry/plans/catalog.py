@@ -195,6 +195,11 @@ def _claim_report(name):
     return q
 
 
+def q_split_distribution(spark, sf_dir):
+    labels = features.claim_labels(_claims(spark, sf_dir))
+    return claims.split_distribution(labels)
+
+
 def q_validation_curve(spark, sf_dir):
     return claims.validation_curve(spark, _claims(spark, sf_dir))
 
@@ -306,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistic_l1": _claim_report("logistic_l1"),
     "logistic_l2": _claim_report("logistic_l2"),
     "validation_curve": q_validation_curve,
+    "split_distribution": q_split_distribution,
     "recommender_backtest": q_recommender_backtest,
     "taste_clusters": q_taste_clusters,
     "cluster_genres": q_cluster_genres,

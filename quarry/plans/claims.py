@@ -85,3 +85,20 @@ def report(metrics: DataFrame, coefs: DataFrame) -> DataFrame:
     c = coefs.select("model", "reg_param", F.lit(None).cast("string").alias("split"),
                      F.col("term").alias("item"), "value")
     return m.unionByName(c)
+
+
+def split_distribution(labels: DataFrame, key: str = "policy_id", ratio: float = 0.7,
+                       seed: int = 14, label: str = "pp_claim_nb") -> DataFrame:
+    """Rows and % per claim class in all data and in each part of the split.
+
+    Groups are aggregated first; the per-part totals come from a window over
+    that small (part x class) table.
+    """
+    from pyspark.sql import Window
+
+    from quarry.functions.columns import half_up_pct
+    parts = split_claims(labels.select(key, label), key, ratio, seed)
+    both = parts.select("split", label).unionByName(
+        labels.select(F.lit("all").alias("split"), label))
+    g = both.groupBy("split", label).agg(F.count(F.lit(1)).alias("n"))
+    return g.withColumn("pct", half_up_pct(F.col("n"), F.sum("n").over(Window.partitionBy("split"))))

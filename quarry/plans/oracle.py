@@ -236,4 +236,23 @@ ORACLE_SQL: dict[str, str] = {
           SELECT *, CAST(row_number() OVER (PARTITION BY c_mktsegment
                                             ORDER BY n DESC, genre) AS INTEGER) AS rank FROM g)
         WHERE rank <= 10""",
+    "split_distribution": """
+        WITH r AS (SELECT l_orderkey, count(*) AS c FROM lineitem
+                   WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+        c AS (SELECT o_orderkey AS policy_id, CAST(coalesce(r.c, 0) AS DOUBLE) AS claim_nb
+              FROM orders LEFT JOIN r ON o_orderkey = r.l_orderkey),
+        l AS (SELECT policy_id,
+                     CAST(CASE WHEN claim_nb = 0 THEN 0.5 ELSE claim_nb END AS DOUBLE) AS pp_claim_nb
+              FROM c),
+        t AS (SELECT *, md5('14:' || CAST(policy_id AS VARCHAR)) AS h FROM l),
+        s AS (SELECT pp_claim_nb,
+                     CASE WHEN row_number() OVER (PARTITION BY pp_claim_nb ORDER BY h, policy_id)
+                               <= (count(*) OVER (PARTITION BY pp_claim_nb) * 7000) // 10000
+                          THEN 'train' ELSE 'test' END AS split
+              FROM t),
+        u AS (SELECT split, pp_claim_nb FROM s UNION ALL SELECT 'all', pp_claim_nb FROM s),
+        g AS (SELECT split, pp_claim_nb, count(*) AS n FROM u GROUP BY ALL)
+        SELECT split, pp_claim_nb, n,
+               floor(n * 10000.0::DOUBLE / sum(n) OVER (PARTITION BY split) + 0.5) / 100 AS pct
+        FROM g""",
 }
