@@ -275,6 +275,10 @@ def _search(kind):
     return q
 
 
+def q_data_balance(spark, sf_dir):
+    return classifier.data_balance(_events(spark, sf_dir), "event_key")
+
+
 def q_classifier_report(spark, sf_dir):
     report, _ = classifier.classifier_report(spark, _events(spark, sf_dir),
                                              tables.COLLISION_FEATURES, "event_key")
@@ -320,4 +324,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_search": _search("forest"),
     "boost_search": _search("boost"),
     "classifier_report": q_classifier_report,
+    "data_balance": q_data_balance,
 }

@@ -255,4 +255,20 @@ ORACLE_SQL: dict[str, str] = {
         SELECT split, pp_claim_nb, n,
                floor(n * 10000.0::DOUBLE / sum(n) OVER (PARTITION BY split) + 0.5) / 100 AS pct
         FROM g""",
+    "data_balance": f"""
+        WITH e AS (SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS k,
+                          CAST(l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem),
+        s AS (SELECT * FROM e WHERE substr(md5('15:' || k), 1, 8) < '{_thr(0.02)}'),
+        t AS (SELECT *, md5('14:' || k) AS h FROM s),
+        p AS (SELECT label,
+                     CASE WHEN row_number() OVER (PARTITION BY label ORDER BY h, k)
+                               <= (count(*) OVER (PARTITION BY label) * 7000) // 10000
+                          THEN 'train' ELSE 'test' END AS part
+              FROM t),
+        u AS (SELECT 'all' AS part, label FROM e UNION ALL SELECT 'sample', label FROM s
+              UNION ALL SELECT part, label FROM p),
+        g AS (SELECT part, label, count(*) AS n FROM u GROUP BY ALL)
+        SELECT part, label, n,
+               floor(n * 10000.0::DOUBLE / sum(n) OVER (PARTITION BY part) + 0.5) / 100 AS pct
+        FROM g""",
 }
