@@ -224,6 +224,10 @@ def q_recommender_backtest(spark, sf_dir):
     return m
 
 
+def q_ratings_split(spark, sf_dir):
+    return recommender.split_summary(recommender.temporal_parts(_ratings(spark, sf_dir)))
+
+
 def _setting_b(spark, sf_dir):
     parts = recommender.temporal_parts(_ratings(spark, sf_dir))
     _, fitted = recommender.backtest(spark, None, {"B": recommender.SETTINGS["B"]},
@@ -317,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validation_curve": q_validation_curve,
     "split_distribution": q_split_distribution,
     "recommender_backtest": q_recommender_backtest,
+    "ratings_split": q_ratings_split,
     "taste_clusters": q_taste_clusters,
     "cluster_genres": q_cluster_genres,
     "genre_top_k": q_genre_top_k,

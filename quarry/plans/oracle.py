@@ -271,4 +271,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT part, label, n,
                floor(n * 10000.0::DOUBLE / sum(n) OVER (PARTITION BY part) + 0.5) / 100 AS pct
         FROM g""",
+    "ratings_split": """
+        WITH r AS (SELECT o_custkey AS user_id, l_partkey AS item_id,
+                          1.0::DOUBLE + (l_quantity % 5.0::DOUBLE) AS rating, o_orderdate AS ts,
+                          l_orderkey AS order_id, l_linenumber AS line_no
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        k AS (SELECT *, row_number() OVER (ORDER BY ts, order_id, line_no, item_id, user_id,
+                                                    rating) AS rn,
+                     count(*) OVER () AS cnt FROM r),
+        f AS (SELECT * FROM (VALUES (0.4, 4000), (0.6, 6000), (0.8, 8000)) AS v(train_frac, bp))
+        SELECT CAST(train_frac AS DOUBLE) AS train_frac,
+               CASE WHEN rn <= (cnt * bp) // 10000 THEN 'train' ELSE 'test' END AS split,
+               count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts,
+               CAST(sum(item_id) AS BIGINT) AS item_sum, CAST(sum(user_id) AS BIGINT) AS user_sum
+        FROM k CROSS JOIN f GROUP BY ALL""",
 }
