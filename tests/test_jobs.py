@@ -80,3 +80,15 @@ def test_search_best_params_come_from_grid(spark):
     assert best["maxDepth"] in opts["maxDepth"] and best["numTrees"] in opts["numTrees"]
     assert res.count() == 4
     assert len(set(round(m, 12) for m in cv_model.avgMetrics)) > 1
+
+
+def test_ratings_split_fingerprint_invariants(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["ratings_split"](spark, SF_SMALL).collect()
+    by = {(r.train_frac, r.split): r for r in rows}
+    total = by[(0.4, "train")].n + by[(0.4, "test")].n
+    for f in (0.4, 0.6, 0.8):
+        tr, te = by[(f, "train")], by[(f, "test")]
+        assert tr.n == (total * int(round(f * 10000))) // 10000 and tr.n + te.n == total
+        assert tr.last_ts <= te.first_ts
+        assert tr.item_sum + te.item_sum == by[(0.4, "train")].item_sum + by[(0.4, "test")].item_sum
