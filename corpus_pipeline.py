@@ -49,7 +49,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality classifier", classify), ("line dedup", drop_lines), ("n-gram Jaccard join", drop_near_copies),

@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_WORDS = 1 << 17
+# The code points with the Unicode property White_Space.
+SPACES = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Runs of text that no word of the splitting pattern crosses, each kept as one entry.
+CHUNK = re.compile(f"\\x20?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 MOST_ARCS = 1 << 21
 
 
@@ -133,35 +139,58 @@ class Encoder:
         ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in added}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.automaton = Automaton([(raw(a), raw(b)) for a, b in merges], ids)
-        self.added, self.words = added, {}
+        self.added, self.chunks, self.packed = added, {}, {}
         self.labels = dict(self.automaton.labels) | {i: t.encode() for t, i in added.items()}
         self.split = regex.compile(pattern)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
 
     def _plain(self, text: str) -> Iterator[list[int]]:
-        words = self.words
-        for word in self.split.findall(text):
-            found = words.get(word)
+        chunks = self.chunks
+        for chunk in CHUNK.findall(text):
+            found = chunks.get(chunk)
             if found is None:
-                found = self.automaton.encode(word.encode())
-                if len(word) <= 64:
-                    if len(words) >= MOST_WORDS:
-                        words.clear()
-                    words[word] = found
+                found = [i for word in self.split.findall(chunk) for i in self.automaton.encode(word.encode())]
+                if len(chunk) <= 64:
+                    if len(chunks) >= MOST_WORDS:
+                        chunks.clear()
+                    chunks[chunk] = found
             yield found
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def _parts(self, text: str) -> Iterator[tuple[str, int | None]]:
+        """Plain texts, and the added token after each (None at the end)."""
         done = 0
         for m in self.specials.finditer(text) if self.specials else ():
-            for ids in self._plain(text[done:m.start()]):
-                out += ids
-            out.append(self.added[m.group()])
+            yield text[done:m.start()], self.added[m.group()]
             done = m.end()
-        for ids in self._plain(text[done:] if done else text):
-            out += ids
+        yield text[done:] if done else text, None
+
+    def encode(self, text: str) -> list[int]:
+        out: list[int] = []
+        for plain, special in self._parts(text):
+            for ids in self._plain(plain):
+                out += ids
+            if special is not None:
+                out.append(special)
         return out
 
+    def encode_packed(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
+        out, packed = [], self.packed
+        for plain, special in self._parts(text):
+            for chunk in CHUNK.findall(plain):
+                found = packed.get(chunk)
+                if found is None:
+                    ids = [i for word in self.split.findall(chunk) for i in self.automaton.encode(word.encode())]
+                    found = struct.pack(f"<{len(ids)}I", *ids)
+                    if len(chunk) <= 64:
+                        if len(packed) >= MOST_WORDS:
+                            packed.clear()
+                        packed[chunk] = found
+                out.append(found)
+            if special is not None:
+                out.append(struct.pack("<I", special))
+        return b"".join(out)
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 

@@ -45,7 +45,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

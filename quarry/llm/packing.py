@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from quarry.llm.bpe import encoder
 from quarry.llm.shared import materialise
 from quarry.llm.textblocks import blocks, mix, words
 
@@ -73,26 +73,17 @@ def project(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.clip(((scaled + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
 
 
-_OPEN: dict[str, Tokenizer] = {}
+END = np.array([END_ID], "<u4").tobytes()
 
 
-def _tokenizer(path: str) -> Tokenizer:
-    if path not in _OPEN:
-        _OPEN[path] = Tokenizer.from_file(path)
-        _OPEN[path].no_truncation()
-        _OPEN[path].no_padding()
-    return _OPEN[path]
-
-
-def _encode(path: str):
+def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _tokenizer(path)
+        own = encoder(path, pattern)
         for batch in batches:
             for first, last, raw, at in blocks(batch["text"], 1 << 20):
                 part = batch.slice(first, last - first)
                 key = hilbert_key(project(*words(raw, at)))
-                ids = [np.array([*own.encode(t or "", add_special_tokens=False).ids, END_ID], "<u4").tobytes()
-                       for t in part["text"].to_pylist()]
+                ids = [own.encode_packed(t or "") + END for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(key), pa.array(ids, pa.binary())],
                                                  names=["doc_id", "key", "ids"])
 
@@ -137,11 +128,11 @@ def _cut(firsts: dict[int, int], limit: int, with_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, path: str, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
     """One row per piece: document, start, length, checksum, sequence, offset[, ids]."""
     spark = docs.sparkSession
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = materialise(plain.mapInArrow(_encode(path), "doc_id long, key long, ids binary"), "coded", compression="zstd")
+    coded = materialise(plain.mapInArrow(_encode(path, pattern), "doc_id long, key long, ids binary"), "coded", compression="zstd")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (coded.withColumn("_h", F.xxhash64("doc_id")).repartitionByRange(parts, "key", "_h")
                .sortWithinPartitions("key", "_h", "doc_id").drop("_h", "key"))

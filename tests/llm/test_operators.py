@@ -244,9 +244,9 @@ def test_packing_keeps_each_id_once(spark):
             texts[r["doc_id"]].append(r["text"])
         if None in texts:  # two texts share the NULL id
             docs, texts = docs.where("doc_id is not null"), {d: t for d, t in texts.items() if d is not None}
-        check_pieces(packing.pack(docs, public_tokenizers.path(catalog.TOKENIZER)).collect(), texts)
-    assert packing.pack(odd(spark), public_tokenizers.path(catalog.TOKENIZER)).where("doc_id is null").count() > 0
-    assert packing.pack(odd(spark).limit(0), public_tokenizers.path(catalog.TOKENIZER)).count() == 0
+        check_pieces(packing.pack(docs, public_tokenizers.path(catalog.TOKENIZER), public_tokenizers.PATTERN).collect(), texts)
+    assert packing.pack(odd(spark), public_tokenizers.path(catalog.TOKENIZER), public_tokenizers.PATTERN).where("doc_id is null").count() > 0
+    assert packing.pack(odd(spark).limit(0), public_tokenizers.path(catalog.TOKENIZER), public_tokenizers.PATTERN).count() == 0
 
 
 def test_hilbert_neighbours_differ_by_one_step():
