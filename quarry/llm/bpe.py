@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_WORDS = 1 << 17
+MOST_WORDS = 1 << 18
 # The code points with the Unicode property White_Space.
 SPACES = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Runs of text that no word of the splitting pattern crosses, each kept as one entry.
@@ -63,7 +63,7 @@ class Automaton:
         self.reachable = {t: i for t, i in ids.items() if len(t) == 1 or i in self.made}
         self.longest: dict[bytes, int] = {}
         for t in self.reachable:
-            self.longest[t[:2]] = max(self.longest.get(t[:2], 1), len(t))
+            self.longest[t[:3]] = max(self.longest.get(t[:3], 2), len(t))
 
     def arc(self, x: int, y: int, after: int | None = None) -> bool:
         """Whether the state of ``x`` has arc ``y`` after that merge (None: after all)."""
@@ -92,7 +92,7 @@ class Automaton:
         n, arcs, reachable, longest = len(word), self.arcs, self.reachable, self.longest
         path: list[int] = []
         ends, dead = [0], set()
-        length = min(longest.get(word[:2], 1), n)
+        length = min(longest.get(word[:3], 2), n)
         while True:
             at = ends[-1]
             step = False
@@ -118,7 +118,7 @@ class Automaton:
                 if at == n:
                     return path
                 ends.append(at)
-                length = min(longest.get(word[at:at + 2], 1), n - at)
+                length = min(longest.get(word[at:at + 3], 2), n - at)
             else:
                 dead.add(ends.pop())
                 length = len(self.labels[path.pop()]) - 1
@@ -139,17 +139,30 @@ class Encoder:
         ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in added}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.automaton = Automaton([(raw(a), raw(b)) for a, b in merges], ids)
-        self.added, self.chunks, self.packed = added, {}, {}
+        self.added, self.words, self.chunks, self.packed = added, {}, {}, {}
         self.labels = dict(self.automaton.labels) | {i: t.encode() for t, i in added.items()}
         self.split = regex.compile(pattern)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
 
+    def _words(self, chunk: str) -> list[int]:
+        out, words = [], self.words
+        for word in self.split.findall(chunk):
+            found = words.get(word)
+            if found is None:
+                found = self.automaton.encode(word.encode())
+                if len(word) <= 64:
+                    if len(words) >= MOST_WORDS:
+                        words.clear()
+                    words[word] = found
+            out += found
+        return out
+
     def _plain(self, text: str) -> Iterator[list[int]]:
         chunks = self.chunks
         for chunk in CHUNK.findall(text):
             found = chunks.get(chunk)
             if found is None:
-                found = [i for word in self.split.findall(chunk) for i in self.automaton.encode(word.encode())]
+                found = self._words(chunk)
                 if len(chunk) <= 64:
                     if len(chunks) >= MOST_WORDS:
                         chunks.clear()
@@ -180,7 +193,7 @@ class Encoder:
             for chunk in CHUNK.findall(plain):
                 found = packed.get(chunk)
                 if found is None:
-                    ids = [i for word in self.split.findall(chunk) for i in self.automaton.encode(word.encode())]
+                    ids = self._words(chunk)
                     found = struct.pack(f"<{len(ids)}I", *ids)
                     if len(chunk) <= 64:
                         if len(packed) >= MOST_WORDS:
