@@ -2,21 +2,25 @@
 
 Unrelated texts all lie at distance 1 from any pivot, so pivots drawn from the
 corpus give one boundary region that holds everything.  Regions are therefore
-seeded where distances carry information: two sets within the distance share
-one of their rarest n-grams (the prefix bound), and each such n-gram is a
-region with the members' sets.
-
-1. Equal sets become one class; the rest works on class representatives.
-2. Regions: each representative's prefix, by (frequency, hash).  An n-gram of
-   one set only opens no region.
-3. Rounds: each region's pivot is a member; all members are compared with it
-   exactly.  Members within the distance are linked; regions whose members are
-   all in one component are done; in the others the pivot, now compared with
-   everyone, leaves and a new pivot is chosen.
-4. Regions still mixed after ``PIVOT_ROUNDS`` compare all their pairs of
-   different components inside the triangle-inequality window
-   |d(x, p) - d(y, p)| <= distance of the last pivot.  This is the exact way
-   for what the pivots leave.
+seeded where distances carry information: under any fixed order of the n-grams,
+two sets within the distance share one of their first ones (the prefix bound),
+and each n-gram met in two prefixes is a region.
+
+1. One pass over the texts gives each document's size and set fingerprint, and
+   a count sketch of all n-grams with ``2 ** SKETCH_BITS`` counters, whatever
+   the corpus.  An n-gram's key is (level of its counter, hash): the order by
+   key puts frequent n-grams last, and is exact however full the sketch is.
+2. Equal sets become one class; the rest works on class representatives.
+3. Regions: the representatives that share an n-gram of their prefixes ("heads").
+   Only documents in a region get their whole set written; the texts themselves
+   are never shuffled (a bitmap of ids of fixed size picks the documents).
+4. Rounds: each region's pivot is a member; the others' distances from it are
+   bounded by the heads, and computed exactly where the bound allows a link.
+   Linked members join; regions whose members are all in one component are
+   done; in the others the pivot leaves and a new one is chosen.
+5. Regions still mixed after ``PIVOT_ROUNDS`` compare their pairs of different
+   components whose distances from the last pivot satisfy the triangle
+   inequality.  This is the exact way for what the pivots leave.
 
 Edge cases: NULL and empty texts have no n-grams and link with nothing; a text
 of fewer than n words is one n-gram; rows of equal doc_id and text are one
@@ -25,72 +29,204 @@ document; NULL ids get no class and no row; empty tables give no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import materialise
-from quarry.llm.textblocks import blocks, distinct_by_document, list_array, mix, shingles, words
+from quarry.llm.textblocks import blocks, distinct_by_document, mix, shingles, words
 
 WORDS = 5
 PERCENT = 80
 PIVOT_ROUNDS = 4
+#: Counters of the n-gram sketch and bits of the id bitmap (as powers of two): fixed sizes.
+SKETCH_BITS = 22
+SLAB_BITS = 16
+BITMAP_BITS = 23
+KEY_BITS = 58
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .where(F.col("doc_id").isNotNull()))
+
+
+def _prints(values: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
+    """Two sums over each set tell sets apart like a 128-bit hash."""
+    out = []
+    for salt in (1, 2):
+        mixed = mix(values + np.uint64(salt))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        out.append((sums[of[1:]] - sums[of[:-1]]).view(np.int64))
+    return out
+
+
+SURVEY = "doc_id long, n_shingles long, p1 long, p2 long, slab int, width int, counts binary"
 
 
-def _sets(k: int):
+def _survey(k: int):
+    """A row per document (size and fingerprint) and a row per slab of the task's n-gram counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        names = [c.split()[0] for c in SURVEY.split(", ")]
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
         for batch in batches:
             for first, last, raw, at in blocks(batch["text"]):
                 values, of = distinct_by_document(*shingles(*words(raw, at), k))
-                # Two sums over the set tell sets apart like a 128-bit hash.
-                prints = []
-                for salt in (1, 2):
-                    mixed = mix(values + np.uint64(salt))
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
-                    prints.append((sums[of[1:]] - sums[of[:-1]]).view(np.int64))
+                counts += np.bincount((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
+                                      minlength=len(counts)).astype(np.uint32)
+                cols = [batch["doc_id"].slice(first, last - first), np.diff(of), *_prints(values, of)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(first, last - first), pa.array(np.diff(of), pa.int64()), pa.array(prints[0]),
-                     pa.array(prints[1]), list_array(values.view(np.int64), of, pa.int64())],
-                    names=["doc_id", "n_shingles", "p1", "p2", "s"])
+                    [pa.array(c, t) if isinstance(c, np.ndarray) else c for c, t in zip(cols, kinds)]
+                    + [pa.nulls(last - first, t) for t in kinds[4:]], names=names)
+        for slab, part in enumerate(counts.reshape(-1, 1 << SLAB_BITS)):
+            if part.any():
+                width = 1 if part.max() < 256 else 4
+                blob = zlib.compress(part.astype(f"<u{width}").tobytes(), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(1, t) for t in kinds[:4]] + [pa.array([slab], pa.int32()), pa.array([width], pa.int32()),
+                                                           pa.array([blob], pa.binary())], names=names)
 
     return run
 
 
-def shingle_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, p1, p2, s): sorted distinct n-gram hashes and set fingerprint."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.where(F.col("doc_id").isNotNull()).mapInArrow(
-        _sets(k), "doc_id long, n_shingles long, p1 long, p2 long, s array<long>")
+def _sum_slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Eighths of the binary logarithm of the summed counters, a byte each."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for slab, width, blob in zip(*(batch[c].to_pylist() for c in ("slab", "width", "counts"))):
+            total = sums.setdefault(slab, np.zeros(1 << SLAB_BITS, np.int64))
+            total += np.frombuffer(zlib.decompress(blob), f"<u{width}")
+    for slab, total in sums.items():
+        logs = np.minimum(np.round(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([int(total.sum())], pa.int64()),
+                                          pa.array([logs.tobytes()], pa.binary())], names=["slab", "n", "logs"])
+
+
+def sketch_levels(survey: DataFrame) -> np.ndarray:
+    """The level of each counter: half octaves above the mean load (2 ** SKETCH_BITS bytes in all)."""
+    slabs = (survey.where("slab is not null").select("slab", "width", "counts")
+             .repartition(1 << (SKETCH_BITS - SLAB_BITS), "slab").mapInArrow(_sum_slabs, "slab int, n long, logs binary"))
+    logs, n = np.zeros((1 << (SKETCH_BITS - SLAB_BITS), 1 << SLAB_BITS), np.uint8), 0
+    for r in slabs.collect():
+        logs[r["slab"]], n = np.frombuffer(r["logs"], np.uint8), n + r["n"]
+    base = 8 * np.log2(max(1.0, n / (1 << SKETCH_BITS)))
+    return np.clip((logs.reshape(-1) - base) // 4, 0, 63).astype(np.uint8)
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _set_rows(k: int, levels, percent: int | None, bitmap=None):
+    """Sorted keys of each set: the prefix (``percent`` given) or all; of the ids in the bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = np.frombuffer(levels.value, np.uint8)
+        member = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap.value, np.uint8))
+        for batch in batches:
+            if member is not None:
+                batch = batch.filter(pa.array(member[_bits(batch["doc_id"].to_numpy())] > 0))
+            for first, last, raw, at in blocks(batch["text"]):
+                values, of = distinct_by_document(*shingles(*words(raw, at), k))
+                p1, p2 = _prints(values, of)
+                keys = ((level[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+                         << np.uint64(KEY_BITS)) | (values >> np.uint64(64 - KEY_BITS)))
+                out = []
+                for a, b in zip(of[:-1], of[1:]):
+                    n = int(b - a)
+                    out.append(np.sort(keys[a:b])[:head_length(n, percent) if percent else n].astype("<u8").tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(first, last - first), pa.array(np.diff(of), pa.int64()), pa.array(p1),
+                     pa.array(p2), pa.array(out, pa.binary())], names=["doc_id", "n_shingles", "p1", "p2", "s"])
+
+    return run
+
+
+SET_ROWS = "doc_id long, n_shingles long, p1 long, p2 long, s binary"
+PRINT = ["doc_id", "n_shingles", "p1", "p2"]
+
+
+def head_length(n, percent: int):
+    return n - -(-n * percent // 100) + 1
+
 
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [np.frombuffer(s, "<i8") for s in batch["s"].to_pylist()]
+        if keys:
+            ids = np.repeat(batch["id"].to_numpy(), [len(x) for x in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids)], names=["g", "id"])
 
-def regions(reps: DataFrame, percent: int) -> DataFrame:
+
+def regions(heads: DataFrame) -> DataFrame:
     """(g, id): the members of each n-gram's region, regions of one member left out."""
-    grams = reps.select("id", "n", F.explode("s").alias("g"))
-    shared = grams.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    found = grams.join(shared, "g")
-    # N-grams of one set come first in the order and use up places of the prefix.
-    place = F.row_number().over(W.partitionBy("id").orderBy("df", "g"))
-    many = found.groupBy("id").agg(F.count(F.lit(1)).alias("m")).withColumnRenamed("id", "_id")
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    prefix = (found.withColumn("place", place).join(many, F.col("id") == F.col("_id"))
-              .where(F.col("place") <= length - (F.col("n") - F.col("m"))).select("g", "id"))
-    return prefix
-
-
-def verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Distinct (a, b) pairs with their shared count and sizes."""
-    a = reps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    b = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return pairs.distinct().join(a, "a").join(b, "b").select("a", "b", "na", "nb", shared.alias("i"))
+    grams = heads.select("id", "s").mapInArrow(_grams, "g long, id long")
+    shared = grams.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("g")
+    return grams.join(shared, "g")
+
+
+def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(1 << BITMAP_BITS, np.uint8)
+    for batch in batches:
+        bits[_bits(batch["id"].to_numpy())] = 1
+    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+
+def id_bitmap(ids: DataFrame) -> bytes:
+    """A bitmap of hashed ids: a fixed number of bits, false positives only."""
+    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    for r in ids.coalesce(8).mapInArrow(_bitmap, "bits binary").collect():
+        out |= np.frombuffer(r["bits"], np.uint8)
+    return out.tobytes()
+
+
+def _common(whole: bool, percent: int):
+    """Shared keys of each pair: exactly (``whole`` sets), or the bounds that the heads give."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least, most = [], []
+            for na, nb, sa, sb in zip(*(batch[c].to_pylist() for c in ("na", "nb", "sa", "sb"))):
+                x, y = np.frombuffer(sa, "<u8"), np.frombuffer(sb, "<u8")
+                # Both heads hold all their set's keys up to the smaller of their last ones.
+                end = min(x[-1], y[-1])
+                x, y = (z[:np.searchsorted(z, end, side="right")] for z in (x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                least.append(shared)
+                most.append(shared if whole else shared + min(na - len(x), nb - len(y)))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in ("a", "b", "na", "nb")), pa.array(least, pa.int64()), pa.array(most, pa.int64())],
+                names=["a", "b", "na", "nb", "least", "most"])
+
+    return run
+
+
+MEASURED = "a long, b long, na long, nb long, least long, most long"
+
+
+def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) pairs, their sizes, and bounds of the shared count: equal where a link is possible."""
+    def beside(pairs: DataFrame, side: str, whole: bool) -> DataFrame:
+        length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+        s = F.col("s") if whole else F.expr("substring(s, 1, cast(8 * _l as int))")
+        part = sets.withColumn("_l", length).select(F.col("id").alias(side), F.col("n").alias("n" + side), s.alias("s" + side))
+        return pairs.join(part, side)
+
+    def compare(pairs: DataFrame, whole: bool) -> DataFrame:
+        both = beside(beside(pairs, "a", whole), "b", whole)
+        return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_common(whole, percent), MEASURED)
+
+    bounded = materialise(compare(pairs.distinct(), False), "bounds")
+    near = bounded.where(linked(percent)).select("a", "b")
+    far = bounded.where(~linked(percent))
+    return far if near.isEmpty() else far.unionByName(compare(near, True))
 
 
 def linked(percent: int):
-    return 100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i"))
+    return 100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -112,49 +248,72 @@ def components(edges: DataFrame) -> DataFrame:
         label = step.drop("old")
 
 
-def join_representatives(reps: DataFrame, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """(id, component) of the representatives that link with another."""
-    left = materialise(regions(reps, percent), "regions")
+def join_regions(left: DataFrame, sets: DataFrame, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
+    """(id, component) of the region members that link with another."""
     edges, parts = None, None
     for _ in range(rounds):
         pivots = left.groupBy("g").agg(F.min("id").alias("p"))
-        spokes = left.join(pivots, "g").where("id <> p")
-        measured = materialise(verified(spokes.select(F.col("p").alias("a"), F.col("id").alias("b")), reps), "spokes")
-        new = measured.where(linked(percent)).select("a", "b")
-        edges = materialise(new if edges is None else edges.union(new), "links")
-        parts = components(edges)
-        named = left.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        spokes = left.select("g", "id").join(pivots, "g").where("id <> p")
+        found = materialise(measured(spokes.select(F.col("p").alias("a"), F.col("id").alias("b")), sets, percent), "spokes")
+        new = found.where(linked(percent)).select("a", "b")
+        if edges is None or not new.isEmpty():
+            edges = materialise(new if edges is None else edges.union(new), "links")
+            parts = components(edges)
+        named = left.select("g", "id").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = (named.join(pivots, "g").where("id <> p").groupBy("g")
                  .agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g"))
-        keep = left.select("g", "id").join(pivots, "g").where("id <> p").join(mixed, "g")
-        distance = 1 - F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))
-        left = materialise(keep.join(measured.select(F.col("a").alias("p"), F.col("b").alias("id"),
-                                                     distance.alias("d"), F.col("nb").alias("n")), ["p", "id"])
-                           .select("g", "id", "d", "n"), "regions")
+        union = F.col("na") + F.col("nb")
+        near, far = (1 - F.col(c) / (union - F.col(c)) for c in ("most", "least"))
+        left = materialise(spokes.join(mixed, "g").join(
+            found.select(F.col("a").alias("p"), F.col("b").alias("id"), near.alias("near"), far.alias("far"),
+                         F.col("nb").alias("n")), ["p", "id"]).select("g", "id", "near", "far", "n"), "regions")
         if left.isEmpty():
             return parts
     named = left.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    x, y = (named.select("g", *[F.col(c).alias(c + s) for c in ("id", "component", "d", "n")]) for s in "xy")
-    # A hundred-thousandth more than the distance, for rounding in the two quotients.
-    window = F.abs(F.col("dx") - F.col("dy")) <= (100 - percent) / 100 + 1e-5
+    x, y = (named.select("g", *[F.col(c).alias(c + s) for c in ("id", "component", "near", "far", "n")]) for s in "xy")
+    # The distances from the pivot may differ by the join distance at most; a little more, for rounding.
+    window = F.greatest(F.col("nearx") - F.col("fary"), F.col("neary") - F.col("farx")) <= (100 - percent) / 100 + 1e-5
     sizes = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
     rest = x.join(y, "g").where((F.col("idx") < F.col("idy")) & (F.col("componentx") != F.col("componenty")) & window & sizes)
-    more = verified(rest.select(F.col("idx").alias("a"), F.col("idy").alias("b")), reps).where(linked(percent)).select("a", "b")
-    return components(materialise(edges.union(more), "links"))
+    more = measured(rest.select(F.col("idx").alias("a"), F.col("idy").alias("b")), sets, percent)
+    return components(materialise(edges.union(more.where(linked(percent)).select("a", "b")), "links"))
+
+
+def join_representatives(reps: DataFrame, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
+    """(id, component) of the sets (id, n, s: sorted keys) that link with another."""
+    heads = reps.select("id", "n", F.expr(f"substring(s, 1, cast(8 * (n - ceil(n * {percent} / 100) + 1) as int))").alias("s"))
+    return join_regions(materialise(regions(heads), "regions"), reps, percent, rounds)
+
+
+def shingle_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, p1, p2, s): size, fingerprint and sorted keys of each document's set."""
+    survey = materialise(_plain(docs).mapInArrow(_survey(k), SURVEY), "survey")
+    levels = docs.sparkSession.sparkContext.broadcast(sketch_levels(survey).tobytes())
+    return _plain(docs).mapInArrow(_set_rows(k, levels, None), SET_ROWS)
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    sets = materialise(shingle_sets(docs, k), "sets")
-    slim = sets.select("doc_id", "n_shingles", "p1", "p2").distinct()
-    classes = materialise(slim.where("n_shingles > 0").groupBy("n_shingles", "p1", "p2").agg(F.min("doc_id").alias("id")),
+    send = docs.sparkSession.sparkContext.broadcast
+    plain = _plain(docs)
+    survey = materialise(plain.mapInArrow(_survey(k), SURVEY), "survey")
+    slim = survey.where("doc_id is not null").select(*PRINT).distinct()
+    classes = materialise(slim.where("n_shingles > 0").groupBy("n_shingles", "p1", "p2").agg(F.min("doc_id").alias("doc_id")),
                           "classes")
-    keyed = sets.join(classes.select(F.col("id").alias("doc_id"), "n_shingles", "p1", "p2"),
-                      ["doc_id", "n_shingles", "p1", "p2"])
-    reps = materialise(keyed.dropDuplicates(["doc_id", "p1", "p2"])
-                       .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s"), "reps")
-    parts = join_representatives(reps, percent)
-    member = classes.join(parts, "id", "left").select(
-        "n_shingles", "p1", "p2", F.coalesce("component", "id").alias("component"))
+    levels = send(sketch_levels(survey).tobytes())
+
+    def representatives(rows: DataFrame, of: DataFrame) -> DataFrame:
+        return (rows.join(of, PRINT, "left_semi").dropDuplicates(["doc_id", "p1", "p2"])
+                .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s"))
+
+    heads = materialise(representatives(plain.mapInArrow(_set_rows(k, levels, percent), SET_ROWS), classes), "heads")
+    left = materialise(regions(heads), "regions")
+    members = left.select("id").distinct()
+    chosen = send(id_bitmap(members))
+    in_regions = classes.join(members, F.col("doc_id") == F.col("id"), "left_semi")
+    sets = materialise(representatives(plain.mapInArrow(_set_rows(k, levels, None, chosen), SET_ROWS), in_regions), "sets")
+    parts = join_regions(left, sets, percent)
+    member = classes.join(parts, F.col("doc_id") == F.col("id"), "left").select(
+        "n_shingles", "p1", "p2", F.coalesce("component", "doc_id").alias("component"))
     return (slim.join(member, ["n_shingles", "p1", "p2"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
