@@ -14,7 +14,8 @@ and each n-gram met in two prefixes is a region.
 3. Regions: the representatives that share an n-gram of their prefixes ("heads").
    Only documents in a region get their whole set written; the texts themselves
    are never shuffled (a bitmap of ids of fixed size picks the documents).
-4. Rounds: each region's pivot is a member; the others' distances from it are
+   Of regions with the same members one stays.
+4. Rounds: each region's pivot is its most central member; the others' distances from it are
    bounded by the heads, and computed exactly where the bound allows a link.
    Linked members join; regions whose members are all in one component are
    done; in the others the pivot leaves and a new one is chosen.
@@ -169,6 +170,26 @@ def regions(heads: DataFrame) -> DataFrame:
     return grams.join(shared, "g")
 
 
+def distinct_regions(left: DataFrame) -> DataFrame:
+    """One region of those with the same members (told apart by count, ends and two 64-bit sums of hashes)."""
+    same = [F.count(F.lit(1)), F.min("id"), F.max("id"), F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64("id", F.lit(1)))]
+    marks = left.groupBy("g").agg(*[c.alias(f"m{k}") for k, c in enumerate(same)])
+    first = marks.groupBy(*[f"m{k}" for k in range(len(same))]).agg(F.min("g").alias("g")).select("g")
+    return left.join(first, "g", "left_semi")
+
+
+def with_weight(left: DataFrame) -> DataFrame:
+    """``left`` with each member's weight: the sizes of its regions, largest for the text that its copies derive from."""
+    sizes = left.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    weights = left.join(sizes, "g").groupBy("id").agg(F.sum("size").alias("w"))
+    return left.join(weights, "id").select("g", "id", "w")
+
+
+def weighted_regions(heads: DataFrame) -> DataFrame:
+    """(g, id, w), written: weights count all regions, of which one of each membership stays."""
+    return materialise(distinct_regions(with_weight(materialise(regions(heads), "regions"))), "regions")
+
+
 def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(1 << BITMAP_BITS, np.uint8)
     for batch in batches:
@@ -252,8 +273,8 @@ def join_regions(left: DataFrame, sets: DataFrame, percent: int = PERCENT, round
     """(id, component) of the region members that link with another."""
     edges, parts = None, None
     for _ in range(rounds):
-        pivots = left.groupBy("g").agg(F.min("id").alias("p"))
-        spokes = left.select("g", "id").join(pivots, "g").where("id <> p")
+        pivots = left.groupBy("g").agg(F.max(F.struct("w", "id"))["id"].alias("p"))
+        spokes = left.select("g", "id", "w").join(pivots, "g").where("id <> p")
         found = materialise(measured(spokes.select(F.col("p").alias("a"), F.col("id").alias("b")), sets, percent), "spokes")
         new = found.where(linked(percent)).select("a", "b")
         if edges is None or not new.isEmpty():
@@ -266,10 +287,10 @@ def join_regions(left: DataFrame, sets: DataFrame, percent: int = PERCENT, round
         near, far = (1 - F.col(c) / (union - F.col(c)) for c in ("most", "least"))
         left = materialise(spokes.join(mixed, "g").join(
             found.select(F.col("a").alias("p"), F.col("b").alias("id"), near.alias("near"), far.alias("far"),
-                         F.col("nb").alias("n")), ["p", "id"]).select("g", "id", "near", "far", "n"), "regions")
+                         F.col("nb").alias("n")), ["p", "id"]).select("g", "id", "w", "near", "far", "n"), "regions")
         if left.isEmpty():
             return parts
-    named = left.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = distinct_regions(left).join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     x, y = (named.select("g", *[F.col(c).alias(c + s) for c in ("id", "component", "near", "far", "n")]) for s in "xy")
     # The distances from the pivot may differ by the join distance at most; a little more, for rounding.
     window = F.greatest(F.col("nearx") - F.col("fary"), F.col("neary") - F.col("farx")) <= (100 - percent) / 100 + 1e-5
@@ -282,7 +303,7 @@ def join_regions(left: DataFrame, sets: DataFrame, percent: int = PERCENT, round
 def join_representatives(reps: DataFrame, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """(id, component) of the sets (id, n, s: sorted keys) that link with another."""
     heads = reps.select("id", "n", F.expr(f"substring(s, 1, cast(8 * (n - ceil(n * {percent} / 100) + 1) as int))").alias("s"))
-    return join_regions(materialise(regions(heads), "regions"), reps, percent, rounds)
+    return join_regions(weighted_regions(heads), reps, percent, rounds)
 
 
 def shingle_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -307,7 +328,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
                 .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s"))
 
     heads = materialise(representatives(plain.mapInArrow(_set_rows(k, levels, percent), SET_ROWS), classes), "heads")
-    left = materialise(regions(heads), "regions")
+    left = weighted_regions(heads)
     members = left.select("id").distinct()
     chosen = send(id_bitmap(members))
     in_regions = classes.join(members, F.col("doc_id") == F.col("id"), "left_semi")
