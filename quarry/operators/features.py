@@ -66,10 +66,13 @@ def one_hot_sparse(df: DataFrame, col: str, key: str, drop_last: bool = True,
 
 
 def indexer_encoder(categorical: Sequence[str]) -> list:
-    """``StringIndexer`` + ``OneHotEncoder`` stages for categorical columns."""
+    """``StringIndexer`` + ``OneHotEncoder`` stages for categorical columns.
+
+    The last (rarest) category is the dropped baseline; a NULL or unseen
+    category fails the job, as an invalid numeric feature does."""
     idx = [f"{c}_idx" for c in categorical]
     ohe = [f"{c}_ohe" for c in categorical]
-    return [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep"),
+    return [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="error"),
             OneHotEncoder(inputCols=idx, outputCols=ohe)]
 
 
@@ -96,14 +99,23 @@ def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (),
 
 def scale_columns(df: DataFrame, cols: Sequence[str], suffix: str = "_scaled",
                   with_mean: bool = False) -> DataFrame:
-    """Divide each column by its sample standard deviation (``StandardScaler``)."""
-    model = Pipeline(stages=[
-        VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="keep"),
-        StandardScaler(inputCol="_v", outputCol="_s", withStd=True, withMean=with_mean),
-    ]).fit(df)
-    out = model.transform(df).withColumn("_a", vector_to_array("_s"))
-    return out.select(*df.columns, *[F.col("_a")[i].alias(f"{c}{suffix}")
-                                     for i, c in enumerate(cols)])
+    """Divide each column by its sample standard deviation (as ``StandardScaler``).
+
+    Mean and deviation are taken over the non-NULL, non-NaN values, so one
+    missing value touches its own row only: NULL stays NULL, NaN stays NaN.  A
+    constant column scales to 0.
+    """
+    if not cols:
+        return df
+    value = {c: F.col(c).cast("double") for c in cols}
+    real = {c: F.when(~F.isnan(v), v) for c, v in value.items()}
+    stats = df.agg(*[f(real[c]) for c in cols for f in (F.avg, F.stddev_samp)]).first()
+    out = {}
+    for i, c in enumerate(cols):
+        mean, std = stats[2 * i], stats[2 * i + 1]
+        shifted = value[c] - F.lit(mean) if with_mean else value[c]
+        out[f"{c}{suffix}"] = shifted / F.lit(std) if std else shifted * F.lit(0.0)
+    return df.withColumns(out)
 
 
 def standardise_array(df: DataFrame, array_col: str, out_col: str = "z",

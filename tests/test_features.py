@@ -53,3 +53,16 @@ def test_dense_ids_are_dense_and_unique(spark):
     m = features.dense_ids(df, "k", "idx").collect()
     assert sorted(r.idx for r in m) == [0, 1, 2, 3]
     assert len({r.k for r in m}) == 4
+
+
+def test_scaling_ignores_missing_values(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, None)], "id int, x double")
+    got = {r["id"]: r["x_scaled"] for r in features.scale_columns(df, ["x"]).collect()}
+    assert got[3] is None
+    assert abs(got[1] - 1.0 / 2 ** 0.5) < 1e-12 and abs(got[2] - 3.0 / 2 ** 0.5) < 1e-12
+
+
+def test_model_pipeline_drops_the_last_category(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0), ("c", 4.0)], "k string, x double")
+    model = features.feature_pipeline(["x"], ["k"]).fit(df)
+    assert {r["features"].size for r in model.transform(df).collect()} == {3}
