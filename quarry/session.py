@@ -60,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(conf_dir)
