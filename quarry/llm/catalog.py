@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (bpe, factorisation_machine, jaccard_join, line_dedup, packing, quality_rules, secret_scan,
-                        url_filters, vector_search, warc)
+from quarry.llm import (bpe, factorisation_machine, importance, jaccard_join, line_dedup, longest_match_bpe, packing,
+                        quality_rules, secret_scan, signature_search, url_filters, vector_search, warc)
 from quarry.llm.shared import table
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_longest_match_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longest_match_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
+                                        public_tokenizers.PATTERN)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_top_k_search": op2_top_k_search,
@@ -67,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_longest_match_bpe": op11_longest_match_bpe,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -74,4 +90,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_top_k_search": vector_search.ORACLE,
     "op4_warc": warc.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
+    "op12_ranked_search": signature_search.ORACLE,
+    "op13_importance_resampling": importance.ORACLE,
 }

@@ -40,7 +40,7 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_sql_agreement(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = catalog.QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
