@@ -23,21 +23,25 @@ name do not matter.
 from __future__ import annotations
 
 import base64
+import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
+from operator import methodcaller
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words and neighbour tests kept by a worker (the least recently used go).
-WORDS, PAIRS = 1 << 17, 1 << 17
-#: Words of one text in memory at a time, and ids in one batch of results.
-SLICE, BATCH_IDS = 1 << 18, 1 << 18
+WORDS, PAIRS = 1 << 18, 1 << 17
+#: Words of one text in memory at a time, and characters or ids read for one batch of results.
+SLICE, BATCH = 1 << 18, 1 << 18
+
+MATCHED = methodcaller("group")
 
 
 class Ranks:
@@ -95,11 +99,11 @@ class Ranks:
                 before, right = made_right + 1, halves[right][0]
                 made_right = right if halves[right] else -1
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        """The ids of one word, without splitting it."""
+    def _word(self, word: str) -> bytes:
+        """The ids of one word, without splitting it, as 32-bit numbers."""
         raw = word.encode()
         whole = self.tokens.get(raw)
-        return (whole,) if whole is not None else tuple(self.encode(raw))
+        return array("i", (whole,) if whole is not None else self.encode(raw)).tobytes()
 
     def encode(self, raw: bytes) -> list[int]:
         n, fits, shorter, labels = len(raw), self.fits, self.shorter, self.labels
@@ -134,16 +138,24 @@ class Encoder:
         with open(path, "rb") as f:
             self.ranks = Ranks({base64.b64decode(label): int(rank) for label, rank in map(bytes.split, f)})
         self.split = regex.compile(pattern)
+        self.decimals = list(map(str, range(self.ranks.size)))
 
-    def encode(self, text: str) -> np.ndarray:
-        found, parts, word = self.split.finditer(text), [], self.ranks.word
-        while words := [m.group() for m in islice(found, SLICE)]:
-            parts.append(np.fromiter(chain.from_iterable(map(word, words)), np.int32))
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+    def encode(self, text: str) -> array:
+        word = self.ranks.word
+        if len(text) <= SLICE:
+            return array("i", b"".join(map(word, self.split.findall(text))))
+        found, ids = self.split.finditer(text), array("i")
+        while part := b"".join(map(word, map(MATCHED, islice(found, SLICE)))):
+            ids.frombytes(part)
+        return ids
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.ranks.labels.__getitem__, ids))
 
+    def written(self, ids) -> str:
+        """The ids as decimal numbers, joined by one space."""
+        return " ".join(map(self.decimals.__getitem__, ids))
+
 
 _MADE: dict[tuple[str, str], Encoder] = {}
 
@@ -156,61 +168,59 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _MADE[path, pattern]
 
 
-def _encode(path: str, pattern: str):
+def _rows(path: str, pattern: str, column: str, row, fields: list[pa.Field]):
+    """A function on Arrow batches: ``row(encoder, value)`` of each value of ``column``, in small batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         try:
             for batch in batches:
-                docs, ids, n = [], [], 0
-
-                def made():
-                    of = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                    return pa.RecordBatch.from_arrays(
-                        [pa.array(docs, pa.int64()), pa.ListArray.from_arrays(of, np.concatenate(ids))],
-                        names=["doc_id", "ids"])
-
-                for doc, text in zip(batch["doc_id"], batch["text"]):
-                    docs.append(doc.as_py())
-                    ids.append(own.encode(text.as_py() or ""))
-                    n += len(ids[-1])
-                    if n >= BATCH_IDS:
-                        yield made()
-                        docs, ids, n = [], [], 0
-                if docs:
-                    yield made()
+                rows, n = [], 0
+                for doc, value in zip(batch["doc_id"], batch[column]):
+                    rows.append((doc.as_py(), *row(own, value)))
+                    n += len(value) if column == "ids" and value.is_valid else len(value.as_py() or "")
+                    if n >= BATCH:
+                        yield _batch(rows, fields)
+                        rows, n = [], 0
+                if rows:
+                    yield _batch(rows, fields)
         finally:
             own.ranks.word.cache_clear()
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids) per row; ``path`` must name the rank file on every executor."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(_encode(path, pattern), "doc_id long, ids array<int>")
+def _batch(rows: list[tuple], fields: list[pa.Field]) -> pa.RecordBatch:
+    columns = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=pa.schema(fields))
 
 
-def _decode(path: str, pattern: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                texts = [own.decode(ids.values.to_numpy()) for ids in part["ids"]]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["ids"], pa.array(texts, pa.binary())],
-                                                 names=["doc_id", "ids", "decoded"])
+DOC = pa.field("doc_id", pa.int64())
+IDS = pa.field("ids", pa.list_(pa.int32()))
 
-    return run
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids) per row; ``path`` must name the rank file on every executor."""
+    run = _rows(path, pattern, "text", lambda own, text: (own.encode(text.as_py() or ""),), [DOC, IDS])
+    return _plain(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids, decoded): the bytes of the ids of each row."""
-    return tokens.select("doc_id", "ids").mapInArrow(_decode(path, pattern), "doc_id long, ids array<int>, decoded binary")
+    """(doc_id, decoded): the bytes of the ids of each row; NULL ids are none."""
+    run = _rows(path, pattern, "ids", lambda own, ids: (own.decode(ids.as_py() or ()),), [DOC, pa.field("decoded", pa.binary())])
+    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
+
+
+def _digests(own: Encoder, text) -> tuple[int, str, str]:
+    ids = own.encode(text.as_py() or "")
+    return (len(ids), hashlib.sha256(own.written(ids).encode()).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest())
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row, of encoding and decoding."""
-    back = decode(encode(docs, path, pattern), path, pattern)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row, of encoding and decoding in one pass."""
+    fields = [DOC, pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
+    return _plain(docs).mapInArrow(_rows(path, pattern, "text", _digests, fields),
+                                   "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

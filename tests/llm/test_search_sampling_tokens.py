@@ -63,6 +63,17 @@ def test_tokens_equal_the_library(spark, library):
         library, [(r["doc_id"], r["text"]) for r in docs.collect()])
     assert rows_of(longest_match_bpe.round_trip(odd(spark), RANKS, PATTERN)) == want_tokens(library, ODD)
     assert longest_match_bpe.round_trip(odd(spark).limit(0), RANKS, PATTERN).count() == 0
+    ids = longest_match_bpe.encode(odd(spark), RANKS, PATTERN)
+    assert rows_of(ids) == sorted(((d, library.encode_ordinary(t or "")) for d, t in ODD), key=repr)
+    back = longest_match_bpe.decode(ids, RANKS, PATTERN)
+    assert sorted(((r[0], bytes(r[1])) for r in back.collect()), key=repr) == sorted(((d, (t or "").encode()) for d, t in ODD), key=repr)
+
+
+def test_slices_of_long_texts_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(longest_match_bpe, "SLICE", 5)
+    own = longest_match_bpe.Encoder(RANKS, PATTERN)
+    for _, text in ODD:
+        assert list(own.encode(text or "")) == library.encode_ordinary(text or "")
 
 
 def test_pieces_of_random_bytes_equal_merging(library):
