@@ -169,7 +169,7 @@ class Items:
         highest = np.array(group["highest"], np.int64)
         norm = self.norms(np.array(group["lengths"], np.int64))
         may, before = np.ones((len(self.words), columns), bool), np.zeros(columns, np.int64)
-        most = np.zeros((len(self.words), columns))
+        most = np.zeros((len(self.words), columns), np.int64)
         for level in range(LEVELS):
             if highest.max() < 1 << level:
                 break
@@ -178,7 +178,7 @@ class Items:
             cap = highest if level == LEVELS - 1 else np.minimum(highest, (2 << level) - 1)
             now = share(cap, norm)
             # Documents whose highest count is below this level add nothing more: now equals before.
-            most += may * (now - before)
+            most += np.where(may, now - before, 0)
             before = now
         most *= self.weights[:, None]
         return np.array([most[own].sum(axis=0) for own in self.own]).reshape(len(self.own), columns)
@@ -192,28 +192,34 @@ class Items:
         return total
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch as Python values, one in memory at a time."""
+    for row in range(batch.num_rows):
+        yield batch.slice(row, 1).to_pylist()[0]
+
+
 # --- search --------------------------------------------------------------------------------------------------------
 
-SEEDS = "item int, bound double, block long, place int"
+SEEDS = "item int, bound long, block long, place int"
 
 
 def _seeds(items: Items, k: int):
     """The ``k`` documents of highest bound of each item and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [np.zeros((0, 3)) for _ in items.own]
+        best = [np.zeros((0, 3), np.int64) for _ in items.own]
         for batch in batches:
-            for group in batch.to_pylist():
+            for group in _groups(batch):
                 for item, bound in enumerate(items.bounds(group)):
                     found = np.flatnonzero(bound > 0)
-                    rows = np.column_stack([bound[found], np.full(len(found), group["block"]), found])
+                    rows = np.column_stack([bound[found], np.full(len(found), group["block"]), found]).astype(np.int64)
                     rows = np.concatenate([best[item], rows])
                     if len(rows) > k:
                         rows = rows[np.argpartition(-rows[:, 0], k - 1)[:k]]
                     best[item] = rows
         numbers = np.repeat(np.arange(len(best)), [len(b) for b in best])
-        rows = np.concatenate(best) if best else np.zeros((0, 3))
+        rows = np.concatenate(best) if best else np.zeros((0, 3), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.int32()), pa.array(rows[:, 0]), pa.array(rows[:, 1].astype(np.int64)),
+            [pa.array(numbers, pa.int32()), pa.array(rows[:, 0]), pa.array(rows[:, 1]),
              pa.array(rows[:, 2].astype(np.int32))], names=["item", "bound", "block", "place"])
 
     return run
@@ -240,7 +246,7 @@ def _survivors(items: Items, floors: np.ndarray, k: int):
         best: list[list[tuple]] = [[] for _ in items.own]
         for batch in batches:
             texts = batch["texts"]
-            for row, group in enumerate(batch.drop_columns(["texts"]).to_pylist()):
+            for row, group in enumerate(_groups(batch.drop_columns(["texts"]))):
                 bound = items.bounds(group)
                 reach = (bound >= floors[:, None]) & (bound > 0)
                 for place in np.flatnonzero(reach.any(axis=0)):
