@@ -1,8 +1,4 @@
 """Column-expression helpers (JVM-side, codegen-friendly; no Python UDFs)."""
 
-from quarry.functions.columns import (  # noqa: F401
-    half_up_pct, hash_order_key, hash_fraction_below, suffix_label, round_to,
-)
-from quarry.functions.logs import (  # noqa: F401
-    log_fields, log_parts, parse_log_frame, parse_log_line, render_log_line,
-)
+from quarry.functions.columns import half_up_pct, hash_order_key, suffix_label  # noqa: F401
+from quarry.functions.logs import log_fields, log_parts, parse_log_frame, render_log_line  # noqa: F401

@@ -7,6 +7,8 @@ whole-stage codegen; none needs a Python worker.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from fractions import Fraction
+from math import floor
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,11 +30,6 @@ def half_up_pct(part: str | Column, total: str | Column) -> Column:
     return F.floor(ratio + F.lit(0.5)).cast("double") / F.lit(100.0)
 
 
-def round_to(col: str | Column, digits: int) -> Column:
-    """Round a double to ``digits`` decimals (used to make float noise stable)."""
-    return F.round(_c(col).cast("double"), digits)
-
-
 def hash_order_key(key: str | Column, seed: int | str) -> Column:
     """Repeatable pseudo-random sort key: hex md5 of ``"<seed>:<key>"``.
 
@@ -43,29 +40,16 @@ def hash_order_key(key: str | Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
 
 
-def hash_fraction_below(hex_hash: str | Column, fraction: float | Column,
-                        digits: int = 8) -> Column:
-    """True when the hash, read as a number in [0, 1), is below ``fraction``.
+def threshold_hex(fraction: float | Fraction, digits: int = 32) -> str:
+    """Zero-padded lower-case hex of ``floor(fraction * 16**digits)``, exactly.
 
-    Compares the first ``digits`` hex characters as text against the
-    zero-padded hex threshold ``floor(fraction * 16**digits)``: a plain string
-    comparison, so no engine-specific base conversion is needed.
+    An md5 is below it, as text, with this probability; 1 gives a text above
+    every digest.  Floats stand for the simplest fraction nearby.
     """
-    prefix = F.substring(_c(hex_hash), 1, digits)
-    if isinstance(fraction, Column):
-        threshold = F.lpad(F.lower(F.hex(F.floor(fraction * F.lit(float(16 ** digits))))),
-                           digits, "0")
-        return prefix < threshold
-    if fraction >= 1.0:
-        return F.lit(True)
-    if fraction <= 0.0:
-        return F.lit(False)
-    return prefix < F.lit(threshold_hex(fraction, digits))
-
-
-def threshold_hex(fraction: float, digits: int = 8) -> str:
-    """Zero-padded lower-case hex of ``floor(fraction * 16**digits)``."""
-    return format(int(fraction * 16 ** digits), f"0{digits}x")
+    value = Fraction(fraction).limit_denominator(10 ** 9)
+    if not 0 <= value <= 1:
+        raise ValueError(f"fraction must be in [0, 1], got {fraction}")
+    return "g" if value == 1 else format(floor(value * 16 ** digits), f"0{digits}x")
 
 
 def suffix_label(host: str | Column, mapping: Mapping[str, str],

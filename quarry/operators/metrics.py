@@ -2,9 +2,8 @@
 
 * regression: RMSE, MAE and MSE together in one ``agg``;
 * classification: accuracy with the confusion counts;
-* area under ROC, exact, with mid-ranks for tied scores -- computed from
-  per-score counts and prefix sums over score ranges, so neither all rows
-  nor all distinct scores are ever sorted in a single task.
+* area under ROC, exact, with mid-ranks for tied scores -- from per-score
+  counts and prefix sums over ranges of the score.
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import join_null_safe
+from quarry.operators.ranking import in_ranges
+from quarry.sources.worktables import WorkTables
 
 
 def _c(x: str | Column) -> Column:
@@ -23,22 +24,23 @@ def _c(x: str | Column) -> Column:
 
 def regression_metrics(df: DataFrame, label: str | Column, prediction: str | Column,
                        by: Sequence[str] = ()) -> DataFrame:
-    """``n, rmse, mae, mse`` of ``prediction`` against ``label`` per group.
+    """``n, n_unscored, rmse, mae, mse`` of ``prediction`` against ``label`` per group.
 
-    Rows whose label or prediction is NULL or NaN are left out (as
-    ``coldStartStrategy="drop"`` would).
+    Rows whose label or prediction is NULL or NaN have no error; they are
+    counted in ``n_unscored``.
     """
     d = (_c(prediction).cast("double") - _c(label).cast("double"))
     ok = d.isNotNull() & ~F.isnan(d)
     dd = F.when(ok, d)
     mse = F.avg(dd * dd)
-    return df.groupBy(*by).agg(F.count(dd).alias("n"), F.sqrt(mse).alias("rmse"),
+    return df.groupBy(*by).agg(F.count(dd).alias("n"), (F.count(F.lit(1)) - F.count(dd)).alias("n_unscored"), F.sqrt(mse).alias("rmse"),
                                F.avg(F.abs(dd)).alias("mae"), mse.alias("mse"))
 
 
 def classification_report(df: DataFrame, label: str | Column, prediction: str | Column,
                           by: Sequence[str] = ()) -> DataFrame:
-    """Accuracy and binary confusion counts (positive class = 1)."""
+    """Accuracy and binary confusion counts (positive class = 1); rows without
+    a label or a prediction are counted in ``n_unscored`` only."""
     y = _c(label).cast("double")
     p = _c(prediction).cast("double")
 
@@ -46,57 +48,47 @@ def classification_report(df: DataFrame, label: str | Column, prediction: str |
         return F.count(F.when(cond, F.lit(1)))
 
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count((y == p)).alias("n"), cnt((y == p).isNull()).alias("n_unscored"),
         F.avg((y == p).cast("double")).alias("accuracy"),
         cnt((y == 1) & (p == 1)).alias("tp"), cnt((y != 1) & (p == 1)).alias("fp"),
         cnt((y != 1) & (p != 1)).alias("tn"), cnt((y == 1) & (p != 1)).alias("fn"))
 
 
 def area_under_roc(df: DataFrame, score: str | Column, label: str | Column,
-                   by: Sequence[str] = (), ranges: int = 256,
-                   accuracy: int = 10000) -> DataFrame:
-    """Exact area under the ROC curve per group; NULL when a class is absent.
+                   by: Sequence[str] = ()) -> DataFrame:
+    """Exact ``auc, n_pos, n_neg, n_unscored`` per group; ``auc`` is NULL when a class is absent.
 
     AUC = sum over positives of (#negatives scored lower + 0.5 * #negatives
-    tied) / (P * N), i.e. the Mann-Whitney statistic with mid-ranks.
-
-    Plan: count positives and negatives per distinct score (materialised
-    once, so the input is read a single time); cut the
-    distinct scores into ``ranges`` contiguous score ranges (approximate
-    quantiles only choose the cut points, the result stays exact); prefix
-    sums of negatives run across the small per-range table and within
-    each range.
+    tied) / (P * N), i.e. the Mann-Whitney statistic with mid-ranks.  Rows with
+    a NULL or NaN score or a NULL label rank nowhere and are counted in
+    ``n_unscored``.  A hard label is a score like any other (0 or 1).
+
+    Plan: one pass counts positives and negatives per distinct score; these
+    counts are sorted over ranges of (group, score), and the negatives below a
+    score are those of the group's earlier ranges plus those before it in its
+    own range.  No task holds a whole group, the sums are integers.
     """
-    out_by = list(by)
-    # An ungrouped AUC is the one-group case: a constant group column keeps
-    # every join an equi-join.
-    by = out_by or ["_g"]
-    df = df if out_by else df.withColumn("_g", F.lit(0))
-    s = df.select(*by, _c(score).cast("double").alias("_s"),
-                  (_c(label).cast("double") == 1.0).alias("_pos"))
-    s = s.filter(F.col("_s").isNotNull() & F.col("_pos").isNotNull())
-    per = s.groupBy(*by, "_s").agg(F.count(F.when(F.col("_pos"), 1)).alias("_p"),
-                                   F.count(F.when(~F.col("_pos"), 1)).alias("_n"))
-    # The per-score table feeds the cut points, the per-range sums and the
-    # final pass: materialise it once (reliably) so the input -- often a
-    # model's predictions -- is computed a single time.
-    from quarry.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    per = per.checkpoint(eager=True)
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = per.groupBy(*by).agg(F.percentile_approx("_s", probs, accuracy).alias("_cuts"))
-    per = join_null_safe(per, cuts, by, "left")
-    per = per.withColumn("_r", F.size(F.filter("_cuts", lambda c: c < F.col("_s")))).drop("_cuts")
-    rng = per.groupBy(*by, "_r").agg(F.sum("_n").alias("_rn"))
-    before_range = Window.partitionBy(*by).orderBy("_r").rowsBetween(
-        Window.unboundedPreceding, -1)
-    rng = rng.withColumn("_nb", F.coalesce(F.sum("_rn").over(before_range), F.lit(0)))
-    within = Window.partitionBy(*by, "_r").orderBy("_s").rowsBetween(
-        Window.unboundedPreceding, -1)
-    per = (join_null_safe(per, rng.select(*by, "_r", "_nb"), by + ["_r"])
-           .withColumn("_nw", F.coalesce(F.sum("_n").over(within), F.lit(0))))
-    contrib = F.col("_p") * (F.col("_nb") + F.col("_nw") + F.col("_n") * F.lit(0.5))
-    agg = per.groupBy(*by).agg(F.sum(contrib).alias("_u"), F.sum("_p").alias("n_pos"),
-                               F.sum("_n").alias("n_neg"))
-    auc = F.try_divide(F.col("_u"), (F.col("n_pos") * F.col("n_neg")).cast("double"))
-    return agg.select(*out_by, auc.alias("auc"), "n_pos", "n_neg")
+    by = list(by)
+    value, pos = _c(score).cast("double"), _c(label).cast("double") == 1.0
+    ranked = value.isNotNull() & ~F.isnan(value) & pos.isNotNull()
+    rows = df.select(*by, F.when(ranked, value).alias("_s"), pos.alias("_pos"), ranked.alias("_ok"))
+    per = rows.groupBy(*by, "_s").agg(
+        F.count(F.when(F.col("_ok") & F.col("_pos"), 1)).alias("_p"),
+        F.count(F.when(F.col("_ok") & ~F.col("_pos"), 1)).alias("_n"),
+        F.count(F.when(~F.col("_ok"), 1)).alias("_u"))
+    work = WorkTables(df.sparkSession, "auc")
+    placed = in_ranges(per, [*[F.col(c) for c in by], F.col("_s")], work, result=True)
+    keys = ["_part", *by]
+    # One row per range (and group in it).
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (placed.groupBy(*keys).agg(F.sum("_n").alias("_rn"))
+              .select(*keys, F.coalesce(F.sum("_rn").over(earlier), F.lit(0)).alias("_nb")))
+    before = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    per = (join_null_safe(placed, ranges, keys)
+           .withColumn("_below", F.col("_nb") + F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    # Twice the pairs won, in integers of up to 38 digits.
+    won = F.col("_p").cast("decimal(19,0)") * (2 * F.col("_below") + F.col("_n")).cast("decimal(19,0)")
+    total = per.groupBy(*by).agg(F.sum(won).alias("_won"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"),
+                                 F.sum("_u").alias("n_unscored"))
+    pairs = 2.0 * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+    return total.select(*by, F.try_divide(F.col("_won").cast("double"), pairs).alias("auc"), "n_pos", "n_neg", "n_unscored")

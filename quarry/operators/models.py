@@ -113,20 +113,20 @@ def fit_and_score(spark: SparkSession, name: str, reg_param: float, parts: DataF
     return m, coefs
 
 
-def als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.1, seed: int = 220187314,
+def als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.1, seed: int = 20240501,
         user: str = "user_id", item: str = "item_id", rating: str = "rating") -> ALS:
     """Explicit-feedback ALS; cold-start rows are dropped at scoring time."""
     return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=user, itemCol=item,
                ratingCol=rating, seed=seed, coldStartStrategy="drop")
 
 
-def kmeans(k: int = 25, seed: int = 220187314, features: str = "features") -> KMeans:
+def kmeans(k: int = 25, seed: int = 20240501, features: str = "features") -> KMeans:
     return KMeans(k=k, seed=seed, featuresCol=features)
 
 
-def random_forest(label: str = "label", seed: int = 220187314, **params) -> RandomForestClassifier:
+def random_forest(label: str = "label", seed: int = 20240501, **params) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, seed=seed, **params)
 
 
-def boosted_trees(label: str = "label", seed: int = 220187314, **params) -> GBTClassifier:
+def boosted_trees(label: str = "label", seed: int = 20240501, **params) -> GBTClassifier:
     return GBTClassifier(labelCol=label, seed=seed, **params)

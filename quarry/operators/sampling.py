@@ -1,265 +1,103 @@
-"""Repeatable, exact splits and samples without a global sort.
-
-Every split here is a function of each row's *key* only (an md5 of
-``"<seed>:<key>"`` or the row's timestamp), never of ``rand()`` or of the
-partitioning, so a lost executor recomputes exactly the same rows and the
-same split comes out on every cluster size.
-
-Exact "first k rows of each group in a total order" is computed by a
-*histogram cut* instead of ranking all rows:
-
-1. count rows per (group, coarse bucket) -- a small table;
-2. running sums over that table tell, per bucket, whether all of it, none
-   of it or only part of it falls within the first k;
-3. only the one boundary bucket per group is refined with the next, finer
-   bucket level, and only until that bucket is small (levels have bounded
-   fan-out: day -> hour -> minute -> second -> ms -> exact time; integer
-   keys by 12-bit shifts; md5 by longer prefixes), so every running sum runs
-   over a few thousand histogram rows;
-4. the decided rows get their flag by joining the small decision tables
-   (AQE broadcasts them when their measured size allows, and keeps a
-   shuffle join otherwise); the few rows of the last boundary bucket are
-   ranked row by row.  Rows tied on *every* order column (interchangeable)
-   beyond ``max_rank_rows`` are numbered by position per partition and
-   offsets instead, so even a third of the data tied on one value is never
-   sorted in one task.
-
-The small histograms and the flags of the boundary rows are checkpointed
-(reliable storage), so recomputing a lost partition can never move a row
-from one side to the other.
+"""Repeatable, exact splits and samples.
+
+Every split is a function of the rows' values only (an md5 of ``"<seed>:<key>"``
+or the row's timestamp, and the whole row where these tie), never of ``rand()``
+or of the partitioning, so a lost executor recomputes exactly the same rows and
+the same split comes out on every cluster.  The work is done by the cuts of
+:mod:`quarry.operators.cuts`: only keys are sorted, rows are compared with one
+key per class and stay where they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import hash_order_key, threshold_hex
+from quarry.operators.cuts import Cuts, find_cuts, label as label_rows
 
 
-def _bp(fraction: float) -> int:
-    """Fraction in basis points; targets use exact integer arithmetic."""
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError(f"fraction must be in [0, 1], got {fraction}")
-    return int(round(fraction * 10000))
-
-
-def head_target(bp: int | str) -> Callable[[Column], Column]:
-    """``floor(n * bp / 10000)`` for a literal or a column of basis points."""
-    def f(cnt: Column) -> Column:
-        b = F.lit(bp) if isinstance(bp, int) else F.col(bp)
-        return F.floor((cnt * b.cast("long")) / F.lit(10000)).cast("long")
-    return f
-
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    from quarry.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def order_levels(df: DataFrame, order: Sequence[str],
-                 first: Sequence[Column] | None = None) -> list[Column]:
-    """Bucket levels (coarse -> fine, bounded fan-out) for a sort order.
-
-    Each level is consistent with sorting by ``order`` and refines the one
-    before: timestamps by day, hour, minute, second, millisecond, exact;
-    integers by 12-bit right shifts; strings by growing prefixes; other
-    types exactly.  ``first`` replaces the levels of the first column.
-    """
-    types = dict(df.dtypes)
-    levels: list[Column] = []
-    exact: list[Column] = []
-    for i, c in enumerate(order):
-        col, t = F.col(c), types[c]
-        if i == 0 and first is not None:
-            own = list(first) + [col]
-        elif t.startswith("timestamp") or t == "date":
-            own = [F.date_trunc(u, col) for u in
-                   ("day", "hour", "minute", "second", "millisecond")] + [col]
-            if t == "date":
-                own = [col]
-        elif t in ("bigint", "int", "smallint", "tinyint"):
-            own = [F.shiftright(col.cast("long"), b) for b in (48, 36, 24, 12)] + [col]
-        elif t == "string":
-            own = [F.substring(col, 1, n) for n in (1, 2, 4, 8, 16, 32)] + [col]
-        else:
-            own = [col]
-        levels += [F.struct(*exact, lvl.alias(f"_l{i}")) if exact else lvl for lvl in own]
-        exact.append(col.alias(f"_e{i}"))
-    return levels
-
-
-def ordered_head(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                 levels: Sequence[Column], target: Callable[[Column], Column],
-                 flag_col: str = "_head", max_rank_rows: int = 100_000) -> DataFrame:
-    """Flag the first ``target(n_group)`` rows of each ``by`` group.
-
-    ``order`` sorts the rows; rows equal in all its columns are
-    interchangeable.  ``levels`` are bucket expressions, each consistent
-    with ``order`` and each a refinement of the previous one (see
-    :func:`order_levels`); refinement stops as soon as every boundary bucket
-    holds at most ``max_rank_rows`` rows.  ``target`` may use the ``by``
-    columns.  Groups and buckets are compared as structs, which join NULL
-    with NULL, so rows with a NULL class or timestamp are kept.
-    """
-    by = list(by)
-    gk = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
-    d = df.withColumn("_gk", gk)
-    bcols: list[str] = []
-    decisions: list[DataFrame] = []
-    boundary = None  # _gk + bcols + _need + _c, one row per undecided bucket
-    for i, lvl in enumerate(levels):
-        b = f"_b{i}"
-        d = d.withColumn(b, F.struct(lvl.alias("v")))
-        part = ["_gk"] + bcols
-        rows = d if boundary is None else d.join(boundary.select(*part), part, "left_semi")
-        hist = rows.groupBy(*part, *by, b).agg(F.count(F.lit(1)).alias("_c"))
-        run = Window.partitionBy(*part).orderBy(b).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        hist = hist.withColumn("_upto", F.sum("_c").over(run))
-        if boundary is None:
-            hist = hist.withColumn("_need", target(F.sum("_c").over(Window.partitionBy("_gk"))))
-        else:
-            hist = hist.join(boundary.select(*part, "_need"), part)
-        hist = hist.withColumn("_before", F.col("_upto") - F.col("_c"))
-        state = (F.when(F.col("_upto") <= F.col("_need"), F.lit(True))
-                 .when(F.col("_before") >= F.col("_need"), F.lit(False)))
-        hist = _checkpoint(hist.withColumn("_state", state)
-                           .select(*part, b, "_c", "_need", "_before", "_state"))
-        bcols.append(b)
-        decisions.append(hist.filter(F.col("_state").isNotNull())
-                         .select(*bcols, "_gk", F.col("_state").alias(f"_s{i}")))
-        boundary = (hist.filter(F.col("_state").isNull())
-                    .select(*part, b, (F.col("_need") - F.col("_before")).alias("_need"), "_c"))
-        largest = boundary.agg(F.max("_c")).first()[0]
-        if largest is None or largest <= max_rank_rows:
-            break
-    nb = len(bcols)
-    last = ["_gk"] + bcols
-    flags = [F.col(f"_s{i}") for i in range(nb)]
-    decided = d
-    for i, dec in enumerate(decisions):
-        decided = decided.join(dec, ["_gk"] + bcols[: i + 1], "left")
-    decided = (decided.filter(F.coalesce(*flags).isNotNull())
-               .withColumn(flag_col, F.coalesce(*flags))
-               .drop(*[f"_s{i}" for i in range(nb)]))
-    tied = d.join(boundary.drop("_c"), last)
-    largest = boundary.agg(F.max("_c")).first()[0] or 0
-    if largest <= max_rank_rows:
-        rank = Window.partitionBy(*last).orderBy(*[F.col(c) for c in order])
-        ranked = tied.withColumn(flag_col, F.row_number().over(rank) <= F.col("_need"))
-    else:
-        ranked = _positional_head(tied, last, flag_col)
-    ranked = _checkpoint(ranked.drop("_need"))
-    return decided.unionByName(ranked).drop("_gk", *bcols)
-
+def _named(band: Column, names: tuple[str, str]) -> Column:
+    return F.when(band == 0, F.lit(names[0])).otherwise(F.lit(names[1]))
 
-def _positional_head(tied: DataFrame, last: list[str], flag_col: str) -> DataFrame:
-    """First ``_need`` rows of each bucket whose rows are all tied.
 
-    The rows are interchangeable, so any ``_need`` of them will do: each
-    row's position is its partition's offset within the bucket (from the
-    small per-(bucket, partition) count table) plus its index inside the
-    partition -- no sort of the bucket, no single hot task.
-    """
-    t = tied.withColumn("_pid", F.spark_partition_id())
-    t = _checkpoint(t.withColumn("_ix", F.row_number().over(
-        Window.partitionBy(*last, "_pid").orderBy(F.monotonically_increasing_id())) - 1))
-    counts = t.groupBy(*last, "_pid").agg(F.count(F.lit(1)).alias("_pc"))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_pc").over(
-        Window.partitionBy(*last).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)))
-    t = t.join(offsets.select(*last, "_pid", "_off"), last + ["_pid"])
-    return (t.withColumn(flag_col, F.col("_off") + F.col("_ix") < F.col("_need"))
-            .drop("_pid", "_ix", "_off"))
+def _split_cuts(df: DataFrame, label: str, key: str, ratio: float | Fraction, seed: int, min_class: int) -> Cuts:
+    return find_cuts(df, [label], [hash_order_key(F.col(key), seed), F.col(key)], [ratio], min_class)
 
 
-def stratified_split(df: DataFrame, label: str, key: str, ratio: float = 0.7,
+def stratified_split(df: DataFrame, label: str, key: str, ratio: float | Fraction = 0.7,
                      seed: int = 14, split_col: str = "split",
-                     names: tuple[str, str] = ("train", "test"),
-                     hex_levels: tuple[int, ...] = (3, 6, 9, 12, 16, 24),
-                     max_rank_rows: int = 100_000) -> DataFrame:
+                     names: tuple[str, str] = ("train", "test"), min_class: int = 0) -> DataFrame:
     """Exact stratified split: per class the first ``floor(ratio * n)`` rows
     in md5 order go to ``names[0]``, the rest to ``names[1]``.
 
     Class shares are therefore equal in both parts up to one row per class.
-    ``hex_levels`` are the md5 prefix lengths of the histogram levels (12
-    bits of fan-out each); usually the first one or two suffice.
+    Classes of fewer than ``min_class`` rows go to ``names[0]`` as a whole.
     """
-    d = df.withColumn("_h", hash_order_key(F.col(key), seed))
-    levels = order_levels(d, ["_h", key], [F.substring("_h", 1, n) for n in hex_levels])
-    flagged = ordered_head(d, [label], ["_h", key], levels, head_target(_bp(ratio)),
-                           max_rank_rows=max_rank_rows)
-    return (flagged.withColumn(split_col, F.when(F.col("_head"), F.lit(names[0]))
-                               .otherwise(F.lit(names[1])))
-            .drop("_h", "_head"))
+    cuts = _split_cuts(df, label, key, ratio, seed, min_class)
+    return label_rows(df, cuts, "_band").withColumn(split_col, _named(F.col("_band"), names)).drop("_band")
 
 
-def holdout_split(df: DataFrame, label: str, key: str, ratio: float = 0.7,
-                  inner_ratio: float = 0.9, seed: int = 14, inner_seed: int = 15,
-                  split_col: str = "split") -> DataFrame:
-    """Train/test split, then the train part split again into fit/validate."""
-    outer = stratified_split(df, label, key, ratio, seed, split_col)
-    inner = stratified_split(outer.filter(F.col(split_col) == "train").drop(split_col),
-                             label, key, inner_ratio, inner_seed, split_col,
-                             names=("fit", "validate"))
-    return inner.unionByName(outer.filter(F.col(split_col) == "test"))
+def holdout_split(df: DataFrame, label: str, key: str, ratio: float | Fraction = 0.7,
+                  inner_ratio: float | Fraction = 0.9, seed: int = 14, inner_seed: int = 15,
+                  split_col: str = "split", min_class: int = 0) -> DataFrame:
+    """Train/test split, then the train part split again into fit/validate.
+
+    The inner cuts are found among the keys of the train part; both labels are
+    then made in one pass over the rows.
+    """
+    outer = label_rows(df, _split_cuts(df, label, key, ratio, seed, min_class), "_outer")
+    train = F.col("_outer") == 0
+    inner = _split_cuts(outer.where(train), label, key, inner_ratio, inner_seed, min_class)
+    both = label_rows(outer, inner, "_inner", only=train)
+    name = F.when(train, _named(F.col("_inner"), ("fit", "validate"))).otherwise(F.lit("test"))
+    return both.withColumn(split_col, name).drop("_outer", "_inner")
 
 
 def stratified_sample(df: DataFrame, label: str, key: str,
-                      fractions: float | Mapping[object, float], seed: int = 7,
-                      digits: int = 8) -> DataFrame:
-    """Bernoulli sample per class by md5 threshold (no shuffle, repeatable).
+                      fractions: float | Fraction | Mapping[object, float | Fraction], seed: int = 7) -> DataFrame:
+    """Bernoulli sample per class: rows whose key's md5 is below the fraction (no shuffle, repeatable).
 
     A single ``fraction`` keeps the class balance; a mapping gives one
     fraction per class (classes not in it are dropped, as with ``sampleBy``).
     """
-    prefix = F.substring(hash_order_key(F.col(key), seed), 1, digits)
-    if isinstance(fractions, Mapping):
-        pairs = []
-        for cls, frac in fractions.items():
-            pairs += [F.lit(cls), F.lit(threshold_hex(min(max(frac, 0.0), 1.0), digits)
-                                        if frac < 1.0 else "g" * digits)]
-        thr = F.try_element_at(F.create_map(*pairs), F.col(label))
-        return df.filter(thr.isNotNull() & (prefix < thr))
-    if fractions >= 1.0:
-        return df
-    return df.filter(prefix < F.lit(threshold_hex(fractions, digits)))
+    digest = hash_order_key(F.col(key), seed)
+    if not isinstance(fractions, Mapping):
+        return df.filter(digest < F.lit(threshold_hex(fractions)))
+    pairs = [F.lit(x) for cls, f in fractions.items() for x in (cls, threshold_hex(f))]
+    return df.filter(digest < F.try_element_at(F.create_map(*pairs), F.col(label)))
 
 
-def temporal_split(df: DataFrame, ts: str, key: str | Sequence[str],
-                   fractions: Sequence[float] = (0.4, 0.6, 0.8),
-                   frac_col: str = "train_frac", split_col: str = "split",
-                   max_rank_rows: int = 100_000) -> DataFrame:
-    """Oldest ``floor(f * n)`` rows (by ts, then key) train, the rest test.
+def temporal_bands(df: DataFrame, ts: str, key: str | Sequence[str], fractions: Sequence[float | Fraction],
+                   band_col: str = "band") -> DataFrame:
+    """``df`` with the number of fractions whose oldest rows do not include the row.
 
-    One copy of the rows per fraction ``f`` (a generator, not a join); all
-    fractions are cut in the same plan.  Levels: day, hour, ..., exact time,
-    then the key columns (see :func:`order_levels`).
+    With fractions in ascending order, band ``b`` is train for the fractions
+    from the ``b``-th (0-based) on and test for those before it.
     """
-    spec = F.array(*[F.struct(F.lit(float(f)).alias("f"), F.lit(_bp(f)).alias("bp"))
-                     for f in fractions])
-    d = (df.withColumn("_fs", F.explode(spec))
-         .withColumn(frac_col, F.col("_fs.f")).withColumn("_fbp", F.col("_fs.bp")).drop("_fs"))
     keys = [key] if isinstance(key, str) else list(key)
-    levels = order_levels(d, [ts, *keys])
-    flagged = ordered_head(d, [frac_col, "_fbp"], [ts, *keys], levels, head_target("_fbp"),
-                           max_rank_rows=max_rank_rows)
-    return (flagged.withColumn(split_col, F.when(F.col("_head"), F.lit("train"))
-                               .otherwise(F.lit("test")))
-            .drop("_head", "_fbp"))
+    return label_rows(df, find_cuts(df, [], [F.col(c) for c in (ts, *keys)], fractions), band_col)
 
 
-def rest_of(df: DataFrame, part: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose keys are not in ``part`` (a left-anti join).
+def temporal_split(df: DataFrame, ts: str, key: str | Sequence[str],
+                   fractions: Sequence[float] = (0.4, 0.6, 0.8),
+                   frac_col: str = "train_frac", split_col: str = "split") -> DataFrame:
+    """Oldest ``floor(f * n)`` rows (by ts, then key) train, the rest test, for every fraction ``f``.
 
-    Bag semantics: duplicate rows of the rest are all kept (``subtract``
-    would collapse them).
+    The bands of one pass, written out as one copy of the rows per fraction;
+    jobs that need no copies use :func:`temporal_bands`.
     """
-    return df.join(part.select(*keys), list(keys), "left_anti")
+    ordered = sorted(fractions)
+    banded = temporal_bands(df, ts, key, ordered, "_band")
+    copies = F.array(*[F.struct(F.lit(float(f)).alias("f"), (F.col("_band") <= i).alias("head"))
+                       for i, f in enumerate(ordered)])
+    return (banded.withColumn("_copy", F.explode(copies))
+            .withColumns({frac_col: F.col("_copy.f"),
+                          split_col: F.when(F.col("_copy.head"), "train").otherwise("test")})
+            .drop("_copy", "_band"))
 
 
 def kfold_column(df: DataFrame, key: str, k: int, seed: int = 11,

@@ -161,7 +161,7 @@ def q_regression_metrics(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     pred = F.lit(SCORE_INTERCEPT) + F.lit(SCORE_SLOPE) * F.col("user_id")
     m = metrics.regression_metrics(ev, "value", pred, by=["event_type"])
-    return m.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "mse")])
+    return m.select("event_type", "n", "n_unscored", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "mse")])
 
 
 def _labelled_docs(spark, sf_dir):
@@ -173,14 +173,21 @@ def q_accuracy_score(spark, sf_dir):
     d = _labelled_docs(spark, sf_dir)
     pred = (F.col("n_chars") >= LONG_DOC_CHARS).cast("double")
     r = metrics.classification_report(d, "quality", pred)
-    return r.select("n", F.round("accuracy", 12).alias("accuracy"), "tp", "fp", "tn", "fn")
+    return r.select("n", "n_unscored", F.round("accuracy", 12).alias("accuracy"), "tp", "fp", "tn", "fn")
 
 
 def q_auc_score(spark, sf_dir):
     d = _labelled_docs(spark, sf_dir)
     long = d.unpivot("n_chars", ["quality", "toxic"], "label_name", "label")
     r = metrics.area_under_roc(long, "n_chars", "label", by=["label_name"])
-    return r.select("label_name", F.round("auc", 12).alias("auc"), "n_pos", "n_neg")
+    return r.select("label_name", F.round("auc", 12).alias("auc"), "n_pos", "n_neg", "n_unscored")
+
+
+def q_auc_hard_label(spark, sf_dir):
+    """The area under ROC of the predicted label itself, as a classifier without scores gives it."""
+    d = _labelled_docs(spark, sf_dir).withColumn("predicted", (F.col("n_chars") >= LONG_DOC_CHARS).cast("double"))
+    r = metrics.area_under_roc(d, "predicted", "quality")
+    return r.select(F.round("auc", 12).alias("auc"), "n_pos", "n_neg", "n_unscored")
 
 
 def _claims(spark, sf_dir):
@@ -313,6 +320,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regression_metrics": q_regression_metrics,
     "accuracy_score": q_accuracy_score,
     "auc_score": q_auc_score,
+    "auc_hard_label": q_auc_hard_label,
     "linear_l1": _linear(1.0),
     "linear_l2": _linear(0.0),
     "poisson_fit": _claim_report("glm_poisson"),

@@ -6,6 +6,11 @@ Type notes: DuckDB's ``sum(bigint)`` is HUGEINT and ``row_number()`` /
 
 from __future__ import annotations
 
+from decimal import Decimal, getcontext
+
+# Enough digits for 16 ** 32 times a decimal fraction.
+getcontext().prec = 60
+
 _TYPES = "('click', 'purchase', 'signup')"
 
 _DENSE_GRID = """
@@ -42,7 +47,7 @@ _OUTER = _SPLIT.format(seed=14, src="orders", bp=7000, a="train", b="test")
 
 
 def _thr(f):
-    return format(int(f * 16 ** 8), "08x")
+    return format(int(Decimal(f) * 16 ** 32), "032x")
 
 
 _CAT_INDEX = """
@@ -152,9 +157,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT * FROM i UNION ALL SELECT * FROM o WHERE split = 'test'""",
     "stratified_sample": f"""
         SELECT o_orderkey, o_orderstatus FROM orders
-        WHERE substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 8) <
-              CASE o_orderstatus WHEN 'F' THEN '{_thr(0.1)}' WHEN 'O' THEN '{_thr(0.2)}'
-                                 WHEN 'P' THEN '{_thr(0.3)}' END""",
+        WHERE md5('7:' || CAST(o_orderkey AS VARCHAR)) <
+              CASE o_orderstatus WHEN 'F' THEN '{_thr('0.1')}' WHEN 'O' THEN '{_thr('0.2')}'
+                                 WHEN 'P' THEN '{_thr('0.3')}' END""",
     "temporal_split": """
         WITH r AS (SELECT o_orderkey,
                           row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn,
@@ -187,14 +192,14 @@ ORACLE_SQL: dict[str, str] = {
     "regression_metrics": """
         WITH d AS (SELECT event_type, (10.0::DOUBLE + 0.1::DOUBLE * user_id) - value AS d
                    FROM events)
-        SELECT event_type, count(d) AS n, round(sqrt(avg(d * d)), 6) AS rmse,
+        SELECT event_type, count(d) AS n, count(*) - count(d) AS n_unscored, round(sqrt(avg(d * d)), 6) AS rmse,
                round(avg(abs(d)), 6) AS mae, round(avg(d * d), 6) AS mse
         FROM d GROUP BY event_type""",
     "accuracy_score": """
         WITH d AS (SELECT CAST(quality AS DOUBLE) AS y,
                           CASE WHEN n_chars >= 2000 THEN 1.0 ELSE 0.0 END::DOUBLE AS p
                    FROM documents JOIN labels USING (doc_id))
-        SELECT count(*) AS n, round(avg(CAST(y = p AS DOUBLE)), 12) AS accuracy,
+        SELECT count(y = p) AS n, count(*) - count(y = p) AS n_unscored, round(avg(CAST(y = p AS DOUBLE)), 12) AS accuracy,
                count(*) FILTER (WHERE y = 1 AND p = 1) AS tp,
                count(*) FILTER (WHERE y <> 1 AND p = 1) AS fp,
                count(*) FILTER (WHERE y <> 1 AND p <> 1) AS tn,
@@ -216,8 +221,17 @@ ORACLE_SQL: dict[str, str] = {
                      / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label <> 1))
                        ::DOUBLE, 12) AS auc,
                count(*) FILTER (WHERE label = 1) AS n_pos,
-               count(*) FILTER (WHERE label <> 1) AS n_neg
+               count(*) FILTER (WHERE label <> 1) AS n_neg,
+               count(*) FILTER (WHERE label IS NULL OR midrank IS NULL) AS n_unscored
         FROM r GROUP BY label_name""",
+    # With two score values the curve has one corner: the mean of both rates.
+    "auc_hard_label": """
+        WITH d AS (SELECT CAST(quality AS DOUBLE) AS y, n_chars >= 2000 AS p FROM documents JOIN labels USING (doc_id))
+        SELECT round((1.0::DOUBLE + avg(CAST(p AS INTEGER)) FILTER (WHERE y = 1)
+                      - avg(CAST(p AS INTEGER)) FILTER (WHERE y <> 1)) / 2, 12) AS auc,
+               count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y <> 1) AS n_neg,
+               count(*) FILTER (WHERE y IS NULL OR p IS NULL) AS n_unscored
+        FROM d""",
     # Lasso / ridge with one standardised feature have closed forms.
     "linear_l1": _linear("CASE WHEN b > 0 THEN greatest(b - reg_param / sx, 0.0) "
                          "ELSE least(b + reg_param / sx, 0.0) END"),
@@ -258,7 +272,7 @@ ORACLE_SQL: dict[str, str] = {
     "data_balance": f"""
         WITH e AS (SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS k,
                           CAST(l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem),
-        s AS (SELECT * FROM e WHERE substr(md5('15:' || k), 1, 8) < '{_thr(0.02)}'),
+        s AS (SELECT * FROM e WHERE md5('15:' || k) < '{_thr('0.02')}'),
         t AS (SELECT *, md5('14:' || k) AS h FROM s),
         p AS (SELECT label,
                      CASE WHEN row_number() OVER (PARTITION BY label ORDER BY h, k)

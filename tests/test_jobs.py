@@ -32,8 +32,7 @@ def test_temporal_parts_invariants(spark):
     parts = recommender.temporal_parts(ratings, (0.4, 0.8))
     n = ratings.count()
     for f in (0.4, 0.8):
-        p = parts.filter(F.col("train_frac") == f)
-        train, test = p.filter("split = 'train'"), p.filter("split = 'test'")
+        train, test = parts.train(f), parts.test(f)
         assert train.count() == int(n * f) and train.count() + test.count() == n
         assert train.agg(F.max("ts")).first()[0] <= test.agg(F.min("ts")).first()[0]
 

@@ -1,5 +1,7 @@
 import datetime as dt
+import math
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -27,22 +29,35 @@ def test_stratified_split_floors_and_partition(spark):
     assert by.get("big") == 70 and by.get("mid") == 7 and by.get("one", 0) == 0
 
 
-@pytest.mark.parametrize("max_rank_rows", [100_000, 40, 1])
-def test_stratified_split_equals_brute_force(spark, max_rank_rows):
+@pytest.mark.parametrize("ratio", [0.63, 1 / 3, Fraction(1, 3), 0.00004, 0.0, 1.0])
+def test_stratified_split_equals_brute_force(spark, ratio):
     rnd = random.Random(5)
     rows = [(i, rnd.choice("abc")) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, c string")
-    out = sampling.stratified_split(df, "c", "k", 0.63, seed=9, hex_levels=(1, 2),
-                                    max_rank_rows=max_rank_rows)
-    ours = {r.k: r.split for r in out.collect()}
+    ours = {r.k: r.split for r in sampling.stratified_split(df, "c", "k", ratio, seed=9).collect()}
     h = df.withColumn("h", hash_order_key(F.col("k"), 9))
     w = Window.partitionBy("c").orderBy("h", "k")
     brute = h.withColumn("rn", F.row_number().over(w)).withColumn(
         "n", F.count(F.lit(1)).over(Window.partitionBy("c")))
-    ref = {r.k: ("train" if r.rn <= (r.n * 6300) // 10000 else "test") for r in brute.collect()}
+    share = Fraction(ratio).limit_denominator(10 ** 9)
+    ref = {r.k: ("train" if r.rn <= math.floor(r.n * share) else "test") for r in brute.collect()}
     assert ours == ref
 
 
+def test_small_fractions_of_many_rows_are_exact(spark):
+    df = spark.range(100_000).select(F.col("id").alias("k"), F.lit("x").alias("c"))
+    assert sampling.stratified_split(df, "c", "k", 0.00004).where("split = 'train'").count() == 4
+    assert sampling.stratified_split(df.limit(99_999), "c", "k", 1 / 3).where("split = 'train'").count() == 33_333
+    with pytest.raises(ValueError):
+        sampling.stratified_split(df, "c", "k", 1.5)
+
+
+def test_rare_classes_can_go_to_train(spark):
+    out = sampling.stratified_split(_classes(spark), "c", "k", 0.7, seed=3, min_class=11)
+    got = {(r.c, r.split): r["count"] for r in out.groupBy("c", "split").count().collect()}
+    assert got == {("big", "train"): 70, ("big", "test"): 30, ("mid", "train"): 10, ("one", "train"): 1}
+
+
 def test_temporal_split_tie_break(spark):
     t0 = dt.datetime(2024, 1, 1)
     ts = [t0 + dt.timedelta(hours=i) for i in range(6)] + [t0 + dt.timedelta(hours=6)] * 4
@@ -89,32 +104,67 @@ def test_null_class_and_null_time_are_kept(spark):
     assert len(t) == 40 and sum(r.split == "train" for r in t) == 20
 
 
-def test_rest_of_keeps_duplicates(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c")], "k long, v string")
-    part = df.filter("k = 1")
-    assert sorted(r.k for r in sampling.rest_of(df, part, ["k"]).collect()) == [2, 2, 3]
+def _same_split(df, label_rows):
+    """The multiset of labelled rows under several partitionings."""
+    got = [sorted(map(repr, label_rows(df.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2]
+    return got[0]
 
 
-@pytest.mark.parametrize("max_rank_rows", [100_000, 2])
-def test_temporal_split_deep_levels_equal_brute_force(spark, max_rank_rows):
-    rnd = random.Random(7)
+def test_mass_ties_are_told_apart_by_the_whole_row(spark):
+    """Half of the rows share time and key but differ elsewhere: the same rows go everywhere."""
     t0 = dt.datetime(2024, 1, 1)
-    rows = [(rnd.randrange(50), t0 + dt.timedelta(minutes=rnd.randrange(3) * 90,
-                                                  seconds=rnd.randrange(3)))
-            for _ in range(400)]
-    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
-    out = sampling.temporal_split(df, "ts", "k", (0.37,), max_rank_rows=max_rank_rows)
-    got = sorted((r.ts, r.k, r.split) for r in out.collect())
-    srt = sorted((t, k) for k, t in rows)
-    cut = (len(rows) * 3700) // 10000
-    want = sorted((t, k, "train" if i < cut else "test") for i, (t, k) in enumerate(srt))
-    assert got == want
+    rows = [(7, t0, f"v{i}") for i in range(300)] + [(i, t0 + dt.timedelta(days=i % 9 - 4), None) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v string")
+    out = _same_split(df, lambda d: sampling.temporal_split(d, "ts", "k", (0.41, 0.5)))
+    assert sum("train_frac=0.41, split='train'" in r for r in out) == 246
+    assert sum("train_frac=0.5, split='train'" in r for r in out) == 300
 
 
-def test_massive_ties_use_positional_numbering(spark):
+def test_cuts_among_equal_rows_are_exact(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(7, t0, None)] * 50 + [(8, t0, "x")] * 10 + [(6, t0, "y")], "k long, ts timestamp_ntz, v string")
+    out = _same_split(df, lambda d: sampling.temporal_split(d, "ts", "k", (0.1, 1 / 3, 0.9)))
+    for f, n in ((0.1, 6), (1 / 3, 20), (0.9, 54)):
+        train = [r for r in out if f"train_frac={f}, split='train'" in r]
+        assert len(train) == n and sum("k=6" in r for r in train) == 1 and sum("k=8" in r for r in train) == max(0, n - 51)
+    assert len(out) == 183
+    with_map = df.withColumn("m", F.create_map(F.lit("a"), F.col("k")))
+    assert sampling.temporal_split(with_map, "ts", "k", (0.5,)).where("split = 'train'").count() == 30
+    classes = df.withColumn("c", F.when(F.col("k") > 7, "a"))
+    held = sampling.holdout_split(classes.repartition(5), "c", "k", 0.5, 0.5).groupBy("c", "split").count().collect()
+    assert {(r.c, r.split): r["count"] for r in held} == {("a", "fit"): 2, ("a", "validate"): 3, ("a", "test"): 5,
+                                                         (None, "fit"): 12, (None, "validate"): 13, (None, "test"): 26}
+
+
+def test_random_times_equal_brute_force(spark):
+    rnd = random.Random(7)
     t0 = dt.datetime(2024, 1, 1)
-    df = spark.createDataFrame([(7, t0)] * 50 + [(8, t0)] * 10, "k long, ts timestamp_ntz")
-    out = sampling.temporal_split(df.repartition(4), "ts", "k", (0.5,), max_rank_rows=5)
-    rows = out.collect()
-    assert len(rows) == 60 and sum(r.split == "train" for r in rows) == 30
-    assert sum(r.split == "train" and r.k == 7 for r in rows) == 30
+    rows = [(rnd.randrange(50), t0 + dt.timedelta(minutes=rnd.randrange(3) * 90, seconds=rnd.randrange(3))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
+    got = sorted((r.ts, r.k, r.split) for r in sampling.temporal_split(df, "ts", "k", (0.37,)).collect())
+    assert got == sorted((t, k, "train" if i < 148 else "test") for i, (t, k) in enumerate(sorted((t, k) for k, t in rows)))
+
+
+def test_empty_table_and_many_classes(spark):
+    df = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") % 1500).alias("c"))
+    assert sampling.stratified_split(df.limit(0), "c", "k").count() == 0
+    out = sampling.stratified_split(df, "c", "k", 0.5).groupBy("c").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("split") == "train", 1)).alias("t"))
+    assert out.where("t <> floor(n / 2)").count() == 0 and out.count() == 1500
+
+
+def test_rows_are_not_exchanged(spark):
+    """Labelling compares rows in place, also where Spark would broadcast nothing by itself."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderstatus")
+        for out in (sampling.stratified_split(df, "o_orderstatus", "o_orderkey"),
+                    sampling.holdout_split(df, "o_orderstatus", "o_orderkey")):
+            out.collect()
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            final = plan.split("== Initial Plan ==")[0]
+            assert "BroadcastHashJoin" in final and "hashpartitioning" not in final and "rangepartitioning" not in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
