@@ -77,17 +77,3 @@ def unpivot_wide(df: DataFrame, id_col: str, row_col: str = "row_label",
     return (df.unpivot(id_col, value_cols, col_col, value_col)
             .withColumnRenamed(id_col, row_col)
             .withColumn(value_col, F.col(value_col).try_cast("double")))
-
-
-def rows_to_vectors(long_df: DataFrame, row_col: str, pos_col: str, value_col: str,
-                    out_col: str = "features") -> DataFrame:
-    """Long (row, position, value) -> one dense vector per row.
-
-    Positions must be 0..d-1.  ``collect_list`` of (pos, value) pairs per row
-    is sorted by position and turned into an ML vector on the JVM side.
-    """
-    from pyspark.ml.functions import array_to_vector
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(pos_col).alias("p"),
-                                                 F.col(value_col).cast("double").alias("v"))))
-    return (long_df.groupBy(row_col).agg(pairs.alias("_pairs"))
-            .select(row_col, array_to_vector(F.transform("_pairs", lambda s: s["v"])).alias(out_col)))

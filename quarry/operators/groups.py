@@ -121,7 +121,3 @@ def arg_max(df: DataFrame, keys: str | Sequence[str], item: str,
             count_col: str = "n") -> DataFrame:
     """The most frequent item per group (ties: smallest item), as a frame."""
     return top_n(df, keys, item, 1, count_col).drop("rank")
-
-
-def count_where(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))

@@ -261,15 +261,38 @@ def q_genre_top_k(spark, sf_dir):
     return recommender.top_genres(rated, movies, ["c_mktsegment"], 10, delimiter=" ")
 
 
-def q_paper_projection(spark, sf_dir):
-    # ``embeddings`` already holds one observation per row (d = 64 fixed), so
-    # no transpose: the feature count, and with it the d x d covariance on
-    # the driver, stays fixed while the rows grow with the data.  The
-    # transpose itself is the ``matrix_transpose`` query.
+def _count_matrix(spark, sf_dir):
+    """Words (``vec_id``) x papers (vector position)."""
     long = tables.count_matrix_long(_t(spark, sf_dir, "embeddings"))
-    long = long.select("row_label", F.col("col_pos").alias("column_label"), "n")
-    coords = papers.paper_projection(long, transpose=False).coords
-    return coords.select(F.col("row_label").alias("vec_id"), "pc1", "pc2")
+    return long.select("row_label", F.col("col_pos").alias("column_label"), "n")
+
+
+def q_paper_projection(spark, sf_dir):
+    """The matrix as it is: one observation per ``vec_id``."""
+    coords = papers.paper_projection(_count_matrix(spark, sf_dir), transpose=False).coords
+    return coords.select(F.col("row_label").alias("vec_id"), F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
+
+
+def q_paper_vectors(spark, sf_dir):
+    rows = papers.paper_vectors(_count_matrix(spark, sf_dir))
+    cells = rows.select(F.col("row_label").alias("paper"), "width", F.explode(F.arrays_zip("idx", "val")).alias("c"))
+    return cells.select("paper", "width", F.col("c.idx").alias("word_pos"), F.col("c.val").alias("n"))
+
+
+def q_paper_coords(spark, sf_dir):
+    coords = papers.paper_projection(_count_matrix(spark, sf_dir)).coords
+    return coords.select(F.col("row_label").alias("paper"), F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
+
+
+def q_paper_variance(spark, sf_dir):
+    variance = papers.paper_projection(_count_matrix(spark, sf_dir)).variance
+    return variance.select("component", F.round("eigenvalue", 6).alias("eigenvalue"),
+                           F.round("explained_variance", 9).alias("explained_variance"))
+
+
+def q_paper_loadings(spark, sf_dir):
+    loadings = papers.paper_projection(_count_matrix(spark, sf_dir)).loadings
+    return loadings.select(F.col("column_label").alias("word"), "component", F.round("loading", 7).alias("loading"))
 
 
 def _events(spark, sf_dir):
@@ -334,6 +357,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_genres": q_cluster_genres,
     "genre_top_k": q_genre_top_k,
     "paper_projection": q_paper_projection,
+    "paper_vectors": q_paper_vectors,
+    "paper_coords": q_paper_coords,
+    "paper_variance": q_paper_variance,
+    "paper_loadings": q_paper_loadings,
     "forest_search": _search("forest"),
     "boost_search": _search("boost"),
     "classifier_report": q_classifier_report,

@@ -78,6 +78,49 @@ def _linear(slope_expr):
         FROM w"""
 
 
+def _leading(matrix, squarings=16):
+    """CTEs for the two leading eigenpairs of the CTE ``matrix (i, j, v)`` by repeated squaring."""
+    out, m = [], matrix
+    for c in (1, 2):
+        out.append(f"p{c}_0 AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM {m} WHERE i = j) AS v FROM {m})")
+        for s in range(squarings):
+            out.append(f"q{c}_{s} AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM p{c}_{s} AS a "
+                       f"JOIN p{c}_{s} AS b ON a.j = b.i GROUP BY a.i, b.j)")
+            out.append(f"p{c}_{s + 1} AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM q{c}_{s} WHERE i = j) AS v FROM q{c}_{s})")
+        last = f"p{c}_{squarings}"
+        out.append(f"u{c} AS MATERIALIZED (SELECT i, v / sqrt(sum(v * v) OVER ()) AS u FROM {last} "
+                   f"WHERE j = (SELECT arg_max(i, v) FROM {last} WHERE i = j))")
+        out.append(f"l{c} AS MATERIALIZED (SELECT sum(a.u * v * b.u) AS l FROM {m} AS m JOIN u{c} AS a ON a.i = m.i "
+                   f"JOIN u{c} AS b ON b.i = m.j)")
+        out.append(f"rest{c} AS MATERIALIZED (SELECT m.i, m.j, m.v - l * a.u * b.u AS v FROM {m} AS m JOIN u{c} AS a ON a.i = m.i "
+                   f"JOIN u{c} AS b ON b.i = m.j CROSS JOIN l{c})")
+        m = f"rest{c}"
+    return ",\n".join(out)
+
+
+#: Observations are the vectors: standardised positions, their 64 x 64 correlations.
+_PCA = f"""
+    WITH c AS ({_LONG}),
+    z AS MATERIALIZED (SELECT vec_id, dim, (x - avg(x) OVER (PARTITION BY dim)) / stddev_samp(x) OVER (PARTITION BY dim) AS z FROM c),
+    m AS MATERIALIZED (SELECT a.dim AS i, b.dim AS j, sum(a.z * b.z) / (SELECT count(DISTINCT vec_id) - 1 FROM c) AS v
+                       FROM z AS a JOIN z AS b USING (vec_id) GROUP BY ALL),
+    {_leading("m")},
+    signs AS (SELECT (SELECT sign(arg_max(u, abs(u))) FROM u1) AS s1, (SELECT sign(arg_max(u, abs(u))) FROM u2) AS s2)"""
+
+#: The transpose: observations are the 64 positions, every vector is a feature.
+_PCA_T = f"""
+    WITH c AS ({_LONG}),
+    z AS MATERIALIZED (SELECT vec_id, dim, (x - avg(x) OVER (PARTITION BY vec_id)) / stddev_samp(x) OVER (PARTITION BY vec_id) AS z FROM c),
+    n AS MATERIALIZED (SELECT count(DISTINCT dim) - 1 AS n FROM c),
+    m AS MATERIALIZED (SELECT a.dim AS i, b.dim AS j, sum(a.z * b.z) / (SELECT n FROM n) AS v
+                       FROM z AS a JOIN z AS b USING (vec_id) GROUP BY ALL),
+    {_leading("m")},
+    load AS MATERIALIZED (SELECT vec_id, sum(z * u1.u) / sqrt((SELECT n FROM n) * (SELECT l FROM l1)) AS w1,
+                    sum(z * u2.u) / sqrt((SELECT n FROM n) * (SELECT l FROM l2)) AS w2
+             FROM z JOIN u1 ON u1.i = dim JOIN u2 ON u2.i = dim GROUP BY vec_id),
+    signs AS (SELECT sign(arg_max(w1, abs(w1))) AS s1, sign(arg_max(w2, abs(w2))) AS s2 FROM load)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "group_counts": f"""
         SELECT event_type, count(*) AS n_requests
@@ -189,6 +232,24 @@ ORACLE_SQL: dict[str, str] = {
         FROM l""",
     "matrix_transpose": f"""
         SELECT dim AS row_label, vec_id AS column_label, x AS n FROM ({_LONG})""",
+    "paper_projection": f"""{_PCA}
+    SELECT vec_id, round(sum(z * u1.u * s1), 6) AS pc1, round(sum(z * u2.u * s2), 6) AS pc2
+    FROM z JOIN u1 ON u1.i = dim JOIN u2 ON u2.i = dim CROSS JOIN signs GROUP BY vec_id""",
+    "paper_vectors": f"""
+        SELECT dim AS paper, (SELECT count(DISTINCT vec_id) FROM embeddings WHERE len(embedding) > 0) AS width,
+               CAST(dense_rank() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS word_pos, x AS n
+        FROM ({_LONG})""",
+    "paper_coords": f"""{_PCA_T}
+    SELECT u1.i AS paper, round(u1.u * s1 * sqrt(l1.l * n), 6) AS pc1, round(u2.u * s2 * sqrt(l2.l * n), 6) AS pc2
+    FROM u1 JOIN u2 USING (i) CROSS JOIN l1 CROSS JOIN l2 CROSS JOIN n CROSS JOIN signs""",
+    "paper_variance": f"""{_PCA_T}
+    SELECT CAST(component AS INTEGER) AS component, round(l, 6) AS eigenvalue,
+           round(l / (SELECT sum(v) FROM m WHERE i = j), 9) AS explained_variance
+    FROM (SELECT 1 AS component, l FROM l1 UNION ALL SELECT 2, l FROM l2)""",
+    "paper_loadings": f"""{_PCA_T}
+    SELECT vec_id AS word, CAST(component AS INTEGER) AS component, round(loading, 7) AS loading
+    FROM (SELECT vec_id, 1 AS component, w1 * s1 AS loading FROM load CROSS JOIN signs
+          UNION ALL SELECT vec_id, 2, w2 * s2 FROM load CROSS JOIN signs)""",
     "regression_metrics": """
         WITH d AS (SELECT event_type, (10.0::DOUBLE + 0.1::DOUBLE * user_id) - value AS d
                    FROM events)

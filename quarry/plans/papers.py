@@ -1,95 +1,48 @@
 """Count matrix -> one vector per paper -> standardised -> 2-D projection.
 
-The matrix arrives in long form ``(row_label, column_label, n)`` (a wide
-CSV is brought there with :func:`quarry.operators.grid.unpivot_wide`).
-Transposing is a projection that swaps the labels; each observation's
-vector is assembled with ``collect_list`` of (position, value) pairs, so
-nothing passes through the driver except the d x d covariance that PCA
-itself needs (d = number of features, at most 65,535).
+The matrix arrives in long form ``(row_label, column_label, n)`` (a wide CSV is
+brought there with :func:`quarry.operators.grid.unpivot_wide`).  Transposing
+swaps the labels; vectors are sparse and hold the sums of their cells, so the
+work grows with the number of cells, however long either side is.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
-import numpy as np
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.operators import grid
-
-
-class Projection(NamedTuple):
-    coords: DataFrame
-    variance: DataFrame
-    loadings: DataFrame
-
-
-def feature_positions(long_df: DataFrame, feature_col: str) -> DataFrame:
-    """Dense 0-based position per distinct feature label (sorted by label).
-
-    The window runs over the distinct labels only -- the vector width, which
-    has to fit in memory for PCA anyway.
-    """
-    labels = long_df.select(feature_col).distinct()
-    return labels.withColumn("_pos", (F.row_number().over(Window.orderBy(feature_col)) - 1)
-                             .cast("int"))
+from quarry.operators.gram import Projection, principal_components, sum_cells
+from quarry.operators.ranking import numbered
+from quarry.sources.worktables import WorkTables
 
 
 def observation_vectors(long_df: DataFrame, obs_col: str, feature_col: str,
                         value_col: str = "n") -> DataFrame:
-    """One dense vector per observation; missing cells are 0."""
-    pos = feature_positions(long_df, feature_col)
-    # The width is one scalar (like a fitted indexer's label count).
-    width = pos.count()
-    cells = long_df.join(pos, feature_col).select(obs_col, "_pos", F.col(value_col))
-    dense = cells.groupBy(obs_col).agg(F.map_from_entries(F.collect_list(
-        F.struct("_pos", F.col(value_col).cast("double")))).alias("_m"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
-                      lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
-    return dense.select(obs_col, array_to_vector(vec).alias("features"))
-
-
-def project(vectors: DataFrame, obs_col: str, k: int = 2):
-    """Standardise (mean and sample std) and project on ``k`` components.
+    """(obs, width, idx, val): one sparse vector per observation.
 
-    Component signs are arbitrary in any eigen-solver; each is flipped so
-    that its largest-magnitude loading is positive, which makes results
-    repeatable.  Returns a :class:`Projection` (coordinates, explained
-    variance and sign-fixed loadings, all as tables).
+    A feature's position is its place (from 0) among all labels in order;
+    repeated cells add up, cells that are missing are 0 and not listed.
     """
-    scaler = StandardScaler(inputCol="features", outputCol="_z", withMean=True, withStd=True)
-    z = scaler.fit(vectors).transform(vectors)
-    pca = PCA(k=k, inputCol="_z", outputCol="_pc").fit(z)
-    pc = pca.pc.toArray()
-    signs = [1.0 if pc[np.argmax(np.abs(pc[:, j])), j] >= 0 else -1.0 for j in range(k)]
-    arr = vector_to_array("_pc")
-    coords = pca.transform(z).select(obs_col, *[(arr[j] * F.lit(signs[j])).alias(f"pc{j + 1}")
-                                                for j in range(k)])
-    ev = [(j + 1, float(v)) for j, v in enumerate(pca.explainedVariance.toArray())]
-    variance = vectors.sparkSession.createDataFrame(
-        ev, T.StructType([T.StructField("component", T.IntegerType()),
-                          T.StructField("explained_variance", T.DoubleType())]))
-    return Projection(coords, variance,
-                      loadings_table(vectors.sparkSession, pc * np.array(signs)))
+    work = WorkTables(long_df.sparkSession, "vectors")
+    cells = work.keep(sum_cells(long_df, obs_col, feature_col, value_col), "cells", result=True)
+    positions = numbered(cells.select(feature_col).distinct(), [F.col(feature_col)], "_place", work, "positions")
+    width = positions.count()
+    rows = cells.join(positions, feature_col).groupBy(obs_col).agg(F.sort_array(F.collect_list(
+        F.struct((F.col("_place") - 1).cast("int").alias("p"), F.col(value_col).alias("v")))).alias("_c"))
+    return rows.select(obs_col, F.lit(width).cast("long").alias("width"), F.col("_c.p").alias("idx"), F.col("_c.v").alias("val"))
 
 
-def loadings_table(spark, pc) -> DataFrame:
-    """``(feature, component, loading)`` rows of a d x k loading matrix."""
-    rows = [(i, j + 1, float(pc[i, j])) for i in range(pc.shape[0]) for j in range(pc.shape[1])]
-    return spark.createDataFrame(rows, T.StructType([
-        T.StructField("feature", T.IntegerType()), T.StructField("component", T.IntegerType()),
-        T.StructField("loading", T.DoubleType())]))
+def paper_vectors(long_df: DataFrame, row_col: str = "row_label", col_col: str = "column_label",
+                  value_col: str = "n") -> DataFrame:
+    """Word x paper counts -> one sparse vector of word counts per paper."""
+    return observation_vectors(grid.transpose_long(long_df, row_col, col_col, value_col), row_col, col_col, value_col)
 
 
 def paper_projection(long_df: DataFrame, row_col: str = "row_label",
                      col_col: str = "column_label", value_col: str = "n",
-                     transpose: bool = True, k: int = 2):
+                     transpose: bool = True, k: int = 2) -> Projection:
     """Word x paper counts -> papers as observations -> ``k`` coordinates."""
     if transpose:
         long_df = grid.transpose_long(long_df, row_col, col_col, value_col)
-    vectors = observation_vectors(long_df, row_col, col_col, value_col)
-    return project(vectors, row_col, k)
+    return principal_components(long_df, row_col, col_col, value_col, k)

@@ -37,11 +37,3 @@ def test_wide_matrix_transpose(spark):
     t = grid.transpose_long(long)
     got = sorted((r.row_label, r.column_label, r.n) for r in t.collect())
     assert got[0] == ("p1", "w1", 1.0) and len(got) == 6
-
-
-def test_rows_to_vectors_orders_by_position(spark):
-    long = spark.createDataFrame([("r1", 2, 3.0), ("r1", 0, 1.0), ("r1", 1, 2.0), ("r2", 0, 5.0),
-                                  ("r2", 1, 6.0), ("r2", 2, 7.0)], "r string, p int, v double")
-    vecs = {row.r: row.features.toArray().tolist()
-            for row in grid.rows_to_vectors(long, "r", "p", "v").collect()}
-    assert vecs == {"r1": [1.0, 2.0, 3.0], "r2": [5.0, 6.0, 7.0]}
