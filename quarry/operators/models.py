@@ -35,6 +35,8 @@ _REGISTRY: dict[str, tuple[Callable, str, str]] = {
 }
 
 MODEL_NAMES = list(_REGISTRY)
+#: The linear models and the share of their penalty that is absolute (see quarry.operators.linear).
+LINEAR = {"linear_l1": 1.0, "linear_l2": 0.0}
 
 
 def make_estimator(name: str, reg_param: float = 0.001, label: str | None = None,

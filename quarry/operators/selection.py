@@ -12,12 +12,15 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.models import fit_and_score
+from quarry.operators.linear import path
+from quarry.operators.models import LINEAR, feature_names, fit_and_score, model_label
+from quarry.operators.moments import moments
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -54,19 +57,43 @@ def sweep(spark: SparkSession, parts: DataFrame, models: Sequence[str],
           parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Every (model, reg_param) fitted on ``fit_part`` and scored on all parts.
 
-    Returns ``(metrics, coefficients)`` long tables.
+    The linear models' fits and errors all come from one pass of moments per
+    label; the others are fitted one by one.  Returns ``(metrics,
+    coefficients)`` long tables.
     """
-    combos = [(m, r) for r in reg_params for m in models]
+    names = names or feature_names(parts, features)
+    linear = [m for m in models if m in LINEAR]
+    solved = linear_sweep(spark, parts, linear, reg_params, fit_part, split_col, features, names) if linear else []
+    combos = [(m, r) for r in reg_params for m in models if m not in LINEAR]
+    if not combos:
+        return solved
 
     def one(c):
-        return fit_and_score(spark, c[0], c[1], parts, fit_part, split_col, features,
-                             names=names)
+        # Scores and coefficients are a few rows; taken at once, the parts may go afterwards.
+        m, coefs = fit_and_score(spark, c[0], c[1], parts, fit_part, split_col, features, names=names)
+        return spark.createDataFrame(m.collect(), m.schema), coefs
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(combos)))) as pool:
         results = list(pool.map(one, combos))
+    results += [solved] if solved else []
     return union_all(r[0] for r in results), union_all(r[1] for r in results)
 
 
+def linear_sweep(spark: SparkSession, parts: DataFrame, models: Sequence[str], reg_params: Sequence[float],
+                 fit_part: str, split_col: str, features: str, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The linear models of a sweep, from the moments of every part."""
+    metrics, coefs = [], []
+    for label in dict.fromkeys(model_label(m) for m in models):
+        found = moments(parts, vector_to_array(features), F.col(label), F.col(split_col))
+        for model in (m for m in models if model_label(m) == label):
+            for fit in path(found[fit_part], reg_params, LINEAR[model]):
+                metrics += [(part, "rmse", fit.rmse(m), model, fit.reg_param) for part, m in found.items()]
+                values = [*zip(names, fit.coefficients), ("intercept", fit.intercept)]
+                coefs += [(term, float(v), model, fit.reg_param) for term, v in values]
+    return (spark.createDataFrame(metrics, f"{split_col} string, metric string, value double, model string, reg_param double"),
+            spark.createDataFrame(coefs, "term string, value double, model string, reg_param double"))
+
+
 def cross_validate(estimator, grid: Sequence[dict], evaluator, train: DataFrame,
                    fold_col: str, folds: int, parallelism: int = 4):
     """k-fold search with a *given* fold column (repeatable folds).

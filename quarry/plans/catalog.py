@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import round_sig, suffix_label
-from quarry.operators import features, grid, groups, metrics, sampling
+from quarry.operators import features, grid, groups, metrics, models, sampling
 from quarry.plans import classifier, claims, logs, papers, recommender
 from quarry.sources import tables
 from quarry.sources.readers import read_table
+from quarry.sources.worktables import WorkTables
 
 # Groups of interest for the per-group counts (the stand-in for the three
 # countries of interest among all host countries).
@@ -211,6 +212,25 @@ def q_validation_curve(spark, sf_dir):
     return claims.validation_curve(spark, _claims(spark, sf_dir))
 
 
+def q_linear_curve(spark, sf_dir):
+    """The linear part of the validation curve, all strengths from one pass."""
+    curve = claims.validation_curve(spark, _claims(spark, sf_dir), names=list(models.LINEAR))
+    return curve.select("model", "reg_param", "split", "metric", F.round("value", 7).alias("value"))
+
+
+def q_model_optimum(spark, sf_dir):
+    """Optimality of every regularised fit; predictions add up to labels (here to the nearest half)."""
+    r = claims.model_optimum(spark, _claims(spark, sf_dir))
+    return r.select("model", "reg_param", "n", F.round("sum_label", 1).alias("sum_label"),
+                    (F.round(2 * F.col("sum_predicted")) / 2).alias("sum_predicted"), "at_optimum")
+
+
+def q_category_rates(spark, sf_dir):
+    """Unpenalised fits on one category against their closed forms."""
+    rates = claims.category_rates(_claims(spark, sf_dir), "priority", "total_price")
+    return rates.select("model", "priority", round_sig("rate", 5).alias("rate"))
+
+
 def _linear(alpha):
     def q(spark, sf_dir):
         from quarry.operators.linear import one_feature_paths
@@ -301,9 +321,9 @@ def _events(spark, sf_dir):
 
 def _search(kind):
     def q(spark, sf_dir):
-        parts, _ = classifier.prepare(_events(spark, sf_dir), tables.COLLISION_FEATURES,
-                                      "event_key")
-        cv_model, res, _ = classifier.search(parts, kind)
+        with WorkTables(spark, "search") as work:
+            base = classifier.assemble(_events(spark, sf_dir), tables.COLLISION_FEATURES, "event_key")
+            cv_model, res, _ = classifier.search(classifier.search_parts(base, "event_key", work), kind)
         best = max(range(len(cv_model.avgMetrics)), key=lambda i: (cv_model.avgMetrics[i], -i))
         return res.withColumn("is_best", F.col("combo") == best).withColumn("model", F.lit(kind))
     return q
@@ -350,6 +370,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistic_l1": _claim_report("logistic_l1"),
     "logistic_l2": _claim_report("logistic_l2"),
     "validation_curve": q_validation_curve,
+    "linear_curve": q_linear_curve,
+    "model_optimum": q_model_optimum,
+    "category_rates": q_category_rates,
     "split_distribution": q_split_distribution,
     "recommender_backtest": q_recommender_backtest,
     "ratings_split": q_ratings_split,

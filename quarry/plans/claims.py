@@ -2,21 +2,26 @@
 regularisation sweep.
 
 The feature half of the pipeline (index, one-hot, assemble, scale) is fit
-once on the training part; its output is checkpointed to the shared
-checkpoint folder (a reliable cut of lineage, so a lost executor does not
-recompute the split), and every model reads that frame.
+once on the training part; its output is written once as a work table, which
+every model reads and which goes when the results (a few rows) stand.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import features as feat
 from quarry.operators import models, sampling, selection
-from quarry.session import ensure_checkpoint_dir
+from quarry.operators.optimality import residual
+from quarry.sources.worktables import WorkTables
 
 NUMERIC = ["total_price", "order_year", "order_month"]
 CATEGORICAL = ["priority", "status"]
@@ -33,17 +38,18 @@ def split_claims(labels: DataFrame, key: str = "policy_id", ratio: float = 0.7,
     return sampling.holdout_split(labels, "pp_claim_nb", key, ratio, inner_ratio, seed, seed + 1)
 
 
-def featurize(parts: DataFrame, fit_part: str, numeric: Sequence[str] = NUMERIC,
+def featurize(parts: DataFrame, fit_part: str, work: WorkTables, numeric: Sequence[str] = NUMERIC,
               categorical: Sequence[str] = CATEGORICAL, key: str = "policy_id",
               split_col: str = "split") -> tuple[DataFrame, list[str]]:
-    """Fit the feature pipeline on one part, transform all parts, checkpoint."""
+    """Fit the feature pipeline on one part, transform all parts into a work table."""
+    parts = work.keep(parts, "parts")
     pipe = feat.feature_pipeline(numeric, categorical)
     model = pipe.fit(parts.filter(F.col(split_col) == fit_part))
     out = model.transform(parts).select(key, split_col, *LABELS, "features")
-    ensure_checkpoint_dir(out.sparkSession)
-    out = out.checkpoint(eager=True)
     names = [numeric[int(n.rsplit("_", 1)[1])] if n.startswith("_num_scaled_") else n
              for n in models.feature_names(out)]
+    out = work.keep(out, "features")
+    work.drop("parts")
     return out, names
 
 
@@ -54,11 +60,10 @@ def claim_models(spark: SparkSession, claims: DataFrame,
 
     Returns ``(metrics, coefficients)``.
     """
-    labels = feat.claim_labels(claims)
-    parts = split_claims(labels)
-    fx, term_names = featurize(parts, "train")
-    return selection.sweep(spark, fx, names, reg_params, "train", names=term_names,
-                           parallelism=parallelism)
+    with WorkTables(spark, "claims") as work:
+        fx, term_names = featurize(split_claims(feat.claim_labels(claims)), "train", work)
+        return selection.sweep(spark, fx, names, reg_params, "train", names=term_names,
+                               parallelism=parallelism)
 
 
 def validation_curve(spark: SparkSession, claims: DataFrame,
@@ -70,14 +75,64 @@ def validation_curve(spark: SparkSession, claims: DataFrame,
     The 70 % training part is split again 90/10 (``fit`` / ``validate``);
     the test part is not touched.
     """
-    labels = feat.claim_labels(claims)
-    parts = split_claims(labels, inner_ratio=0.9).filter(F.col("split") != "test")
-    fx, term_names = featurize(parts, "fit")
-    metrics, _ = selection.sweep(spark, fx, names, reg_params, "fit", names=term_names,
-                                 parallelism=parallelism)
+    parts = split_claims(feat.claim_labels(claims), inner_ratio=0.9).filter(F.col("split") != "test")
+    with WorkTables(spark, "claims") as work:
+        fx, term_names = featurize(parts, "fit", work)
+        metrics, _ = selection.sweep(spark, fx, names, reg_params, "fit", names=term_names,
+                                     parallelism=parallelism)
     return metrics
 
 
+#: A model counts as fitted when no optimality condition is off by more than this
+#: (label units per row and feature deviation).
+OPTIMUM = 5e-4
+#: Model name -> family and share of the penalty that is absolute.
+CONDITIONS = {"glm_poisson": ("poisson", 0.0), "logistic_l1": ("logistic", 1.0), "logistic_l2": ("logistic", 0.0)}
+
+
+def model_optimum(spark: SparkSession, claims: DataFrame, names: Sequence[str] = tuple(CONDITIONS),
+                  reg_params: Sequence[float] = tuple(REG_PARAMS), parallelism: int = 8) -> DataFrame:
+    """(model, reg_param, n, sum_label, sum_predicted, worst, at_optimum) of every fit on the training part."""
+    with WorkTables(spark, "claims") as work:
+        fx, _ = featurize(split_claims(feat.claim_labels(claims)), "train", work)
+        train = fx.where(F.col("split") == "train")
+
+        def one(combo):
+            name, reg = combo
+            family, alpha = CONDITIONS[name]
+            model = models.make_estimator(name, reg).fit(train)
+            mean = F.col("prediction") if family == "poisson" else vector_to_array("probability")[1]
+            r = residual(model.transform(train), vector_to_array("features"), F.col(models.model_label(name)), mean,
+                         model.coefficients.toArray(), reg, alpha, family)
+            return name, float(reg), r.n, r.sum_label, r.sum_predicted, r.worst, r.worst <= OPTIMUM
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(one, [(n, r) for n in names for r in reg_params]))
+    return spark.createDataFrame(rows, "model string, reg_param double, n long, sum_label double, sum_predicted double, "
+                                       "worst double, at_optimum boolean")
+
+
+def category_rates(claims: DataFrame, category: str, exposure: str) -> DataFrame:
+    """(model, category, rate): unpenalised fits on one category alone.
+
+    Their optimum is known: the logistic model gives each category's share of
+    claims, the Poisson model with the log of the exposure as offset its counts
+    over its exposure.
+    """
+    rows = feat.claim_labels(claims).withColumn("log_exposure", F.log(F.col(exposure)))
+    with WorkTables(claims.sparkSession, "rates") as work:
+        stages = [*feat.indexer_encoder([category]), VectorAssembler(inputCols=[f"{category}_ohe"], outputCol="features")]
+        rows = work.keep(Pipeline(stages=stages).fit(rows).transform(rows)
+                         .select(category, *LABELS, "log_exposure", "features"), "rows")
+        logistic = models.make_estimator("logistic_l2", 0.0).setTol(1e-9).setMaxIter(200).fit(rows)
+        poisson = models.make_estimator("glm_poisson", 0.0, offset="log_exposure").setTol(1e-12).fit(rows)
+        out = [(name, r[0], r[1]) for name, model, rate in (
+            ("logistic_l2", logistic, vector_to_array("probability")[1]),
+            ("glm_poisson", poisson, F.col("prediction") / F.exp("log_exposure")))
+            for r in model.transform(rows).groupBy(category).agg(F.avg(rate)).collect()]  # one row per category
+    return claims.sparkSession.createDataFrame(out, f"model string, {category} string, rate double")
+
+
 def report(metrics: DataFrame, coefs: DataFrame) -> DataFrame:
     """One long table: metric rows (split set) and coefficient rows (split NULL)."""
     m = metrics.select("model", "reg_param", "split", "metric", F.col("metric").alias("item"),

@@ -121,6 +121,52 @@ _PCA_T = f"""
     signs AS (SELECT sign(arg_max(w1, abs(w1))) AS s1, sign(arg_max(w2, abs(w2))) AS s2 FROM load)"""
 
 
+#: The claims with their labels and the nested split of the claim models.
+_CLAIMS = """
+    WITH r AS (SELECT l_orderkey, count(*) AS c FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+    c AS (SELECT o_orderkey AS policy_id, coalesce(r.c, 0) AS claim_nb, o_totalprice AS total_price,
+                 year(o_orderdate)::DOUBLE AS order_year, month(o_orderdate)::DOUBLE AS order_month,
+                 o_orderpriority AS priority, o_orderstatus AS status
+          FROM orders LEFT JOIN r ON o_orderkey = r.l_orderkey),
+    l AS (SELECT *, CASE WHEN claim_nb = 0 THEN 0.5 ELSE claim_nb END::DOUBLE AS pp,
+                 (claim_nb > 0)::INTEGER::DOUBLE AS nz FROM c),
+    o AS (SELECT *, row_number() OVER (PARTITION BY pp ORDER BY md5('14:' || policy_id), policy_id)
+                    <= count(*) OVER (PARTITION BY pp) * 7 // 10 AS train FROM l),
+    s AS (SELECT *, row_number() OVER (PARTITION BY pp, train ORDER BY md5('15:' || policy_id), policy_id)
+                    <= count(*) OVER (PARTITION BY pp, train) * 9 // 10 AS fit FROM o)"""
+
+#: Elastic-net fits of ln(pp) by coordinate descent on the correlations of the fit part.
+_CURVE = _CLAIMS + """,
+    t AS MATERIALIZED (SELECT policy_id, ln(pp) AS y, CASE WHEN fit THEN 'fit' ELSE 'validate' END AS split,
+                              total_price, order_year, order_month, priority, status FROM s WHERE train),
+    pri AS (SELECT priority, row_number() OVER (ORDER BY count(*) DESC, priority) - 1 AS p FROM t WHERE split = 'fit' GROUP BY priority),
+    sta AS (SELECT status, row_number() OVER (ORDER BY count(*) DESC, status) - 1 AS q FROM t WHERE split = 'fit' GROUP BY status),
+    x AS MATERIALIZED (SELECT policy_id, y, split, [total_price, order_year, order_month]
+             || list_transform(range((SELECT count(*) - 1 FROM pri)), lambda i: (i = p)::INTEGER::DOUBLE)
+             || list_transform(range((SELECT count(*) - 1 FROM sta)), lambda i: (i = q)::INTEGER::DOUBLE) AS x
+          FROM t JOIN pri USING (priority) JOIN sta USING (status)),
+    cells AS MATERIALIZED (SELECT policy_id, y, generate_subscripts(x, 1) AS j, unnest(x) AS v FROM x WHERE split = 'fit'),
+    st AS MATERIALIZED (SELECT j, avg(v) AS m, stddev_pop(v) AS s FROM cells GROUP BY j),
+    ys AS MATERIALIZED (SELECT avg(y) AS ym, stddev_pop(y) AS sy FROM x WHERE split = 'fit'),
+    z AS MATERIALIZED (SELECT policy_id, j, (v - m) / s AS z, (y - ym) / sy AS zy FROM cells JOIN st USING (j) CROSS JOIN ys),
+    cm AS MATERIALIZED (SELECT list(r ORDER BY i) AS cm FROM (SELECT a.j AS i, list(c ORDER BY k) AS r
+             FROM (SELECT a.j, b.j AS k, avg(a.z * b.z) AS c FROM z AS a JOIN z AS b USING (policy_id) GROUP BY ALL) AS a GROUP BY a.j)),
+    ct AS MATERIALIZED (SELECT list(c ORDER BY j) AS ct, count(*) AS d FROM (SELECT j, avg(z * zy) AS c FROM z GROUP BY j)),
+    fits AS (SELECT model, alpha, reg_param::DOUBLE AS reg_param FROM (VALUES ('linear_l1', 1.0::DOUBLE), ('linear_l2', 0.0)) AS a(model, alpha)
+             CROSS JOIN (VALUES (0.001), (0.01), (0.1), (1.0), (10.0)) AS b(reg_param)),
+    steps AS (
+      SELECT model, reg_param, alpha * reg_param / sy AS l1, (1 - alpha) * reg_param / sy AS l2, 0 AS step,
+             list_transform(range(d), lambda i: 0.0::DOUBLE) AS w FROM fits CROSS JOIN ys CROSS JOIN ct
+      UNION ALL
+      SELECT model, reg_param, l1, l2, step + 1, list_transform(w, lambda v, i: CASE WHEN i = j THEN
+               sign(rest) * greatest(abs(rest) - l1, 0) / (cm[j][j] + l2) ELSE v END)
+      FROM (SELECT *, ct[j] - list_dot_product(cm[j], w) + cm[j][j] * w[j] AS rest
+            FROM (SELECT steps.*, cm, ct, d, step % d + 1 AS j FROM steps CROSS JOIN cm CROSS JOIN ct WHERE step < 300 * d))),
+    beta AS (SELECT model, reg_param, list_transform(w, lambda v, i: v * sy / sd[i]) AS b, ym, ms
+             FROM steps CROSS JOIN ct CROSS JOIN ys
+             CROSS JOIN (SELECT list(s ORDER BY j) AS sd, list(m ORDER BY j) AS ms FROM st) WHERE step = 300 * d)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "group_counts": f"""
         SELECT event_type, count(*) AS n_requests
@@ -297,6 +343,19 @@ ORACLE_SQL: dict[str, str] = {
     "linear_l1": _linear("CASE WHEN b > 0 THEN greatest(b - reg_param / sx, 0.0) "
                          "ELSE least(b + reg_param / sx, 0.0) END"),
     "linear_l2": _linear("b / (1.0 + reg_param / sy)"),
+    "linear_curve": f"""{_CURVE.replace("WITH r", "WITH RECURSIVE r", 1)}
+    SELECT model, reg_param, split, 'rmse' AS metric,
+           round(sqrt(avg(pow(y - ym - list_dot_product(b, x) + list_dot_product(b, ms), 2))), 7) AS value
+    FROM x CROSS JOIN beta GROUP BY model, reg_param, split""",
+    "model_optimum": f"""{_CLAIMS}
+    SELECT model, reg_param::DOUBLE AS reg_param, n, sum_label, sum_label AS sum_predicted, true AS at_optimum
+    FROM (SELECT count(*) AS n, round(sum(pp), 1) AS pps, round(sum(nz), 1) AS nzs FROM o WHERE train)
+    CROSS JOIN (VALUES (0.001), (0.01), (0.1), (1.0), (10.0)) AS v(reg_param)
+    CROSS JOIN LATERAL (VALUES ('glm_poisson', pps), ('logistic_l1', nzs), ('logistic_l2', nzs)) AS m(model, sum_label)""",
+    "category_rates": f"""{_CLAIMS},
+    g AS (SELECT priority, avg(nz) AS share, sum(pp) / sum(total_price) AS rate FROM l GROUP BY priority)
+    SELECT 'logistic_l2' AS model, priority, {_sig("share", 5)} AS rate FROM g
+    UNION ALL SELECT 'glm_poisson', priority, {_sig("rate", 5)} FROM g""",
     "genre_top_k": """
         WITH r AS (SELECT o_custkey AS user_id, l_partkey AS item_id,
                           1.0::DOUBLE + (l_quantity % 5.0::DOUBLE) AS rating

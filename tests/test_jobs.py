@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from quarry.plans import papers, recommender
 from quarry.sources import tables
 from quarry.sources.readers import read_table
+from quarry.sources.worktables import WorkTables
 
 
 def test_genres_split_and_explode(spark):
@@ -72,8 +73,9 @@ def test_taste_clusters_invariants(spark):
 def test_search_best_params_come_from_grid(spark):
     from quarry.plans import classifier
     ev = tables.collision_events(read_table(spark, SF_SMALL, "lineitem"))
-    parts, _ = classifier.prepare(ev, tables.COLLISION_FEATURES, "event_key",
-                                  sample_fraction=0.5)
+    work = WorkTables(spark, "test")
+    parts = classifier.search_parts(classifier.assemble(ev, tables.COLLISION_FEATURES, "event_key"), "event_key",
+                                    work, sample_fraction=0.5)
     opts = {"maxDepth": [2, 4], "numTrees": [3, 6]}
     cv_model, res, best = classifier.search(parts, "forest", opts)
     assert best["maxDepth"] in opts["maxDepth"] and best["numTrees"] in opts["numTrees"]
