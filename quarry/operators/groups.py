@@ -86,6 +86,16 @@ def top_n(df: DataFrame, keys: str | Sequence[str], item: str, n: int,
     return ranked.filter(F.col(rank_col) <= n)
 
 
+def top_k(df: DataFrame, order: Sequence[Column], n: int, rank_col: str = "rank") -> DataFrame:
+    """The first ``n`` rows in a total order, in that order, ranked 1..n.
+
+    Planned as TakeOrderedAndProject: every task keeps ``n`` rows; only the
+    ``n`` rows that are left are numbered.
+    """
+    first = df.orderBy(*order).limit(n)
+    return first.withColumn(rank_col, F.row_number().over(Window.orderBy(*order))).orderBy(rank_col)
+
+
 def top_n_vs_rest(df: DataFrame, keys: str | Sequence[str], item: str, n: int = 9,
                   rest_label: str = "Other", count_col: str = "n",
                   rank_col: str = "rank", pct_col: str = "pct",

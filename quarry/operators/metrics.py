@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import join_null_safe
-from quarry.operators.ranking import in_ranges
+from quarry.operators.ranking import sums_before
 from quarry.sources.worktables import WorkTables
 
 
@@ -76,16 +75,7 @@ def area_under_roc(df: DataFrame, score: str | Column, label: str | Column,
         F.count(F.when(F.col("_ok") & F.col("_pos"), 1)).alias("_p"),
         F.count(F.when(F.col("_ok") & ~F.col("_pos"), 1)).alias("_n"),
         F.count(F.when(~F.col("_ok"), 1)).alias("_u"))
-    work = WorkTables(df.sparkSession, "auc")
-    placed = in_ranges(per, [*[F.col(c) for c in by], F.col("_s")], work, result=True)
-    keys = ["_part", *by]
-    # One row per range (and group in it).
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (placed.groupBy(*keys).agg(F.sum("_n").alias("_rn"))
-              .select(*keys, F.coalesce(F.sum("_rn").over(earlier), F.lit(0)).alias("_nb")))
-    before = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    per = (join_null_safe(placed, ranges, keys)
-           .withColumn("_below", F.col("_nb") + F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    per = sums_before(per, by, [F.col("_s")], {"_below": "_n"}, WorkTables(df.sparkSession, "auc"))
     # Twice the pairs won, in integers of up to 38 digits.
     won = F.col("_p").cast("decimal(19,0)") * (2 * F.col("_below") + F.col("_n")).cast("decimal(19,0)")
     total = per.groupBy(*by).agg(F.sum(won).alias("_won"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"),

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import round_sig, suffix_label
-from quarry.operators import features, grid, groups, metrics, models, sampling
+from quarry.operators import features, grid, groups, metrics, models, sampling, selection
+from quarry.operators.selection import union_all
+from quarry.operators.split_gains import split_gains
 from quarry.plans import classifier, claims, logs, papers, recommender
 from quarry.sources import tables
 from quarry.sources.readers import read_table
@@ -259,20 +261,58 @@ def _setting_b(spark, sf_dir):
     parts = recommender.temporal_parts(_ratings(spark, sf_dir))
     _, fitted = recommender.backtest(spark, None, {"B": recommender.SETTINGS["B"]},
                                      parts=parts)
-    movies = tables.movies_table(_t(spark, sf_dir, "part"))
-    return recommender.cluster_genres(parts, fitted, movies)
+    return parts, fitted
+
+
+def _clusters(spark, sf_dir):
+    """(fraction, parts, clusters) of setting B's users."""
+    parts, fitted = _setting_b(spark, sf_dir)
+    for f in recommender.FRACTIONS:
+        yield f, parts, recommender.taste_clusters(fitted[("B", f)].userFactors)
 
 
 def q_taste_clusters(spark, sf_dir):
-    sizes, _ = _setting_b(spark, sf_dir)
-    return sizes.select("train_frac", "position", "cluster", "size")
+    return union_all(c.largest.select(F.lit(f).alias("train_frac"), "position", "cluster", "size")
+                     for f, _, c in _clusters(spark, sf_dir))
+
+
+def q_cluster_members(spark, sf_dir):
+    """Users of the largest cluster of each fraction."""
+    return union_all(recommender.largest_members(c, parts).select(F.lit(f).alias("train_frac"), "cluster", "user_id")
+                     for f, parts, c in _clusters(spark, sf_dir))
+
+
+# A centre may lie this far from the mean of its users (as a share of the centres' mean length)
+# when the last round ends.
+CENTRE_DRIFT = 0.1
+
+
+def q_cluster_check(spark, sf_dir):
+    """Every training user is in the cluster of the nearest centre, and centres are means of their users."""
+    rows = []
+    for f, _, c in _clusters(spark, sf_dir):
+        users, _, wrong, drift = recommender.cluster_check(c)
+        rows.append((f, users, wrong, drift <= CENTRE_DRIFT))
+    return spark.createDataFrame(rows, "train_frac double, n_users long, n_not_nearest long, centres_are_means boolean")
 
 
 def q_cluster_genres(spark, sf_dir):
-    _, genres = _setting_b(spark, sf_dir)
+    parts, fitted = _setting_b(spark, sf_dir)
+    _, genres = recommender.cluster_genres(parts, fitted, tables.movies_table(_t(spark, sf_dir, "part")))
     return genres.select("train_frac", "rank", "genre", "n")
 
 
+def q_recommender_optimum(spark, sf_dir):
+    """Every back-test fit solves its users' equations; rows trained on, tested and scored."""
+    return recommender.recommender_optimum(_ratings(spark, sf_dir)).drop("worst")
+
+
+def q_backtest_table(spark, sf_dir):
+    """The back-test's scores as the comparison table: a column per training fraction."""
+    m, _ = recommender.backtest(spark, _ratings(spark, sf_dir))
+    return selection.compare_table(m, ["setting", "metric"], "train_frac", values=recommender.FRACTIONS)
+
+
 def q_genre_top_k(spark, sf_dir):
     cust = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"),
                                                 "c_mktsegment")
@@ -329,6 +369,28 @@ def _search(kind):
     return q
 
 
+def q_split_gains(spark, sf_dir):
+    """Gains of all root splits of the features with few values, over all events."""
+    gains = split_gains(_events(spark, sf_dir), ["l_discount", "l_tax", "line_no"], "label")
+    return gains.withColumn("gain", F.round("gain", 12))
+
+
+def q_tree_check(spark, sf_dir):
+    return classifier.tree_check(_events(spark, sf_dir), tables.COLLISION_FEATURES, "event_key")
+
+
+def q_search_folds(spark, sf_dir):
+    return classifier.fold_sizes(_events(spark, sf_dir), "event_key")
+
+
+def q_best_params(spark, sf_dir):
+    """The forest search's chosen parameters as rows."""
+    with WorkTables(spark, "search") as work:
+        base = classifier.assemble(_events(spark, sf_dir), tables.COLLISION_FEATURES, "event_key")
+        _, _, best = classifier.search(classifier.search_parts(base, "event_key", work), "forest")
+    return spark.createDataFrame([("forest", k, float(v)) for k, v in best.items()], "model string, param string, value double")
+
+
 def q_data_balance(spark, sf_dir):
     return classifier.data_balance(_events(spark, sf_dir), "event_key")
 
@@ -378,6 +440,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_split": q_ratings_split,
     "taste_clusters": q_taste_clusters,
     "cluster_genres": q_cluster_genres,
+    "cluster_members": q_cluster_members,
+    "cluster_check": q_cluster_check,
+    "recommender_optimum": q_recommender_optimum,
+    "backtest_table": q_backtest_table,
     "genre_top_k": q_genre_top_k,
     "paper_projection": q_paper_projection,
     "paper_vectors": q_paper_vectors,
@@ -386,6 +452,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paper_loadings": q_paper_loadings,
     "forest_search": _search("forest"),
     "boost_search": _search("boost"),
+    "best_params": q_best_params,
+    "search_folds": q_search_folds,
+    "split_gains": q_split_gains,
+    "tree_check": q_tree_check,
     "classifier_report": q_classifier_report,
     "data_balance": q_data_balance,
 }

@@ -167,6 +167,24 @@ _CURVE = _CLAIMS + """,
              CROSS JOIN (SELECT list(s ORDER BY j) AS sd, list(m ORDER BY j) AS ms FROM st) WHERE step = 300 * d)"""
 
 
+#: The ratings by age, and the training fractions with their numbers of training rows.
+_RATINGS = """
+    WITH r AS (SELECT o_custkey AS user_id, l_partkey AS item_id, o_orderdate AS ts, l_orderkey, l_linenumber, l_quantity % 5 AS q
+               FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    k AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY ts, l_orderkey, l_linenumber, item_id, user_id, q) AS rn FROM r),
+    f AS (SELECT train_frac::DOUBLE AS train_frac, (SELECT count(*) FROM r) * fifths // 5 AS n_train
+          FROM (VALUES (0.4, 2), (0.6, 3), (0.8, 4)) AS v(train_frac, fifths))"""
+
+
+#: The classifier's search sample with its parts.
+_SEARCH = f"""
+    WITH e AS (SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS k,
+                      CAST(l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem),
+    p AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('14:' || k), k)
+                    <= count(*) OVER (PARTITION BY label) * 7 // 10 AS train
+          FROM e WHERE md5('15:' || k) < '{_thr('0.02')}')"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "group_counts": f"""
         SELECT event_type, count(*) AS n_requests
@@ -356,6 +374,34 @@ ORACLE_SQL: dict[str, str] = {
     g AS (SELECT priority, avg(nz) AS share, sum(pp) / sum(total_price) AS rate FROM l GROUP BY priority)
     SELECT 'logistic_l2' AS model, priority, {_sig("share", 5)} AS rate FROM g
     UNION ALL SELECT 'glm_poisson', priority, {_sig("rate", 5)} FROM g""",
+    "recommender_optimum": f"""{_RATINGS},
+    u AS (SELECT user_id, min(rn) AS first FROM k GROUP BY user_id),
+    i AS (SELECT item_id, min(rn) AS first FROM k GROUP BY item_id)
+    SELECT setting, train_frac, n_train, count(*) AS n_test,
+           count(*) FILTER (WHERE u.first <= n_train AND i.first <= n_train) AS n_scored,
+           (SELECT count(*) FROM u WHERE first <= n_train) AS n_users, true AS solved
+    FROM k JOIN f ON rn > n_train JOIN u USING (user_id) JOIN i USING (item_id)
+    CROSS JOIN (VALUES ('A'), ('B')) AS s(setting) GROUP BY setting, train_frac, n_train""",
+    "cluster_check": f"""{_RATINGS}
+    SELECT train_frac, count(DISTINCT user_id) AS n_users, 0::BIGINT AS n_not_nearest, true AS centres_are_means
+    FROM k JOIN f ON rn <= n_train GROUP BY train_frac""",
+    "split_gains": """
+        WITH e AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, l_discount, l_tax, l_linenumber::DOUBLE AS line_no FROM lineitem),
+        l AS (SELECT feature, value, y FROM (SELECT * FROM e UNPIVOT (value FOR feature IN (l_discount, l_tax, line_no)))),
+        v AS (SELECT DISTINCT feature, value FROM l),
+        s AS (SELECT v.feature, v.value, count(*) AS n, sum(y) AS p, count(*) FILTER (WHERE l.value <= v.value) AS nl,
+                     coalesce(sum(y) FILTER (WHERE l.value <= v.value), 0) AS pl
+              FROM v JOIN l USING (feature) GROUP BY ALL)
+        SELECT feature, value, n, nl AS n_left, CAST(pl AS BIGINT) AS pos_left,
+               round(2 * (p / n) * (1 - p / n) - (nl / n * (2 * (pl / nl) * (1 - pl / nl))
+                     + (n - nl) / n * (2 * ((p - pl) / (n - nl)) * (1 - (p - pl) / (n - nl)))), 12) AS gain
+        FROM s WHERE nl < n""",
+    "tree_check": f"""{_SEARCH}
+        SELECT model, count(*) AS n, count(*) FILTER (WHERE label = 1) AS n_pos, true AS gain_is_exact, true AS gain_is_best
+        FROM p CROSS JOIN (VALUES ('forest'), ('boost')) AS m(model) WHERE train GROUP BY model""",
+    "search_folds": f"""{_SEARCH}
+        SELECT CAST(('0x' || left(md5('16:' || k), 8))::BIGINT % 2 AS INTEGER) AS fold, label, count(*) AS n
+        FROM p WHERE train GROUP BY ALL""",
     "genre_top_k": """
         WITH r AS (SELECT o_custkey AS user_id, l_partkey AS item_id,
                           1.0::DOUBLE + (l_quantity % 5.0::DOUBLE) AS rating
