@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 LOG_PATTERN = (
     r'^(\S+) \S+ \S+ \[(\d{2})/([A-Za-z]{3})/(\d{4}):(\d{2}):(\d{2}):(\d{2}) ([+-]\d{4})\] '
-    r'"(.*)" (\d{3}) (\d+|-)$'
+    r'"(.*)" (\d{3}) (\d+|-)[\r\n]*\z'
 )
 
 # English month abbreviations as written in access logs.
@@ -35,28 +35,30 @@ def _month_number(abbrev: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(abbrev))
 
 
-_SEP = "\u0001"      # field separator of the packed match (not in log text)
-_MARK = "\u0002"     # prefix that marks a line the pattern matched
+#: A matched line is rewritten as its groups with the request (group 9) last, joined by blanks.
+#: The other groups hold no white space, so the first ten blanks end them whatever the request holds.
+_ORDER = [1, 2, 3, 4, 5, 6, 7, 8, 10, 11, 9]
+#: No line that matches begins with a line feed (nor holds one but at its end).
+_MARK = "\n"
 
 
 def log_parts(line: str | Column) -> Column:
-    """The 11 regex groups of a log line as an array (NULL if it does not match).
+    """The 11 regex groups of a log line as an array, request last (NULL if it does not match).
 
-    The regular expression runs once: ``regexp_replace`` rewrites a
-    matching line into its groups joined by a control character (and leaves
-    any other line as it was), then a single-character ``split`` cuts them
-    apart.
+    The regular expression runs once: ``regexp_replace`` rewrites a matching
+    line into its groups (and leaves any other line as it was), then a
+    ``split`` with a limit cuts them apart.
     """
     value = F.col(line) if isinstance(line, str) else line
     return _unpack(_pack(value), value)
 
 
 def _pack(value: Column) -> Column:
-    return F.regexp_replace(value, LOG_PATTERN, _MARK + _SEP.join(f"${i}" for i in range(1, 12)))
+    return F.regexp_replace(value, LOG_PATTERN, _MARK + " ".join(f"${i}" for i in _ORDER))
 
 
 def _unpack(packed: Column, value: Column) -> Column:
-    parts = F.split(F.substring(packed, 2, 1 << 30), _SEP)
+    parts = F.split(F.substring(packed, 2, 1 << 30), " ", len(_ORDER))
     return F.when(packed.startswith(_MARK) & ~value.startswith(_MARK), parts)
 
 
@@ -67,7 +69,7 @@ def log_fields(parts: str | Column) -> list[Column]:
     ok = arr.isNotNull() & (F.size(arr) == 11)
 
     def grp(i: int) -> Column:
-        return F.when(ok, F.get(arr, i - 1))
+        return F.when(ok, F.get(arr, _ORDER.index(i)))
 
     ts = F.try_make_timestamp_ntz(
         grp(4).cast("int"), _month_number(grp(3)), grp(2).cast("int"),
@@ -84,15 +86,6 @@ def log_fields(parts: str | Column) -> list[Column]:
     ]
 
 
-def parse_log_line(line: str | Column) -> list[Column]:
-    """Single-projection form of ``log_fields(log_parts(line))``.
-
-    Prefer :func:`parse_log_frame`, which evaluates the regex once per line;
-    in one projection every field re-evaluates it.
-    """
-    return log_fields(log_parts(line))
-
-
 def parse_log_frame(df: DataFrame, line: str = "value") -> DataFrame:
     """Parse a frame of log lines, evaluating the regex once per line.
 
@@ -111,7 +104,7 @@ def parse_log_frame(df: DataFrame, line: str = "value") -> DataFrame:
 
 def render_log_line(host: Column, ts: Column, offset: str, request: Column,
                     status: Column, size: Column) -> Column:
-    """Inverse of :func:`parse_log_line` (used to build log text from tables)."""
+    """Inverse of :func:`parse_log_frame` (used to build log text from tables)."""
     return F.format_string(
         '%s - - [%s %s] "%s" %d %s',
         host, F.date_format(ts, "dd/MMM/yyyy:HH:mm:ss"), F.lit(offset), request,

@@ -13,9 +13,12 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.ranking import numbered
+from quarry.sources.worktables import WorkTables
+
 
 def claim_labels(df: DataFrame, count_col: str = "claim_nb", flag_col: str = "nz_claim",
                  shifted_col: str = "pp_claim_nb", log_col: str = "log_claim_nb",
@@ -39,30 +42,35 @@ def claim_labels(df: DataFrame, count_col: str = "claim_nb", flag_col: str = "nz
 def category_index(df: DataFrame, col: str, n_col: str = "n", idx_col: str = "idx") -> DataFrame:
     """Frequency index of a categorical column, as ``StringIndexer`` orders it.
 
-    Most frequent value first; ties alphabetical.  One row per distinct
-    value (the window runs over that small table only).
+    Most frequent value first; ties alphabetical.  The distinct values are
+    numbered over ranges, so their number is not bounded by one task or by the
+    driver (as that of a fitted indexer's labels is).
     """
     counts = (df.filter(F.col(col).isNotNull())
               .groupBy(col).agg(F.count(F.lit(1)).alias(n_col)))
-    w = Window.orderBy(F.col(n_col).desc(), F.col(col).asc())
-    return counts.withColumn(idx_col, (F.row_number().over(w) - 1).cast("int"))
+    work = WorkTables(df.sparkSession, "index")
+    placed = numbered(counts, [F.col(n_col).desc(), F.col(col)], "_place", work)
+    return placed.select(col, n_col, (F.col("_place") - 1).cast("int").alias(idx_col))
+
 
+def indexed(df: DataFrame, col: str, n_col: str = "n", idx_col: str = "idx") -> DataFrame:
+    """(value, n, idx) of a column as the models' own indexing stage numbers it."""
+    indexer = indexer_encoder([col])[0]
+    rows = df.filter(F.col(col).isNotNull()).select(col)
+    out = indexer.fit(rows).transform(rows)
+    return (out.groupBy(col, f"{col}_idx").agg(F.count(F.lit(1)).alias(n_col))
+            .select(col, n_col, F.col(f"{col}_idx").cast("int").alias(idx_col)))
 
-def one_hot_sparse(df: DataFrame, col: str, key: str, drop_last: bool = True,
-                   slot_col: str = "slot", width_col: str = "width") -> DataFrame:
-    """One-hot code of a category in sparse long form, one row per input row.
 
-    ``slot`` is the category's frequency index (the position of its 1), or
-    NULL for the dropped last category; ``width`` is the vector length.  The
-    index table has one row per category and is joined by key, so the join
-    is planned by its measured size (broadcast when small).
+def one_hot_sparse(df: DataFrame, col: str, key: str, slot_col: str = "slot", width_col: str = "width") -> DataFrame:
+    """(key, value, slot, width): where the models' one-hot vector of each row has its 1.
+
+    ``slot`` is NULL for the dropped last category.
     """
-    idx = category_index(df, col)
-    width = F.col("_k") - F.lit(1 if drop_last else 0)
-    sized = idx.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy()))
-    lookup = sized.select(col, F.when(F.col("idx") < width, F.col("idx")).alias(slot_col),
-                          width.cast("int").alias(width_col))
-    return df.select(key, col).join(lookup, col, "left")
+    model = Pipeline(stages=indexer_encoder([col])).fit(df.select(col))
+    vec = model.transform(df.select(key, col)).withColumn("_v", vector_to_array(f"{col}_ohe"))
+    slot = F.array_position("_v", 1.0).cast("int")
+    return vec.select(key, col, F.when(slot > 0, slot - 1).alias(slot_col), F.size("_v").alias(width_col))
 
 
 def indexer_encoder(categorical: Sequence[str]) -> list:
@@ -118,6 +126,16 @@ def scale_columns(df: DataFrame, cols: Sequence[str], suffix: str = "_scaled",
     return df.withColumns(out)
 
 
+def model_scaled(df: DataFrame, cols: Sequence[str], suffix: str = "_scaled") -> DataFrame:
+    """``df`` with each column as the models' own assembling and scaling stages give it.
+
+    A NULL or NaN fails the job, as it does when a model is fitted.
+    """
+    model = feature_pipeline(cols, out_col="_scaled").fit(df)
+    out = model.transform(df).withColumn("_a", vector_to_array("_scaled"))
+    return out.select(*df.columns, *[F.col("_a")[i].alias(f"{c}{suffix}") for i, c in enumerate(cols)])
+
+
 def standardise_array(df: DataFrame, array_col: str, out_col: str = "z",
                       with_mean: bool = True) -> tuple[DataFrame, PipelineModel]:
     """Standardise an ``array<float|double>`` column per position.
@@ -135,25 +153,13 @@ def standardise_array(df: DataFrame, array_col: str, out_col: str = "z",
 def dense_ids(df: DataFrame, col: str, out_col: str) -> DataFrame:
     """Map each distinct value of ``col`` to an int in 0..n-1 (for ALS).
 
-    ALS needs int ids; keys of a large table may not fit in an int.  The
-    distinct values are numbered within their shuffle partition, partition
-    sizes are summed to offsets on the small per-partition table, and
-    offset + local number is the id -- no global sort, no driver hop.  The
-    mapping is checkpointed (partition numbering must not change if a
-    partition is recomputed).
+    ALS needs int ids; keys of a large table may not fit in an int.  Values are
+    numbered in their order over ranges, and the numbered table is written, so
+    ids do not change if a partition is recomputed.
     """
-    from quarry.session import ensure_checkpoint_dir
-    vals = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    vals = vals.withColumn("_pid", F.spark_partition_id())
-    local = vals.withColumn("_local", F.row_number().over(
-        Window.partitionBy("_pid").orderBy(col)) - 1)
-    ensure_checkpoint_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    work = WorkTables(df.sparkSession, "ids")
+    placed = numbered(df.select(col).filter(F.col(col).isNotNull()).distinct(), [F.col(col)], "_place", work)
+    total = placed.count()
     if total > 2 ** 31 - 1:
         raise ValueError(f"{total} distinct values of {col} do not fit in an int id")
-    return (local.join(offsets.select("_pid", "_off"), "_pid")
-            .select(col, (F.col("_off") + F.col("_local")).cast("int").alias(out_col)))
+    return placed.select(col, (F.col("_place") - 1).cast("int").alias(out_col))

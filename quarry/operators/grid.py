@@ -7,11 +7,14 @@ from that key's own day bounds, then left-joined to the counts.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import join_null_safe
+
 
 def calendar_parts(df: DataFrame, ts_col: str = "ts", day_col: str = "day",
                    hour_col: str = "hour") -> DataFrame:
@@ -28,20 +31,31 @@ def day_hour_counts(df: DataFrame, keys: Sequence[str], ts_col: str = "ts",
 
 
 def dense_grid(counts: DataFrame, keys: Sequence[str], n_col: str = "n",
-               day_col: str = "day", hour_col: str = "hour") -> DataFrame:
+               day_col: str = "day", hour_col: str = "hour", max_days: int = 3660,
+               span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Every (day in [min, max] of the key) x (hour 0..23) cell; missing = 0.
 
     ``counts`` holds one row per (keys, day, hour) that occurred.  The spine
     is a superset of the data by construction (its bounds come from the same
     rows), so a left join from the spine loses nothing; keys are matched
     null-safely.  Rows without a timestamp have no cell.
+
+    ``span`` gives first and last day of every key instead.  A key whose days
+    span more than ``max_days``, or lie outside a given ``span``, fails the job
+    (one wrong clock would make a grid of millions of days); nothing is cut off.
     """
     keys = list(keys)
     bounds = counts.groupBy(*keys).agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
-    spine = (bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY")))
-                           .alias(day_col))
+    if span:
+        first, last = (F.lit(d) for d in span)
+        wrong, text = (F.col("_lo") < first) | (F.col("_hi") > last), f"days outside the span {span[0]} to {span[1]}: "
+    else:
+        first, last = F.col("_lo"), F.col("_hi")
+        wrong, text = F.datediff("_hi", "_lo") >= max_days, f"a grid of more than {max_days} days: "
+    days = F.when(F.coalesce(wrong, F.lit(False)), F.raise_error(F.concat(F.lit(text), F.concat_ws(" to ", "_lo", "_hi"))))
+    days = days.otherwise(F.when(F.col("_lo").isNotNull(), F.sequence(first, last, F.expr("INTERVAL 1 DAY"))))
+    spine = (bounds.select(*keys, F.explode(days).alias(day_col))
              .select(*keys, day_col, F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour_col)))
-    from quarry.operators.joins import join_null_safe
     return (join_null_safe(spine, counts, keys + [day_col, hour_col], "left")
             .select(*keys, day_col, hour_col,
                     F.coalesce(F.col(n_col), F.lit(0).cast("long")).alias(n_col)))

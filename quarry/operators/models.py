@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from quarry.operators.metrics import classification_report, regression_metrics
 
-# name -> (factory(reg_param, label, features), default label, metric)
+# The model names.  name -> (factory(reg_param, label, features), default label, metric)
 _REGISTRY: dict[str, tuple[Callable, str, str]] = {
     "glm_poisson": (lambda reg, y, x: GeneralizedLinearRegression(
         family="poisson", link="log", maxIter=50, regParam=reg, labelCol=y, featuresCol=x),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.columns import round_sig, suffix_label
 from quarry.operators import features, grid, groups, metrics, models, sampling, selection
+from quarry.operators.ranking import numbered
 from quarry.operators.selection import union_all
 from quarry.operators.split_gains import split_gains
 from quarry.plans import classifier, claims, logs, papers, recommender
@@ -57,14 +58,32 @@ def q_top_n_vs_rest(spark, sf_dir):
                                 item_label_col="host")
 
 
+def q_top_items(spark, sf_dir):
+    """The ten users with most events of all."""
+    counts = groups.group_counts(_t(spark, sf_dir, "events"), "user_id", "n_requests")
+    return groups.top_k(counts, [F.col("n_requests").desc(), F.col("user_id")], 10)
+
+
+def q_chart_table(spark, sf_dir):
+    """Requests per type and hour in the order in which a chart draws them."""
+    counts = grid.day_hour_counts(_t(spark, sf_dir, "events"), ["event_type"])
+    by_hour = counts.groupBy("event_type", "hour").agg(F.sum("n").alias("n"))
+    order = [F.col("event_type"), F.col("n").desc(), F.col("hour")]
+    return numbered(by_hour, order, "position", WorkTables(spark, "chart")).orderBy("position")
+
+
 # Fixed values of this catalogue: page host suffix -> class.
 PAGE_SUFFIXES = {".com": "commercial", ".net": "network", ".org": "organisation"}
 URL_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 
 
+# Fixed values of this catalogue: host suffix -> country (hosts end in the event type).
+HOST_COUNTRIES = {".click": "Germany", ".purchase": "Canada", ".signup": "Singapore"}
+
+
 def q_log_parse(spark, sf_dir):
     lines = tables.access_log_lines(_t(spark, sf_dir, "events"))
-    return logs.parse_access_log(lines)
+    return logs.tag_country(logs.parse_access_log(lines), HOST_COUNTRIES)
 
 
 def q_suffix_class(spark, sf_dir):
@@ -127,7 +146,12 @@ def q_temporal_split(spark, sf_dir):
 
 
 def q_category_index(spark, sf_dir):
-    return features.category_index(_t(spark, sf_dir, "orders"), "o_orderpriority")
+    return features.indexed(_t(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+def q_category_ranks(spark, sf_dir):
+    """The same numbering for any number of categories: users by their number of events."""
+    return features.category_index(_t(spark, sf_dir, "events"), "user_id")
 
 
 def q_one_hot(spark, sf_dir):
@@ -136,7 +160,7 @@ def q_one_hot(spark, sf_dir):
 
 def q_scale_features(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *SCALED)
-    out = features.scale_columns(li, SCALED)
+    out = features.model_scaled(li, SCALED)
     return out.select("l_orderkey", "l_linenumber",
                       *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in SCALED])
 
@@ -220,6 +244,13 @@ def q_linear_curve(spark, sf_dir):
     return curve.select("model", "reg_param", "split", "metric", F.round("value", 7).alias("value"))
 
 
+def q_curve_table(spark, sf_dir):
+    """The linear curve as the comparison table: a column per part."""
+    curve = claims.validation_curve(spark, _claims(spark, sf_dir), names=list(models.LINEAR))
+    table = selection.compare_table(curve, ["model", "reg_param"], "split", values=["fit", "validate"])
+    return table.select("model", "reg_param", *[F.round(c, 7).alias(c) for c in ("fit", "validate")])
+
+
 def q_model_optimum(spark, sf_dir):
     """Optimality of every regularised fit; predictions add up to labels (here to the nearest half)."""
     r = claims.model_optimum(spark, _claims(spark, sf_dir))
@@ -407,6 +438,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_distribution": q_class_distribution,
     "top_n_per_group": q_top_n_per_group,
     "top_n_vs_rest": q_top_n_vs_rest,
+    "top_items": q_top_items,
+    "chart_table": q_chart_table,
     "log_parse": q_log_parse,
     "suffix_class": q_suffix_class,
     "calendar_parts": q_calendar_parts,
@@ -418,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stratified_sample": q_stratified_sample,
     "temporal_split": q_temporal_split,
     "category_index": q_category_index,
+    "category_ranks": q_category_ranks,
     "one_hot": q_one_hot,
     "scale_features": q_scale_features,
     "standardise_vectors": q_standardise_vectors,
@@ -433,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logistic_l2": _claim_report("logistic_l2"),
     "validation_curve": q_validation_curve,
     "linear_curve": q_linear_curve,
+    "curve_table": q_curve_table,
     "model_optimum": q_model_optimum,
     "category_rates": q_category_rates,
     "split_distribution": q_split_distribution,

@@ -230,8 +230,19 @@ ORACLE_SQL: dict[str, str] = {
                     WHEN event_type = 'signup' THEN 302 ELSE 200 END AS status,
                CASE WHEN event_type <> 'error' THEN CAST(floor(value * 100.0::DOUBLE) AS BIGINT)
                END AS size,
-               false AS malformed
+               false AS malformed,
+               CASE event_type WHEN 'click' THEN 'Germany' WHEN 'purchase' THEN 'Canada'
+                    WHEN 'signup' THEN 'Singapore' ELSE 'Other' END AS host_cntry
         FROM events""",
+    "top_items": """
+        SELECT user_id, n_requests, CAST(row_number() OVER (ORDER BY n_requests DESC, user_id) AS INTEGER) AS rank
+        FROM (SELECT user_id, count(*) AS n_requests FROM events GROUP BY user_id) ORDER BY n_requests DESC, user_id LIMIT 10""",
+    "chart_table": """
+        SELECT *, row_number() OVER (ORDER BY event_type, n DESC, hour) AS position
+        FROM (SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events GROUP BY ALL)""",
+    "category_ranks": """
+        SELECT user_id, n, CAST(row_number() OVER (ORDER BY n DESC, user_id) - 1 AS INTEGER) AS idx
+        FROM (SELECT user_id, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY user_id)""",
     "suffix_class": f"""
         SELECT CASE lower(regexp_extract({_URL_HOST}, '(\\.[^.]+)$', 1))
                  WHEN '.com' THEN 'commercial' WHEN '.net' THEN 'network'
@@ -365,6 +376,11 @@ ORACLE_SQL: dict[str, str] = {
     SELECT model, reg_param, split, 'rmse' AS metric,
            round(sqrt(avg(pow(y - ym - list_dot_product(b, x) + list_dot_product(b, ms), 2))), 7) AS value
     FROM x CROSS JOIN beta GROUP BY model, reg_param, split""",
+    "curve_table": f"""{_CURVE.replace("WITH r", "WITH RECURSIVE r", 1)},
+    e AS (SELECT model, reg_param, split, pow(y - ym - list_dot_product(b, x) + list_dot_product(b, ms), 2) AS e FROM x CROSS JOIN beta)
+    SELECT model, reg_param, round(sqrt(avg(e) FILTER (WHERE split = 'fit')), 7) AS fit,
+           round(sqrt(avg(e) FILTER (WHERE split = 'validate')), 7) AS validate
+    FROM e GROUP BY model, reg_param""",
     "model_optimum": f"""{_CLAIMS}
     SELECT model, reg_param::DOUBLE AS reg_param, n, sum_label, sum_label AS sum_predicted, true AS at_optimum
     FROM (SELECT count(*) AS n, round(sum(pp), 1) AS pps, round(sum(nz), 1) AS nzs FROM o WHERE train)

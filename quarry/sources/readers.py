@@ -29,22 +29,6 @@ def read_log_text(spark: SparkSession, path: str, partitions: int | None = None)
     return df
 
 
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame whose scan has fewer partitions than cores.
-
-    An unsplittable input (one gzip file, one parquet row group) arrives as
-    one task; per-row work after it (parsing) then runs on one core.  A
-    large multi-file input already has many partitions and is left alone, so
-    this never adds a shuffle at scale.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < want
-    except Exception:  # no RDD access (remote session): leave the plan as is
-        return df
-    return df.repartition(want) if narrow else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              header: bool = True, keep_corrupt: bool = False) -> DataFrame:
     """CSV with a declared schema (never inferred).

@@ -13,17 +13,6 @@ CORRUPT_COL = "_corrupt_record"
 
 ACCESS_LOG = T.StructType([T.StructField("value", T.StringType())])
 
-# Parsed access log (see quarry.functions.logs.parse_log_line).
-ACCESS_LOG_PARSED = T.StructType([
-    T.StructField("host", T.StringType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("tz_offset", T.StringType()),
-    T.StructField("request", T.StringType()),
-    T.StructField("status", T.IntegerType()),
-    T.StructField("size", T.LongType()),
-    T.StructField("malformed", T.BooleanType(), False),
-])
-
 CLAIM_NUMERIC = ["ClaimNb", "Exposure", "VehPower", "VehAge", "DrivAge",
                  "BonusMalus", "Density"]
 CLAIM_CATEGORICAL = ["Area", "VehBrand", "VehGas", "Region"]
@@ -31,13 +20,6 @@ POLICY_CLAIMS = T.StructType(
     [T.StructField("IDpol", T.StringType())]
     + [T.StructField(c, T.StringType()) for c in CLAIM_NUMERIC + CLAIM_CATEGORICAL])
 
-RATINGS = T.StructType([
-    T.StructField("userId", T.StringType()),
-    T.StructField("movieId", T.StringType()),
-    T.StructField("rating", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-])
-
 MOVIES = T.StructType([
     T.StructField("movieId", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -54,10 +36,3 @@ COLLISION_COLUMNS = [
 ]
 COLLISION_EVENTS = T.StructType([T.StructField(f"_c{i}", T.StringType())
                                  for i in range(len(COLLISION_COLUMNS))])
-
-# Long form of a (row label x column label) count matrix.
-COUNT_MATRIX_LONG = T.StructType([
-    T.StructField("row_label", T.StringType()),
-    T.StructField("column_label", T.StringType()),
-    T.StructField("n", T.DoubleType()),
-])

@@ -35,15 +35,10 @@ def log_size(event_type, value) -> F.Column:
 
 
 def access_log_lines(events: DataFrame) -> DataFrame:
-    """Render every event as one access-log text line (column ``value``).
-
-    Like a gzip log, a small events table is one scan task; it is spread
-    over the cores first (see ``spread_if_narrow``).
-    """
-    from quarry.sources.readers import spread_if_narrow
+    """Render every event as one access-log text line (column ``value``)."""
     et = F.col("event_type")
     cols = ["event_id", "ts", "user_id", "event_type", "value"]
-    return spread_if_narrow(events.select(*cols)).select(render_log_line(
+    return events.select(*cols).select(render_log_line(
         F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("."), et),
         F.col("ts"), LOG_OFFSET,
         F.concat(F.lit("GET /"), et, F.lit("/"), F.col("event_id").cast("string"),

@@ -1,6 +1,8 @@
 import math
 
+import pytest
 from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
 
 from quarry.operators import features
 
@@ -66,3 +68,18 @@ def test_model_pipeline_drops_the_last_category(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0), ("c", 4.0)], "k string, x double")
     model = features.feature_pipeline(["x"], ["k"]).fit(df)
     assert {r["features"].size for r in model.transform(df).collect()} == {3}
+
+
+def test_ranks_of_many_categories_equal_the_indexer(spark):
+    df = spark.range(6000).select(((F.col("id") * F.col("id")) % 997).cast("string").alias("cat"))
+    ours = {r.cat: (r.idx, r.n) for r in features.category_index(df, "cat").collect()}
+    theirs = {r.cat: (r.idx, r.n) for r in features.indexed(df, "cat").collect()}
+    assert ours == theirs and len(ours) > 400
+
+
+def test_models_scaling_equals_the_table_form_and_refuses_missing(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "x double, c double")
+    for r, q in zip(features.model_scaled(df, ["x", "c"]).orderBy("x").collect(), features.scale_columns(df, ["x", "c"]).orderBy("x").collect()):
+        assert abs(r.x_scaled - q.x_scaled) < 1e-12 and r.c_scaled == q.c_scaled == 0.0
+    with pytest.raises(Exception):
+        features.model_scaled(df.unionAll(spark.sql("SELECT CAST(NULL AS DOUBLE), 1D")), ["x"]).collect()

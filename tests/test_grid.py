@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from quarry.operators import grid
 
 
@@ -37,3 +39,22 @@ def test_wide_matrix_transpose(spark):
     t = grid.transpose_long(long)
     got = sorted((r.row_label, r.column_label, r.n) for r in t.collect())
     assert got[0] == ("p1", "w1", 1.0) and len(got) == 6
+
+
+def test_a_wrong_clock_fails_the_grid(spark):
+    rows = [("a", dt.datetime(2024, 1, 1)), ("a", dt.datetime(9999, 12, 30)), ("b", dt.datetime(2024, 1, 1)), ("b", None)]
+    counts = grid.day_hour_counts(spark.createDataFrame(rows, "g string, ts timestamp_ntz"), ["g"])
+    with pytest.raises(Exception, match="more than 3660 days: 2024-01-01 to 9999-12-30"):
+        grid.dense_grid(counts, ["g"]).collect()
+    with pytest.raises(Exception, match="more than 2 days"):
+        grid.dense_grid(grid.day_hour_counts(_activity(spark), ["g"]), ["g"], max_days=2).collect()
+    assert grid.dense_grid(counts.where("g = 'b'"), ["g"]).count() == 24
+
+
+def test_a_given_span_holds_for_every_key_and_cuts_nothing_off(spark):
+    counts = grid.day_hour_counts(_activity(spark), ["g"])
+    out = grid.dense_grid(counts, ["g"], span=(dt.date(2024, 1, 1), dt.date(2024, 1, 10)))
+    assert {(r.g, r["count"]) for r in out.groupBy("g").count().collect()} == {("k1", 240), ("k2", 240)}
+    assert out.agg({"n": "sum"}).first()[0] == 4
+    with pytest.raises(Exception, match="outside the span"):
+        grid.dense_grid(counts, ["g"], span=(dt.date(2024, 1, 3), dt.date(2024, 1, 10))).collect()

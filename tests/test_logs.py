@@ -74,3 +74,15 @@ def test_requests_and_unique_hosts(spark):
     uniq = {r.host_cntry: r.n_unique for r in logs.unique_items_per_group(
         p, "host_cntry", "host").collect()}
     assert uniq["Germany"] == 2
+
+
+def test_control_characters_and_line_ends_do_not_break_the_parse(spark):
+    lines = ['h.de - - [01/Jul/1995:00:00:01 -0400] "GET /a\x01b\x02 c" 200 1',
+             '\x02h.ca - - [01/Jul/1995:00:00:01 -0400] "GET /x" 200 2\r',
+             '\nh.de 01 Jul 1995 00 00 01 -0400 200 7 GET /x', 'h.de 01 Jul 1995 00 00 01 -0400 200 7 GET /x',
+             'h.de - - [01/Jul/1995:00:00:01 -0400] "" 200 3\n', None]
+    rows = logs.parse_access_log(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [r.malformed for r in rows] == [False, False, True, True, False, True]
+    assert rows[0].request == "GET /a\x01b\x02 c" and rows[0].size == 1
+    assert rows[1].host == "\x02h.ca" and rows[1].size == 2
+    assert rows[4].request == "" and rows[4].size == 3
