@@ -1,31 +1,40 @@
 """Packing along a space-filling curve.
 
 Each document's words are hashed into a vector, projected to ``DIMS``
-dimensions by random signs and turned into a Hilbert key.  Documents are
-range-sorted by (key, hash of id) over many tasks - the hash splits copies of
-one document, which share a key - and written once.  The token totals of the
-sorted parts (one number per part) give each part its offset, so the documents
-form one stream cut every ``LIMIT`` ids: only the last sequence needs padding.
-
-Edge cases: NULL or empty text is the end id alone; longer documents are cut
-into several pieces; repeated rows are packed one by one; NULL ids are packed
-like any other; an empty table gives no pieces.
+dimensions by random signs and turned into a Hilbert key.  A narrow table of
+keys and token counts - not the tokens - is range-sorted by (key, hash of id,
+row); the hash splits copies of one document, which share a key.  The sum of
+the counts before a row is its document's place in one stream along the curve,
+which is cut every ``LIMIT`` ids: only the last sequence needs padding.  Tokens
+are written once, meet their place by row number, which deals them out evenly
+however texts crowd on the curve, and are cut where they lie.
+
+Token ids come from the merge ranks in the tokenizer file (the tiktoken library
+does the merging; an added token in a text is matched first).
+
+Edge cases: NULL or empty text is the end id alone; very long documents are cut
+into many pieces; repeated rows are packed one by one; ties in the key are
+ordered by the hash of the id, then by row; NULL ids are packed like any other;
+an empty table gives no pieces; only ``doc_id`` and ``text`` are read, so
+further columns of any name do not matter.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import encoder
-from quarry.llm.shared import materialise
+from quarry.llm.bpe import byte_symbols
 from quarry.llm.textblocks import blocks, mix, words
+from quarry.operators.ranking import sums_before
+from quarry.sources.worktables import WorkTables
 
 LIMIT = 1024
 END_ID = 0
@@ -73,49 +82,72 @@ def project(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.clip(((scaled + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
 
 
-END = np.array([END_ID], "<u4").tobytes()
+class Tokens:
+    """The ids of a byte-level tokenizer file, as little-endian numbers of ``kind``."""
+
+    def __init__(self, path: str, pattern: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        symbol, model = byte_symbols(), spec["model"]
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ranks = {bytes(symbol[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+        made = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+        if any(a >= b for a, b in zip(made, made[1:])):
+            raise ValueError("the vocabulary's ids do not follow the order of the merges")
+        self.library = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+        self.kind = np.dtype("<u2" if max([*ranks.values(), *added.values()]) < 1 << 16 else "<u4")
+
+    def encode(self, text: str) -> np.ndarray:
+        ids = self.library.encode_to_numpy(text, allowed_special="all")
+        return np.append(ids, END_ID).astype(self.kind)
+
+
+_MADE: dict[tuple[str, str], Tokens] = {}
+
+
+def tokens(path: str, pattern: str) -> Tokens:
+    """The worker's tokenizer (the last file used; of fixed size, it remembers no words)."""
+    if (path, pattern) not in _MADE:
+        _MADE.clear()
+        _MADE[path, pattern] = Tokens(path, pattern)
+    return _MADE[path, pattern]
+
+
+CODED = "doc_id long, key long, width int, n long, ids binary"
 
 
 def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, pattern)
+        own = tokens(path, pattern)
+        width = own.kind.itemsize
         for batch in batches:
             for first, last, raw, at in blocks(batch["text"], 1 << 20):
                 part = batch.slice(first, last - first)
                 key = hilbert_key(project(*words(raw, at)))
-                ids = [own.encode_packed(t or "") + END for t in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(key), pa.array(ids, pa.binary())],
-                                                 names=["doc_id", "key", "ids"])
+                ids = [own.encode(t.as_py() or "").tobytes() for t in part["text"]]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array(key), pa.array([width] * len(ids), pa.int32()),
+                     pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    names=["doc_id", "key", "width", "n", "ids"])
 
     return run
 
 
-def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of the sorted part and the ids before each document in it."""
-    part, at = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        lengths = np.array([len(x) // 4 for x in batch["ids"].to_pylist()], np.int64)
-        before = at + np.cumsum(lengths) - lengths
-        at += int(lengths.sum())
-        yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["ids"], pa.array(np.full(len(lengths), part, np.int32)), pa.array(before),
-             pa.array(lengths)], names=["doc_id", "ids", "part", "before", "doc_tokens"])
-
-
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def _cut(firsts: dict[int, int], limit: int, with_ids: bool):
+def _cut(limit: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, ids, part, before in zip(*(batch[c].to_pylist() for c in ("doc_id", "ids", "part", "before"))):
-                at, n, start = firsts[part] + before, len(ids) // 4, 0
+            for doc, width, n, ids, at in zip(*(batch[c] for c in ("doc_id", "width", "n", "ids", "before"))):
+                doc, n, at, start = doc.as_py(), n.as_py(), at.as_py(), 0
+                ids = np.frombuffer(ids.as_buffer(), f"<u{width.as_py()}")
                 while start < n:
                     length = min(limit - at % limit, n - start)
-                    piece = ids[4 * start:4 * (start + length)]
-                    rows.append((doc, start, length, zlib.crc32(piece), n, at // limit, at % limit,
-                                 np.frombuffer(piece, "<u4") if with_ids else None))
+                    piece = ids[start:start + length]
+                    rows.append((doc, start, length, zlib.crc32(piece.astype("<u4")), n, at // limit, at % limit,
+                                 piece if with_ids else None))
                     start, at = start + length, at + length
             if rows:
                 cols = list(zip(*rows))
@@ -130,16 +162,12 @@ def _cut(firsts: dict[int, int], limit: int, with_ids: bool):
 
 def pack(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT, with_ids: bool = False) -> DataFrame:
     """One row per piece: document, start, length, checksum, sequence, offset[, ids]."""
-    spark = docs.sparkSession
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = materialise(plain.mapInArrow(_encode(path, pattern), "doc_id long, key long, ids binary"), "coded", compression="zstd")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (coded.withColumn("_h", F.xxhash64("doc_id")).repartitionByRange(parts, "key", "_h")
-               .sortWithinPartitions("key", "_h", "doc_id").drop("_h", "key"))
-    placed = materialise(ordered.mapInArrow(_place, "doc_id long, ids binary, part int, before long, doc_tokens long"),
-                         "placed", compression="zstd")
-    totals = placed.groupBy("part").agg(F.sum("doc_tokens").alias("n")).orderBy("part").collect()
-    firsts, at = {}, 0
-    for r in totals:  # one row per sorted part
-        firsts[r["part"]], at = at, at + r["n"]
-    return placed.mapInArrow(_cut(firsts, limit, with_ids), PIECES + ", ids array<long>" * with_ids)
+    work = WorkTables(docs.sparkSession, "packing")
+    coded = plain.mapInArrow(_encode(path, pattern), CODED).withColumn("row", F.monotonically_increasing_id())
+    coded = work.keep(coded, "coded", result=True, compression="zstd")
+    narrow = coded.select("row", "key", F.xxhash64("doc_id").alias("h"), "n")
+    placed = sums_before(narrow, [], [F.col("key"), F.col("h"), F.col("row")], {"before": "n"}, work)
+    both = coded.select("row", "doc_id", "width", "n", "ids").join(placed.select("row", "before"), "row")
+    return (both.select("doc_id", "width", "n", "ids", "before")
+            .mapInArrow(_cut(limit, with_ids), PIECES + ", ids array<long>" * with_ids))
