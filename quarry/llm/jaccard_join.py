@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import materialise
+from quarry.llm.shared import materialise, unwrapped, wrapped
 from quarry.llm.textblocks import blocks, distinct_by_document, mix, shingles, words
 
 WORDS = 5
@@ -313,6 +313,21 @@ def shingle_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
     return _plain(docs).mapInArrow(_set_rows(k, levels, None), SET_ROWS)
 
 
+def one_of_each(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that with the smallest doc_id.
+
+    Groups are formed of rows, not of ids: repeated rows and rows that share an
+    id are told apart by their place; rows without an id take part, and stay only where no row has one.
+    Rows of equal id: the first one stays.  Texts without words are in no group.
+    """
+    rows = materialise(wrapped(docs, "doc_id", "text").withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), k, percent)
+    placed = found.join(rows.select("_row", F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_row"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))
+    kept = placed.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    return unwrapped(rows.join(kept, "_row", "left_semi"), docs.columns)
+
+
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     send = docs.sparkSession.sparkContext.broadcast

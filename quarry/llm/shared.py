@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: The white space of the text contracts: space and U+0009..U+000D.
 SPACE = " \t\n\x0b\x0c\r"
+#: Name of the caller's row beside an operator's columns.
+ROW = "_the_whole_row"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
@@ -40,10 +43,28 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder on shared storage and the path within it."""
+    """The file system of a folder on shared storage and the path within it.
+
+    Hadoop's names of the S3 connector are those of one store.
+    """
+    uri = re.sub(r"^s3[an]://", "s3://", uri)
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
+def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` beside the whole row as a struct under a name of its own.
+
+    An operator that adds columns, or replaces those of the same name, then
+    leaves the caller's alone; :func:`unwrapped` gives them back.
+    """
+    return docs.select(*[F.col(c) for c in columns if c in docs.columns], F.struct(*docs.columns).alias(ROW))
+
+
+def unwrapped(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The caller's rows in their columns, with those of ``changed`` replaced where the caller has them."""
+    return df.select(*[changed[c].alias(c) if c in changed else F.col(f"{ROW}.`{c}`") for c in columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,10 @@ Everything is native.  The join is an equi-join on the key, so a host that
 holds a third of all captures is split by the adaptive skew join; the verdict
 is a partially aggregated group-by.
 
-Edge cases: a NULL or unparsable URL has no key and is kept; a NULL fetch time
+Edge cases: user information, port, brackets and final dots belong to no key; a
+URL without a scheme (``//host/path``) counts; numeric addresses have no parent
+domains; very long URLs are read as a whole; columns other than id, URL and time
+are not read, whatever their names; a NULL or unparsable URL has no key and is kept; a NULL fetch time
 matches nothing; changes with NULL key, time or list are ignored; of several
 changes of one key at one time ``remove`` wins; repeated changes count once;
 repeated captures (same id, URL and time) give one row with ``n_captures``;
@@ -23,9 +26,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Scheme (or none: relative to a scheme), user information, and in group 1 the host.
+AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]?|[^/?#:]*)"
+SEGMENT = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]+/([^/?#]+)"
+#: Hosts without parent domains: numeric addresses.
+ADDRESS = r"^(\d+\.){3}\d+$|:"
+
+
 def host_of(url: Column) -> Column:
-    """Lower-case host without port, or NULL."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
+    """Lower-case host without user information, port, brackets and final dots, or NULL."""
+    host = F.lower(F.rtrim(F.btrim(F.regexp_extract(url, AUTHORITY, 1), F.lit("[]")), F.lit(".")))
     return F.when(F.length(host) > 0, host)
 
 
@@ -33,9 +43,10 @@ def keys_of(url: Column) -> Column:
     """Array of list keys of a URL, empty without a host."""
     host = host_of(url)
     labels = F.split(host, r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
-                          lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    segment = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
+    parents = F.when(host.rlike(ADDRESS), F.array(host)).otherwise(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    segment = F.regexp_extract(url, SEGMENT, 1)
     with_path = F.when(F.length(segment) > 0, F.array(F.concat(host, F.lit("/"), segment))).otherwise(
         F.array().cast("array<string>"))
     return F.when(host.isNull(), F.array().cast("array<string>")).otherwise(
@@ -102,16 +113,23 @@ def page_changes(pages: DataFrame) -> DataFrame:
 
 #: DuckDB SQL of the query over ``pages``.
 ORACLE = r"""
-WITH parts AS (
-  SELECT DISTINCT page_id, url, DATE '2024-01-01' + CAST(page_id % 360 AS INTEGER) AS fetched_at,
-         NULLIF(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)), '') AS host,
-         NULLIF(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1), '') AS segment
+WITH cut AS (
+  SELECT DISTINCT page_id, url, CASE WHEN regexp_matches(url, '^([A-Za-z][A-Za-z0-9+.-]*:)?//')
+                                     THEN substr(url, instr(url, '//') + 2) END AS rest
   FROM pages),
+named AS (SELECT *, list_last(string_split(regexp_extract(rest, '^[^/?#]*'), '@')) AS place FROM cut),
+parts AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 360 AS INTEGER) AS fetched_at,
+         NULLIF(lower(rtrim(CASE WHEN starts_with(place, '[') THEN split_part(substr(place, 2), ']', 1)
+                                 ELSE split_part(place, ':', 1) END, '.')), '') AS host,
+         NULLIF(regexp_extract(split_part(split_part(rest, '?', 1), '#', 1), '^[^/]+/([^/]+)', 1), '') AS segment
+  FROM named),
 counted AS (SELECT page_id, url, count(*) AS n_captures FROM pages GROUP BY ALL),
 keyed AS (
   SELECT page_id, url, fetched_at, unnest(list_distinct(list_concat(
     [array_to_string(string_split(host, '.')[i:], '.')
-     FOR i IN range(1, greatest(len(string_split(host, '.')), 2))],
+     FOR i IN range(1, CASE WHEN host LIKE '%:%' OR regexp_full_match(host, '([0-9]+[.]){3}[0-9]+') THEN 2
+                            ELSE greatest(len(string_split(host, '.')), 2) END)],
     CASE WHEN segment IS NULL THEN [] ELSE [host || '/' || segment] END))) AS key
   FROM parts WHERE host IS NOT NULL),
 listed AS (
