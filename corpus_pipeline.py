@@ -5,8 +5,13 @@ go), n-gram Jaccard join (one document of each group stays), secret scan
 (secrets are masked), packing.  Each stage is written as Parquet and read again
 as the next one's input; all but the last return the columns of ``documents``.
 
-Documents with NULL ids pass the first two stages and the scan; the join keeps
-them too, since they belong to no group.
+Rows are treated one by one whatever their ids: rows without an id pass like
+others and are near copies like others (a row with an id stays before one
+without); of repeated rows one stays; rows of one id and different texts stay
+apart.  A NULL text is an empty one, which no join links and packing gives the
+end id; very long texts are read whole; a score equal to the threshold passes;
+empty tables give empty results.  Further columns go through unchanged whatever
+their names, except that ``n_chars`` follows a changed text.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import factorisation_machine, jaccard_join, line_dedup, packing, secret_scan
-from quarry.llm.shared import materialise, table
+from quarry.llm.shared import materialise, table, unwrapped, wrapped
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -25,26 +30,25 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
     labels = table(spark, sf_dir, "labels")
     model = factorisation_machine.train(docs, labels, ~factorisation_machine.held_out())
-    return (factorisation_machine.score(docs, model)
-            .where(F.col("score") >= factorisation_machine.THRESHOLD).select(*docs.columns))
+    scored = factorisation_machine.score(wrapped(docs, "doc_id", "text", "n_chars"), model)
+    return unwrapped(scored.where(F.col("score") >= factorisation_machine.THRESHOLD), docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in their first document only; ``n_chars`` follows the text."""
-    kept = line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns)
+    kept = line_dedup.drop_repeated_lines(wrapped(docs, "doc_id", "text"))
+    return unwrapped(kept, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    found = jaccard_join.near_duplicates(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates, that with the smallest id."""
+    return jaccard_join.one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets become the name of their kind; ``n_chars`` follows the text."""
-    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    masked = secret_scan.redact(wrapped(docs, "doc_id", "text"))
+    return unwrapped(masked, docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
