@@ -1,31 +1,39 @@
-"""Exact Jaccard join of word n-gram sets by pivots and triangle windows.
+"""Exact Jaccard join of word n-gram sets by pivots, Voronoi regions and triangle windows.
 
 Unrelated texts all lie at distance 1 from any pivot, so pivots drawn from the
-corpus give one boundary region that holds everything.  Regions are therefore
-seeded where distances carry information: under any fixed order of the n-grams,
-two sets within the distance share one of their first ones (the prefix bound),
-and each n-gram met in two prefixes is a region.
+whole corpus would give one boundary region that holds everything.  The first
+regions are therefore formed where distances carry information: under any fixed
+order of the n-grams, two sets within the distance share one of their first ones
+(the prefix bound), and each n-gram met in two prefixes is a region.
 
 1. One pass over the texts gives each document's size and set fingerprint, and
    a count sketch of all n-grams with ``2 ** SKETCH_BITS`` counters, whatever
    the corpus.  An n-gram's key is (level of its counter, hash): the order by
    key puts frequent n-grams last, and is exact however full the sketch is.
 2. Equal sets become one class; the rest works on class representatives.
-3. Regions: the representatives that share an n-gram of their prefixes ("heads").
-   Only documents in a region get their whole set written; the texts themselves
-   are never shuffled (a bitmap of ids of fixed size picks the documents).
-   Of regions with the same members one stays.
-4. Rounds: each region's pivot is its most central member; the others' distances from it are
-   bounded by the heads, and computed exactly where the bound allows a link.
-   Linked members join; regions whose members are all in one component are
-   done; in the others the pivot leaves and a new one is chosen.
-5. Regions still mixed after ``PIVOT_ROUNDS`` compare their pairs of different
-   components whose distances from the last pivot satisfy the triangle
-   inequality.  This is the exact way for what the pivots leave.
+3. The n-grams of all prefixes are sorted by (n-gram, size of the set).  From the
+   place of the n-gram in a prefix follows how large a partner may be, so each
+   n-gram's run is cut wherever no pair can reach across; runs of one member are
+   gone.  Of regions with the same members one stays, and regions whose members
+   all share one larger region are part of it.
+4. The sets of the members left (the texts themselves are never shuffled) meet
+   their regions.  A region is joined recursively in its task (:func:`join_region`): members
+   that share too few n-grams with all others leave; ``PIVOTS`` pivots are drawn
+   far apart, exact distances from them link what is near, every member goes to
+   the Voronoi cell of its nearest pivot and, as a boundary member, to each cell
+   whose pivot is at most twice the join distance farther; cells of one component
+   are done, the others are joined in the same way without the pivots.
+5. Regions of more than ``WEIGHT`` n-grams are not given to one task: they are
+   divided by the same step as a Spark job, and what still is too heavy then is
+   joined in pairs of blocks, members near the pivot only with those that are not.
+6. Components of the links are found by label propagation with shortcuts.
 
 Edge cases: NULL and empty texts have no n-grams and link with nothing; a text
-of fewer than n words is one n-gram; rows of equal doc_id and text are one
-document; NULL ids get no class and no row; empty tables give no rows.
+of fewer than n words is one n-gram; very long texts are read whole; rows of
+equal doc_id and text are one document, rows of one doc_id and different texts
+belong to one node; NULL ids get no class and no row; empty tables give no rows;
+only ``doc_id`` and ``text`` are read, so further columns of any name do not
+matter.
 """
 
 from __future__ import annotations
@@ -40,14 +48,17 @@ from pyspark.sql import functions as F
 
 from quarry.llm.shared import materialise, unwrapped, wrapped
 from quarry.llm.textblocks import blocks, distinct_by_document, mix, shingles, words
+from quarry.sources.worktables import WorkTables
 
 WORDS = 5
 PERCENT = 80
-PIVOT_ROUNDS = 4
+PIVOTS = 8
+#: N-grams of a region that one task joins at most, and rounds of dividing heavier ones.
+WEIGHT, DIVISIONS = 1 << 22, 3
 #: Counters of the n-gram sketch and bits of the id bitmap (as powers of two): fixed sizes.
 SKETCH_BITS = 22
 SLAB_BITS = 16
-BITMAP_BITS = 23
+BITMAP_BITS = 25
 KEY_BITS = 58
 
 
@@ -76,10 +87,10 @@ def _survey(k: int):
         names = [c.split()[0] for c in SURVEY.split(", ")]
         kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
         for batch in batches:
-            for first, last, raw, at in blocks(batch["text"]):
+            for first, last, raw, at in blocks(batch["text"], 1 << 20):
                 values, of = distinct_by_document(*shingles(*words(raw, at), k))
-                counts += np.bincount((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
-                                      minlength=len(counts)).astype(np.uint32)
+                met, times = np.unique((values >> np.uint64(64 - SKETCH_BITS)).astype(np.int32), return_counts=True)
+                counts[met] += times.astype(np.uint32)
                 cols = [batch["doc_id"].slice(first, last - first), np.diff(of), *_prints(values, of)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) if isinstance(c, np.ndarray) else c for c, t in zip(cols, kinds)]
@@ -127,11 +138,12 @@ def _set_rows(k: int, levels, percent: int | None, bitmap=None):
     """Sorted keys of each set: the prefix (``percent`` given) or all; of the ids in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(levels.value, np.uint8)
-        member = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap.value, np.uint8))
+        member = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             if member is not None:
-                batch = batch.filter(pa.array(member[_bits(batch["doc_id"].to_numpy())] > 0))
-            for first, last, raw, at in blocks(batch["text"]):
+                at = _bits(batch["doc_id"].to_numpy())
+                batch = batch.filter(pa.array((member[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0))
+            for first, last, raw, at in blocks(batch["text"], 1 << 20):
                 values, of = distinct_by_document(*shingles(*words(raw, at), k))
                 p1, p2 = _prints(values, of)
                 keys = ((level[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
@@ -155,107 +167,327 @@ def head_length(n, percent: int):
     return n - -(-n * percent // 100) + 1
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = [np.frombuffer(s, "<i8") for s in batch["s"].to_pylist()]
-        if keys:
-            ids = np.repeat(batch["id"].to_numpy(), [len(x) for x in keys])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids)], names=["g", "id"])
+# --- regions -------------------------------------------------------------------------------------------------------
+
+def _grams(percent: int):
+    """(g, id, p1, n, most) of each key of a prefix: ``most`` is the largest partner that the key's place allows.
+
+    If the key at place i (from 0) is the first one that two sets share, they
+    share at most n - i; sizes n and m need percent / (100 + percent) * (n + m).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.frombuffer(s, "<i8") for s in batch["s"].to_pylist()]
+            if not keys:
+                continue
+            lengths = [len(x) for x in keys]
+            n = np.repeat(batch["n_shingles"].to_numpy(), lengths)
+            place = np.concatenate([np.arange(x) for x in lengths])
+            most = np.minimum((n - place) * (100 + percent) // percent - n, n * 100 // percent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys)), pa.array(np.repeat(batch["doc_id"].to_numpy(), lengths)),
+                 pa.array(np.repeat(batch["p1"].to_numpy(), lengths)), pa.array(n), pa.array(most)],
+                names=["g", "id", "p1", "n", "most"])
+
+    return run
+
+
+def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (g, n): the runs within which pairs can link, without those of one row.
+
+    Only the last row is carried from batch to batch; ``r`` numbers the runs of the task.
+    """
+    names = ["g", "id", "p1", "n", "most"]
+    run, reach, last = 0, 0, None
 
+    def out(rows: list[np.ndarray], runs: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
+        g, i, p, n, _ = (r[keep] for r in rows)
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(runs[keep]), pa.array(i), pa.array(p), pa.array(n)],
+                                          names=["g", "r", "id", "p1", "n"])
 
-def regions(heads: DataFrame) -> DataFrame:
-    """(g, id): the members of each n-gram's region, regions of one member left out."""
-    grams = heads.select("id", "s").mapInArrow(_grams, "g long, id long")
-    shared = grams.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("g")
-    return grams.join(shared, "g")
+    paired = False  # whether the carried row's run had a row before it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch[c].to_numpy() for c in names]
+        if last is not None:
+            rows = [np.concatenate([[x], y]) for x, y in zip(last, rows)]
+        g, n, most = rows[0], rows[3], rows[4].copy()
+        if last is not None:
+            most[0] = max(most[0], reach)
+        # The farthest reach of the earlier rows of the same n-gram.
+        first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        group = np.cumsum(np.concatenate([[False], g[1:] != g[:-1]]))
+        farthest = np.maximum.accumulate(most + group * (1 << 40)) - group * (1 << 40)
+        new = np.ones(len(g), bool)
+        new[1:] = n[1:] > farthest[:-1]
+        new[first] = True
+        new[0] = last is None
+        runs = run + np.cumsum(new)
+        beside = np.zeros(len(g), bool)
+        beside[1:] |= ~new[1:]
+        beside[:-1] |= ~new[1:]
+        beside[0] |= paired
+        if len(g) > 1:
+            yield out([r[:-1] for r in rows], runs[:-1], beside[:-1])
+        # A run's reach goes on past the batch; of the carried row only its own reach is known otherwise.
+        last, reach, run, paired = [r[-1] for r in rows], int(farthest[-1]), int(runs[-1]), bool(~new[-1] if len(g) > 1 else paired)
+    if last is not None and paired:
+        yield out([np.array([x]) for x in last], np.array([run]), np.array([True]))
+
+
+def regions(heads: DataFrame, percent: int) -> DataFrame:
+    """(g, id, p1, n): members of the runs of each n-gram, runs of one member left out; ``g`` names the run."""
+    grams = heads.select(*PRINT, "s").mapInArrow(_grams(percent), "g long, id long, p1 long, n long, most long")
+    runs = grams.repartition("g").sortWithinPartitions("g", "n").mapInArrow(_cut_runs, "g long, r long, id long, p1 long, n long")
+    return runs.select(F.xxhash64("g", "r", F.spark_partition_id()).alias("g"), "id", "p1", "n")
 
 
 def distinct_regions(left: DataFrame) -> DataFrame:
     """One region of those with the same members (told apart by count, ends and two 64-bit sums of hashes)."""
-    same = [F.count(F.lit(1)), F.min("id"), F.max("id"), F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64("id", F.lit(1)))]
+    same = [F.count(F.lit(1)), F.min("id"), F.max("id"), F.bit_xor(F.xxhash64("id", "p1")),
+            F.bit_xor(F.xxhash64("id", "p1", F.lit(1)))]
     marks = left.groupBy("g").agg(*[c.alias(f"m{k}") for k, c in enumerate(same)])
     first = marks.groupBy(*[f"m{k}" for k in range(len(same))]).agg(F.min("g").alias("g")).select("g")
     return left.join(first, "g", "left_semi")
 
 
-def with_weight(left: DataFrame) -> DataFrame:
-    """``left`` with each member's weight: the sizes of its regions, largest for the text that its copies derive from."""
-    sizes = left.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    weights = left.join(sizes, "g").groupBy("id").agg(F.sum("size").alias("w"))
-    return left.join(weights, "id").select("g", "id", "w")
-
-
-def weighted_regions(heads: DataFrame) -> DataFrame:
-    """(g, id, w), written: weights count all regions, of which one of each membership stays."""
-    return materialise(distinct_regions(with_weight(materialise(regions(heads), "regions"))), "regions")
+def outer_regions(left: DataFrame) -> DataFrame:
+    """Regions that are not part of the largest region of all their members."""
+    sized = left.join(left.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "g")
+    home = sized.groupBy("id", "p1").agg(F.max(F.struct("size", "g"))["g"].alias("home"))
+    homes = left.join(home, ["id", "p1"]).groupBy("g").agg(F.min("home").alias("lo"), F.max("home").alias("hi"))
+    return left.join(homes.where("lo <> hi or lo = g").select("g"), "g", "left_semi")
 
 
 def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(1 << BITMAP_BITS, np.uint8)
     for batch in batches:
         bits[_bits(batch["id"].to_numpy())] = 1
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+    yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
 
 
 def id_bitmap(ids: DataFrame) -> bytes:
     """A bitmap of hashed ids: a fixed number of bits, false positives only."""
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for r in ids.coalesce(8).mapInArrow(_bitmap, "bits binary").collect():
-        out |= np.frombuffer(r["bits"], np.uint8)
+        out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return out.tobytes()
 
 
-def _common(whole: bool, percent: int):
-    """Shared keys of each pair: exactly (``whole`` sets), or the bounds that the heads give."""
+# --- joining a region ----------------------------------------------------------------------------------------------
+
+class _Region:
+    """The sets of one region as numbers of their n-grams, and the components found so far."""
+
+    def __init__(self, ids: list[int], sets: list[np.ndarray], percent: int):
+        self.ids, self.percent = ids, percent
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.grams, self.codes = np.unique(np.concatenate(sets), return_inverse=True)
+        self.parent = list(range(len(ids)))
+        self.links: list[tuple[int, int]] = []
+
+    def root(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = x = self.parent[self.parent[x]]
+        return x
+
+    def one_component(self, cell: np.ndarray) -> bool:
+        first = self.root(int(cell[0]))
+        return all(self.root(int(x)) == first for x in cell[1:])
+
+    def flat(self, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams of the members, one after the other, and where each member's begin."""
+        sizes = self.sizes[cell]
+        begin = np.cumsum(sizes) - sizes
+        return self.codes[np.repeat(self.starts[cell] - begin, sizes) + np.arange(sizes.sum())], begin
+
+    def related(self, cell: np.ndarray) -> np.ndarray:
+        """Members of whose n-grams others of the cell hold as many as a link needs."""
+        while len(cell) > 1:
+            codes, begin = self.flat(cell)
+            shared = np.bincount(codes, minlength=len(self.grams))[codes] > 1
+            enough = 100 * np.add.reduceat(shared.astype(np.int64), begin) >= self.percent * self.sizes[cell]
+            if enough.all():
+                break
+            cell = cell[enough]
+        return cell
+
+    def distances(self, pivot: int, cell: np.ndarray, codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Exact distances of the cell from the pivot; near members join it."""
+        mark = np.zeros(len(self.grams), np.int64)
+        mark[self.codes[self.starts[pivot]:self.starts[pivot + 1]]] = 1
+        both = np.add.reduceat(mark[codes], begin)
+        either = self.sizes[cell] + self.sizes[pivot] - both
+        for x in cell[100 * both >= self.percent * either]:
+            a, b = self.root(pivot), self.root(int(x))
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+                self.links.append((pivot, int(x)))
+        return 1 - both / either
+
+    def join(self, pivots: int) -> list[tuple[int, int]]:
+        """Pairs of ids that link and connect all that links connect."""
+        # Two times the join distance, and a little for rounding.
+        window = 2 * (100 - self.percent) / 100 + 1e-9
+        cells = [np.arange(len(self.ids))]
+        while cells:
+            cell = self.related(cells.pop())
+            if len(cell) < 2 or self.one_component(cell):
+                continue
+            codes, begin = self.flat(cell)
+            drawn, rows, away = [], [], np.full(len(cell), np.inf)
+            for _ in range(min(pivots, len(cell))):
+                at = int(np.argmax(away)) if drawn else 0
+                drawn.append(at)
+                rows.append(self.distances(int(cell[at]), cell, codes, begin))
+                away = np.minimum(away, rows[-1])
+                away[drawn] = -1.0
+            rest = np.delete(np.arange(len(cell)), drawn)
+            if not len(rest):
+                continue
+            table = np.array(rows)[:, rest]
+            inside = table <= table.min(axis=0) + window
+            # Cells of the same members are one.
+            cells += [cell[rest[row]] for row in np.unique(inside, axis=0) if row.sum() > 1]
+        return [(self.ids[a], self.ids[b]) for a, b in self.links]
+
+
+def join_region(ids: list[int], sets: list[np.ndarray], percent: int = PERCENT, pivots: int = PIVOTS) -> list[tuple[int, int]]:
+    """Linked pairs of ids that connect whatever links of the sets connect."""
+    return _Region(ids, sets, percent).join(pivots) if len(ids) > 1 else []
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _join_regions(percent: int, pivots: int):
+    """Rows sorted by region: each region's links.  A region's rows are at most ``WEIGHT`` n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, sets = None, [], []
         for batch in batches:
-            least, most = [], []
-            for na, nb, sa, sb in zip(*(batch[c].to_pylist() for c in ("na", "nb", "sa", "sb"))):
-                x, y = np.frombuffer(sa, "<u8"), np.frombuffer(sb, "<u8")
-                # Both heads hold all their set's keys up to the smaller of their last ones.
-                end = min(x[-1], y[-1])
-                x, y = (z[:np.searchsorted(z, end, side="right")] for z in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                least.append(shared)
-                most.append(shared if whole else shared + min(na - len(x), nb - len(y)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in ("a", "b", "na", "nb")), pa.array(least, pa.int64()), pa.array(most, pa.int64())],
-                names=["a", "b", "na", "nb", "least", "most"])
+            found = []
+            for g, i, s in zip(batch["g"].to_pylist(), batch["id"].to_pylist(), batch["s"]):
+                if g != now:
+                    found += join_region(ids, sets, percent, pivots)
+                    now, ids, sets = g, [], []
+                ids.append(i)
+                sets.append(np.frombuffer(s.as_py(), "<u8"))
+            yield _edges(found)
+        yield _edges(join_region(ids, sets, percent, pivots))
 
     return run
 
 
-MEASURED = "a long, b long, na long, nb long, least long, most long"
-
+def _divide(percent: int):
+    """A member of a heavy region: its links with the pivots, and the cells it belongs to."""
+    window = 2 * (100 - percent) / 100 + 1e-9
 
-def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) pairs, their sizes, and bounds of the shared count: equal where a link is possible."""
-    def beside(pairs: DataFrame, side: str, whole: bool) -> DataFrame:
-        length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-        s = F.col("s") if whole else F.expr("substring(s, 1, cast(8 * _l as int))")
-        part = sets.withColumn("_l", length).select(F.col("id").alias(side), F.col("n").alias("n" + side), s.alias("s" + side))
-        return pairs.join(part, side)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for g, i, s, pivots in zip(*(batch[c].to_pylist() for c in ("g", "id", "s", "pivots"))):
+                own, away = np.frombuffer(s, "<u8"), []
+                for p in pivots:
+                    other = np.frombuffer(p["s"], "<u8")
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    either = len(own) + len(other) - both
+                    away.append((1 - both / either, 100 * both >= percent * either, p["id"]))
+                near = min(a for a, *_ in away)
+                pivot = any(a == 0 for a, *_ in away)
+                for k, (a, linked, p) in enumerate(away):
+                    if linked and p != i:
+                        rows.append((g, i, p, None, True))
+                    if a <= near + window and not pivot:
+                        rows.append((g, i, None, k, linked))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                             names=["g", "id", "pivot", "cell", "linked"])
 
-    def compare(pairs: DataFrame, whole: bool) -> DataFrame:
-        both = beside(beside(pairs, "a", whole), "b", whole)
-        return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_common(whole, percent), MEASURED)
+    return run
 
-    bounded = materialise(compare(pairs.distinct(), False), "bounds")
-    near = bounded.where(linked(percent)).select("a", "b")
-    far = bounded.where(~linked(percent))
-    return far if near.isEmpty() else far.unionByName(compare(near, True))
 
+def divide(heavy: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(g, id, pivot, cell, linked): links with pivots (``pivot``), and Voronoi cells with their boundaries (``cell``)."""
+    salted = F.xxhash64("id", F.lit(turn))
+    drawn = heavy.groupBy("g").agg(*[F.min_by(F.struct("id", "s"), F.when(F.pmod(salted, F.lit(PIVOTS)) == k, salted)).alias(f"p{k}")
+                                     for k in range(PIVOTS)])
+    pivots = drawn.select("g", F.filter(F.array(*[f"p{k}" for k in range(PIVOTS)]), lambda p: p.isNotNull()).alias("pivots"))
+    return heavy.join(pivots, "g").select("g", "id", "s", "pivots").mapInArrow(
+        _divide(percent), "g long, id long, pivot long, cell int, linked boolean")
 
-def linked(percent: int):
-    return 100 * F.col("most") >= percent * (F.col("na") + F.col("nb") - F.col("most"))
 
+def block_pairs(cells: DataFrame, weight: int) -> DataFrame:
+    """Cells that stay too heavy, in pairs of blocks of at most half of ``weight``.
 
-def components(edges: DataFrame) -> DataFrame:
+    Members that link with the cell's pivot are in one component, so only the
+    others meet each other, and each block of them every block of the linked.
+    """
+    size = (F.sum(F.when(F.col("linked"), F.col("n"))), F.sum(F.when(~F.col("linked"), F.col("n"))))
+    counts = cells.groupBy("g").agg(*[F.ceil(F.coalesce(c, F.lit(0)) * 2 / weight).cast("int").alias(x) for c, x in zip(size, "lo")])
+    both = cells.join(counts, "g").withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.greatest(
+        F.when(F.col("linked"), F.col("l")).otherwise(F.col("o")), F.lit(1))).cast("int"))
+
+    def each(count):
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda k: k)).otherwise(
+            F.array().cast("array<int>"))
+
+    with_linked = F.transform(each(F.col("l")), lambda k: F.struct(F.lit("l").alias("t"), k.alias("x"), F.col("own").alias("y")))
+    with_others = F.transform(each(F.col("o")), lambda k: F.struct(
+        F.lit("o").alias("t"), F.least(k, "own").alias("x"), F.greatest(k, "own").alias("y")))
+    linked = F.transform(each(F.col("o")), lambda k: F.struct(F.lit("l").alias("t"), F.col("own").alias("x"), k.alias("y")))
+    spread = F.when(F.col("linked"), linked).otherwise(F.concat(with_linked, with_others))
+    return both.withColumn("b", F.explode(spread)).select(F.xxhash64("g", "b").alias("g"), "id", "n", "s")
+
+
+def join_all(left: DataFrame, sets: DataFrame, percent: int, work: WorkTables, weight: int | None = None,
+             pivots: int = PIVOTS) -> DataFrame:
+    """(a, b): links of all regions (g, id, p1, n) that connect whatever links of the sets (id, p1, s) connect."""
+    weight = weight or WEIGHT
+
+    def by_weight(rows: DataFrame, name: str):
+        total = rows.groupBy("g").agg(F.sum("n").alias("w"))
+        heavy = work.keep(total.where(F.col("w") > weight).select("g"), f"heavy-{name}")
+        return heavy, rows.join(heavy, "g", "left_anti")
+
+    def with_sets(rows: DataFrame) -> DataFrame:
+        return rows.join(sets, ["id", "p1"]).select("g", "id", "n", "s")
+
+    def solve(rows: DataFrame) -> DataFrame:
+        return rows.repartition("g").sortWithinPartitions("g").select("g", "id", "s").mapInArrow(
+            _join_regions(percent, pivots), "a long, b long")
+
+    heavy, light = by_weight(left, "0")
+    edges = work.keep(solve(with_sets(light)), "links-0")
+    if heavy.isEmpty():
+        return edges
+    rows = work.keep(with_sets(left.join(heavy, "g", "left_semi")), "rows-0", compression="zstd")
+    for turn in range(1, DIVISIONS + 1):
+        found = work.keep(divide(rows.select("g", "id", "s"), percent, turn), f"cells-{turn}")
+        placed = found.where("cell is not null").select(F.col("g").alias("_g"), F.col("id").alias("_id"), "cell", "linked")
+        cells = (placed.join(rows.drop("linked"), (F.col("_g") == F.col("g")) & (F.col("_id") == F.col("id")))
+                 .select(F.xxhash64("g", "cell").alias("g"), "id", "n", "linked", "s"))
+        cells = work.keep(cells, f"rows-{turn}", compression="zstd")
+        edges = edges.unionByName(found.where("pivot is not null").select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+        work.drop(f"rows-{turn - 1}")
+        heavy, light = by_weight(cells, str(turn))
+        edges = edges.unionByName(work.keep(solve(light.drop("linked")), f"links-{turn}"))
+        rows = cells.join(heavy, "g", "left_semi")
+        if heavy.isEmpty():
+            return edges
+    return edges.unionByName(solve(block_pairs(rows, weight)))
+
+
+def components(edges: DataFrame, work: WorkTables) -> DataFrame:
     """(id, component): the smallest id reachable, for ids with an edge."""
-    both = materialise(edges.select(F.col("a").alias("x"), F.col("b").alias("y"))
-                       .union(edges.select("b", "a")).distinct(), "edges")
-    label = materialise(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("c"))
-                        .select(F.col("x").alias("id"), "c"), "labels")
+    both = work.keep(edges.select(F.col("a").alias("x"), F.col("b").alias("y"))
+                     .union(edges.select("b", "a")).distinct(), "edges")
+    label = work.keep(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("c"))
+                      .select(F.col("x").alias("id"), "c"), "labels-0")
+    turn = 0
     while True:
         near = (both.join(label, both["y"] == label["id"]).groupBy("x").agg(F.min("c").alias("near")))
         to = label.select(F.col("id").alias("_c"), F.col("c").alias("far"))
@@ -263,56 +495,14 @@ def components(edges: DataFrame) -> DataFrame:
                 .select("id", F.col("c").alias("old"), F.least("c", F.coalesce("near", "c")).alias("c")))
         step = (step.join(to, step["c"] == to["_c"], "left")
                 .select("id", "old", F.least("c", F.coalesce("far", "c")).alias("c")))
-        step = materialise(step, "labels")
+        turn += 1
+        step = work.keep(step, f"labels-{turn}", result=True)
+        work.drop(f"labels-{turn - 1}")
         if step.where("old <> c").isEmpty():
             return step.select("id", F.col("c").alias("component"))
         label = step.drop("old")
 
 
-def join_regions(left: DataFrame, sets: DataFrame, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """(id, component) of the region members that link with another."""
-    edges, parts = None, None
-    for _ in range(rounds):
-        pivots = left.groupBy("g").agg(F.max(F.struct("w", "id"))["id"].alias("p"))
-        spokes = left.select("g", "id", "w").join(pivots, "g").where("id <> p")
-        found = materialise(measured(spokes.select(F.col("p").alias("a"), F.col("id").alias("b")), sets, percent), "spokes")
-        new = found.where(linked(percent)).select("a", "b")
-        if edges is None or not new.isEmpty():
-            edges = materialise(new if edges is None else edges.union(new), "links")
-            parts = components(edges)
-        named = left.select("g", "id").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = (named.join(pivots, "g").where("id <> p").groupBy("g")
-                 .agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g"))
-        union = F.col("na") + F.col("nb")
-        near, far = (1 - F.col(c) / (union - F.col(c)) for c in ("most", "least"))
-        left = materialise(spokes.join(mixed, "g").join(
-            found.select(F.col("a").alias("p"), F.col("b").alias("id"), near.alias("near"), far.alias("far"),
-                         F.col("nb").alias("n")), ["p", "id"]).select("g", "id", "w", "near", "far", "n"), "regions")
-        if left.isEmpty():
-            return parts
-    named = distinct_regions(left).join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    x, y = (named.select("g", *[F.col(c).alias(c + s) for c in ("id", "component", "near", "far", "n")]) for s in "xy")
-    # The distances from the pivot may differ by the join distance at most; a little more, for rounding.
-    window = F.greatest(F.col("nearx") - F.col("fary"), F.col("neary") - F.col("farx")) <= (100 - percent) / 100 + 1e-5
-    sizes = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    rest = x.join(y, "g").where((F.col("idx") < F.col("idy")) & (F.col("componentx") != F.col("componenty")) & window & sizes)
-    more = measured(rest.select(F.col("idx").alias("a"), F.col("idy").alias("b")), sets, percent)
-    return components(materialise(edges.union(more.where(linked(percent)).select("a", "b")), "links"))
-
-
-def join_representatives(reps: DataFrame, percent: int = PERCENT, rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """(id, component) of the sets (id, n, s: sorted keys) that link with another."""
-    heads = reps.select("id", "n", F.expr(f"substring(s, 1, cast(8 * (n - ceil(n * {percent} / 100) + 1) as int))").alias("s"))
-    return join_regions(weighted_regions(heads), reps, percent, rounds)
-
-
-def shingle_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, p1, p2, s): size, fingerprint and sorted keys of each document's set."""
-    survey = materialise(_plain(docs).mapInArrow(_survey(k), SURVEY), "survey")
-    levels = docs.sparkSession.sparkContext.broadcast(sketch_levels(survey).tobytes())
-    return _plain(docs).mapInArrow(_set_rows(k, levels, None), SET_ROWS)
-
-
 def one_of_each(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that with the smallest doc_id.
 
@@ -328,27 +518,28 @@ def one_of_each(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> Data
     return unwrapped(rows.join(kept, "_row", "left_semi"), docs.columns)
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, weight: int | None = None,
+                    pivots: int = PIVOTS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     send = docs.sparkSession.sparkContext.broadcast
     plain = _plain(docs)
-    survey = materialise(plain.mapInArrow(_survey(k), SURVEY), "survey")
-    slim = survey.where("doc_id is not null").select(*PRINT).distinct()
-    classes = materialise(slim.where("n_shingles > 0").groupBy("n_shingles", "p1", "p2").agg(F.min("doc_id").alias("doc_id")),
-                          "classes")
-    levels = send(sketch_levels(survey).tobytes())
-
-    def representatives(rows: DataFrame, of: DataFrame) -> DataFrame:
-        return (rows.join(of, PRINT, "left_semi").dropDuplicates(["doc_id", "p1", "p2"])
-                .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s"))
-
-    heads = materialise(representatives(plain.mapInArrow(_set_rows(k, levels, percent), SET_ROWS), classes), "heads")
-    left = weighted_regions(heads)
-    members = left.select("id").distinct()
-    chosen = send(id_bitmap(members))
-    in_regions = classes.join(members, F.col("doc_id") == F.col("id"), "left_semi")
-    sets = materialise(representatives(plain.mapInArrow(_set_rows(k, levels, None, chosen), SET_ROWS), in_regions), "sets")
-    parts = join_regions(left, sets, percent)
+    with WorkTables(docs.sparkSession, "near") as work:
+        survey = work.keep(plain.mapInArrow(_survey(k), SURVEY), "survey")
+        slim = work.keep(survey.where("doc_id is not null").select(*PRINT).distinct(), "slim", result=True)
+        levels = send(sketch_levels(survey).tobytes())
+        work.drop("survey")
+        classes = work.keep(slim.where("n_shingles > 0").groupBy("n_shingles", "p1", "p2")
+                            .agg(F.min("doc_id").alias("doc_id")), "classes", result=True)
+        heads = (plain.mapInArrow(_set_rows(k, levels, percent), SET_ROWS).dropDuplicates(PRINT)
+                 .join(classes.select(*PRINT), PRINT, "left_semi"))
+        met = work.keep(regions(heads, percent), "met")
+        left = work.keep(outer_regions(distinct_regions(met)), "regions")
+        work.drop("met")
+        chosen = send(id_bitmap(left.select("id").distinct()))
+        sets = (plain.mapInArrow(_set_rows(k, levels, None, chosen), SET_ROWS)
+                .select(F.col("doc_id").alias("id"), "p1", "s").dropDuplicates(["id", "p1"]))
+        links = work.keep(join_all(left, sets, percent, work, weight, pivots), "links")
+        parts = components(links, work)
     member = classes.join(parts, F.col("doc_id") == F.col("id"), "left").select(
         "n_shingles", "p1", "p2", F.coalesce("component", "doc_id").alias("component"))
     return (slim.join(member, ["n_shingles", "p1", "p2"], "left")

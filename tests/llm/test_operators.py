@@ -294,19 +294,64 @@ def test_join_equals_brute_force(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
     got = sorted(tuple(r) for r in jaccard_join.near_duplicates(docs).collect())
     assert got == brute_components(texts)
-    sets = jaccard_join.shingle_sets(docs)
-    reps = sets.where("n_shingles > 0").dropDuplicates(["p1", "p2"]).select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s")
-    # The pivots and the window give the same components, whatever the number of rounds.
-    some = [{frozenset(v) for v in groups.values()} for groups in (
-        _groups(jaccard_join.join_representatives(reps.cache(), rounds=n)) for n in (1, 6))]
-    assert some[0] == some[1]
+    # Neither the number of pivots nor the division of heavy regions over tasks changes anything.
+    for weight, pivots in ((None, 2), (400, 8), (3000, 3)):
+        assert sorted(tuple(r) for r in jaccard_join.near_duplicates(docs, weight=weight, pivots=pivots).collect()) == got
     assert {r["doc_id"] for r in jaccard_join.near_duplicates(odd(spark)).collect()} == {d for d, _ in ODD if d is not None}
     assert jaccard_join.near_duplicates(odd(spark).limit(0)).count() == 0
 
 
-def _groups(parts):
-    out = defaultdict(list)
-    for r in parts.collect():
-        out[r["component"]].append(r["id"])
-    return out
+def test_regions_join_exactly_and_cells_of_one_component_are_done():
+    rng = random.Random(4)
+    for trial in range(30):
+        pool = rng.sample(range(1 << 40), 400)
+        bases = [rng.sample(pool, rng.randint(5, 120)) for _ in range(rng.randint(1, 6))]
+        sets = []
+        for _ in range(rng.randint(2, 70)):
+            base = list(rng.choice(bases))
+            for _ in range(rng.randint(0, len(base) // 6)):
+                base[rng.randrange(len(base))] = rng.choice(pool)
+            sets.append(np.array(sorted(set(base)), np.uint64))
+        links = jaccard_join.join_region(list(range(len(sets))), sets, pivots=rng.randint(1, 8))
+        group = list(range(len(sets)))
+
+        def merge(a, b):
+            old, new = max(group[a], group[b]), min(group[a], group[b])
+            group[:] = [new if g == old else g for g in group]
+
+        for a, b in links:
+            both = len(np.intersect1d(sets[a], sets[b]))
+            assert 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+            merge(a, b)
+        found, group[:] = list(group), list(range(len(sets)))
+        for a in range(len(sets)):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    merge(a, b)
+        assert found == group
+        assert len(links) == len(sets) - len(set(group))
+
+
+def test_runs_are_cut_alike_in_any_batches():
+    rng = random.Random(12)
+    rows = sorted((rng.randint(0, 30), rng.randint(1, 60), k) for k in range(600))
+    cols = {"g": [r[0] for r in rows], "id": [r[2] for r in rows], "p1": [0] * 600, "n": [r[1] for r in rows],
+            "most": [r[1] + rng.randint(-3, 4) for r in rows]}
+    import pyarrow as pa
+    whole = pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in cols.items()})
+    want, run, reach = {}, 0, None
+    for k in range(600):
+        if k == 0 or cols["g"][k] != cols["g"][k - 1] or cols["n"][k] > reach:
+            run += 1
+            reach = cols["most"][k] if k == 0 or cols["g"][k] != cols["g"][k - 1] else max(reach, cols["most"][k])
+        else:
+            reach = max(reach, cols["most"][k])
+        want.setdefault(run, []).append(cols["id"][k])
+    want = sorted(v for v in want.values() if len(v) > 1)
+    for size in (1, 2, 7, 600):
+        got = {}
+        for batch in jaccard_join._cut_runs(whole.slice(at, size) for at in range(0, 600, size)):
+            for r, i in zip(batch["r"].to_pylist(), batch["id"].to_pylist()):
+                got.setdefault(r, []).append(i)
+        assert sorted(got.values()) == want
