@@ -90,6 +90,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_top_k_search": vector_search.ORACLE,
     "op4_warc": warc.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
+    "op9_jaccard_join": jaccard_join.ORACLE,
     "op12_ranked_search": signature_search.ORACLE,
     "op13_importance_resampling": importance.ORACLE,
 }

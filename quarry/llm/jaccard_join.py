@@ -14,8 +14,10 @@ order of the n-grams, two sets within the distance share one of their first ones
 3. The n-grams of all prefixes are sorted by (n-gram, size of the set).  From the
    place of the n-gram in a prefix follows how large a partner may be, so each
    n-gram's run is cut wherever no pair can reach across; runs of one member are
-   gone.  Of regions with the same members one stays, and regions whose members
-   all share one larger region are part of it.
+   gone.  Prefixes are longer by ``n / SPARE`` than one shared n-gram asks for, so
+   linked sets share that many more, and members met in fewer runs leave.  Of
+   regions with the same members one stays, and regions whose members all share
+   one larger region are part of it.
 4. The sets of the members left (the texts themselves are never shuffled) meet
    their regions.  A region is joined recursively in its task (:func:`join_region`): members
    that share too few n-grams with all others leave; ``PIVOTS`` pivots are drawn
@@ -53,6 +55,8 @@ from quarry.sources.worktables import WorkTables
 WORDS = 5
 PERCENT = 80
 PIVOTS = 8
+#: A prefix is longer by a set's size over this, which is how many n-grams linked sets share in it.
+SPARE = 20
 #: N-grams of a region that one task joins at most, and rounds of dividing heavier ones.
 WEIGHT, DIVISIONS = 1 << 22, 3
 #: Counters of the n-gram sketch and bits of the id bitmap (as powers of two): fixed sizes.
@@ -163,17 +167,22 @@ SET_ROWS = "doc_id long, n_shingles long, p1 long, p2 long, s binary"
 PRINT = ["doc_id", "n_shingles", "p1", "p2"]
 
 
-def head_length(n, percent: int):
-    return n - -(-n * percent // 100) + 1
+def spare(n):
+    return np.maximum(n // SPARE, 1)
+
+
+def head_length(n: int, percent: int) -> int:
+    return n - -(-n * percent // 100) + int(spare(n))
 
 
 # --- regions -------------------------------------------------------------------------------------------------------
 
 def _grams(percent: int):
-    """(g, id, p1, n, most) of each key of a prefix: ``most`` is the largest partner that the key's place allows.
+    """(g, id, q, n, most) of each key of a prefix: ``most`` is the largest partner that the key's place allows.
 
-    If the key at place i (from 0) is the first one that two sets share, they
-    share at most n - i; sizes n and m need percent / (100 + percent) * (n + m).
+    If the key at place i (from 0) is among the first ``spare`` ones that two
+    sets share, they share at most n - i and those before it; sizes n and m need
+    percent / (100 + percent) * (n + m).  ``q`` tells sets of one id apart.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,11 +192,11 @@ def _grams(percent: int):
             lengths = [len(x) for x in keys]
             n = np.repeat(batch["n_shingles"].to_numpy(), lengths)
             place = np.concatenate([np.arange(x) for x in lengths])
-            most = np.minimum((n - place) * (100 + percent) // percent - n, n * 100 // percent)
+            most = np.minimum((n - place + spare(n) - 1) * (100 + percent) // percent - n, n * 100 // percent)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys)), pa.array(np.repeat(batch["doc_id"].to_numpy(), lengths)),
-                 pa.array(np.repeat(batch["p1"].to_numpy(), lengths)), pa.array(n), pa.array(most)],
-                names=["g", "id", "p1", "n", "most"])
+                 pa.array(np.repeat(batch["p1"].to_numpy().astype(np.int32), lengths)), pa.array(n.astype(np.int32)),
+                 pa.array(most.astype(np.int32))], names=["g", "id", "q", "n", "most"])
 
     return run
 
@@ -197,13 +206,13 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Only the last row is carried from batch to batch; ``r`` numbers the runs of the task.
     """
-    names = ["g", "id", "p1", "n", "most"]
+    names = ["g", "id", "q", "n", "most"]
     run, reach, last = 0, 0, None
 
     def out(rows: list[np.ndarray], runs: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
         g, i, p, n, _ = (r[keep] for r in rows)
         return pa.RecordBatch.from_arrays([pa.array(g), pa.array(runs[keep]), pa.array(i), pa.array(p), pa.array(n)],
-                                          names=["g", "r", "id", "p1", "n"])
+                                          names=["g", "r", "id", "q", "n"])
 
     paired = False  # whether the carried row's run had a row before it
     for batch in batches:
@@ -212,7 +221,7 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [batch[c].to_numpy() for c in names]
         if last is not None:
             rows = [np.concatenate([[x], y]) for x, y in zip(last, rows)]
-        g, n, most = rows[0], rows[3], rows[4].copy()
+        g, n, most = rows[0], rows[3], rows[4].astype(np.int64)
         if last is not None:
             most[0] = max(most[0], reach)
         # The farthest reach of the earlier rows of the same n-gram.
@@ -237,16 +246,29 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def regions(heads: DataFrame, percent: int) -> DataFrame:
-    """(g, id, p1, n): members of the runs of each n-gram, runs of one member left out; ``g`` names the run."""
-    grams = heads.select(*PRINT, "s").mapInArrow(_grams(percent), "g long, id long, p1 long, n long, most long")
-    runs = grams.repartition("g").sortWithinPartitions("g", "n").mapInArrow(_cut_runs, "g long, r long, id long, p1 long, n long")
-    return runs.select(F.xxhash64("g", "r", F.spark_partition_id()).alias("g"), "id", "p1", "n")
+    """(g, id, q, n): members of the runs of each n-gram, runs of one member left out; ``g`` names the run."""
+    grams = heads.select(*PRINT, "s").mapInArrow(_grams(percent), "g long, id long, q int, n int, most int")
+    runs = grams.repartition("g").sortWithinPartitions("g", "n").mapInArrow(_cut_runs, "g long, r long, id long, q int, n int")
+    return runs.select(F.xxhash64("g", "r", F.spark_partition_id()).alias("g"), "id", "q", "n")
+
+
+def often_met(left: DataFrame, percent: int) -> DataFrame:
+    """Members that are in as many regions as a link's shared n-grams need; regions of one member left out.
+
+    The smallest partner has ``percent`` of a member's size, and shares the
+    spare n-grams of the smaller one.
+    """
+    need = F.greatest(F.floor(F.ceil(F.col("n") * percent / 100) / SPARE), F.lit(1))
+    members = left.groupBy("id", "q", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need).select("id", "q")
+    rows = left.join(members, ["id", "q"], "left_semi")
+    shared = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
+    return rows.join(shared, "g", "left_semi")
 
 
 def distinct_regions(left: DataFrame) -> DataFrame:
     """One region of those with the same members (told apart by count, ends and two 64-bit sums of hashes)."""
-    same = [F.count(F.lit(1)), F.min("id"), F.max("id"), F.bit_xor(F.xxhash64("id", "p1")),
-            F.bit_xor(F.xxhash64("id", "p1", F.lit(1)))]
+    same = [F.count(F.lit(1)), F.min("id"), F.max("id"), F.bit_xor(F.xxhash64("id", "q")),
+            F.bit_xor(F.xxhash64("id", "q", F.lit(1)))]
     marks = left.groupBy("g").agg(*[c.alias(f"m{k}") for k, c in enumerate(same)])
     first = marks.groupBy(*[f"m{k}" for k in range(len(same))]).agg(F.min("g").alias("g")).select("g")
     return left.join(first, "g", "left_semi")
@@ -255,8 +277,8 @@ def distinct_regions(left: DataFrame) -> DataFrame:
 def outer_regions(left: DataFrame) -> DataFrame:
     """Regions that are not part of the largest region of all their members."""
     sized = left.join(left.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "g")
-    home = sized.groupBy("id", "p1").agg(F.max(F.struct("size", "g"))["g"].alias("home"))
-    homes = left.join(home, ["id", "p1"]).groupBy("g").agg(F.min("home").alias("lo"), F.max("home").alias("hi"))
+    home = sized.groupBy("id", "q").agg(F.max(F.struct("size", "g"))["g"].alias("home"))
+    homes = left.join(home, ["id", "q"]).groupBy("g").agg(F.min("home").alias("lo"), F.max("home").alias("hi"))
     return left.join(homes.where("lo <> hi or lo = g").select("g"), "g", "left_semi")
 
 
@@ -445,7 +467,7 @@ def block_pairs(cells: DataFrame, weight: int) -> DataFrame:
 
 def join_all(left: DataFrame, sets: DataFrame, percent: int, work: WorkTables, weight: int | None = None,
              pivots: int = PIVOTS) -> DataFrame:
-    """(a, b): links of all regions (g, id, p1, n) that connect whatever links of the sets (id, p1, s) connect."""
+    """(a, b): links of all regions (g, id, q, n) that connect whatever links of the sets (id, q, s) connect."""
     weight = weight or WEIGHT
 
     def by_weight(rows: DataFrame, name: str):
@@ -454,7 +476,7 @@ def join_all(left: DataFrame, sets: DataFrame, percent: int, work: WorkTables, w
         return heavy, rows.join(heavy, "g", "left_anti")
 
     def with_sets(rows: DataFrame) -> DataFrame:
-        return rows.join(sets, ["id", "p1"]).select("g", "id", "n", "s")
+        return rows.join(sets, ["id", "q"]).select("g", "id", "n", "s")
 
     def solve(rows: DataFrame) -> DataFrame:
         return rows.repartition("g").sortWithinPartitions("g").select("g", "id", "s").mapInArrow(
@@ -533,14 +555,39 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, wei
         heads = (plain.mapInArrow(_set_rows(k, levels, percent), SET_ROWS).dropDuplicates(PRINT)
                  .join(classes.select(*PRINT), PRINT, "left_semi"))
         met = work.keep(regions(heads, percent), "met")
-        left = work.keep(outer_regions(distinct_regions(met)), "regions")
+        often = work.keep(often_met(often_met(met, percent), percent), "often")
         work.drop("met")
+        left = work.keep(outer_regions(distinct_regions(often)), "regions")
+        work.drop("often")
         chosen = send(id_bitmap(left.select("id").distinct()))
         sets = (plain.mapInArrow(_set_rows(k, levels, None, chosen), SET_ROWS)
-                .select(F.col("doc_id").alias("id"), "p1", "s").dropDuplicates(["id", "p1"]))
+                .select(F.col("doc_id").alias("id"), F.expr("cast(p1 << 32 >> 32 as int)").alias("q"), "s").dropDuplicates(["id", "q"]))
         links = work.keep(join_all(left, sets, percent, work, weight, pivots), "links")
         parts = components(links, work)
     member = classes.join(parts, F.col("doc_id") == F.col("id"), "left").select(
         "n_shingles", "p1", "p2", F.coalesce("component", "doc_id").alias("component"))
     return (slim.join(member, ["n_shingles", "p1", "p2"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+
+
+#: The contract's result as DuckDB SQL over ``documents``: shingles, pairs that share one, labels spread along links.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + 4], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n, list(g ORDER BY g) AS gs FROM s GROUP BY doc_id),
+c AS MATERIALIZED (SELECT gs, any_value(n) AS n, min(doc_id) AS rep FROM n GROUP BY gs),
+r AS MATERIALIZED (SELECT s.* FROM s JOIN c ON doc_id = rep),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM r AS x JOIN r AS y ON x.g = y.g AND x.doc_id < y.doc_id
+                    GROUP BY ALL) JOIN c AS ca ON ca.rep = a JOIN c AS cb ON cb.rep = b
+  WHERE 100 * common >= 80 * (ca.n + cb.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS id, rep AS root FROM c UNION SELECT edges.b, reach.root FROM reach JOIN edges ON edges.a = reach.id),
+roots AS (SELECT id, min(root) AS root FROM reach GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(roots.root, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (gs) LEFT JOIN roots ON roots.id = c.rep
+"""

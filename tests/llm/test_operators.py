@@ -336,7 +336,7 @@ def test_regions_join_exactly_and_cells_of_one_component_are_done():
 def test_runs_are_cut_alike_in_any_batches():
     rng = random.Random(12)
     rows = sorted((rng.randint(0, 30), rng.randint(1, 60), k) for k in range(600))
-    cols = {"g": [r[0] for r in rows], "id": [r[2] for r in rows], "p1": [0] * 600, "n": [r[1] for r in rows],
+    cols = {"g": [r[0] for r in rows], "id": [r[2] for r in rows], "q": [0] * 600, "n": [r[1] for r in rows],
             "most": [r[1] + rng.randint(-3, 4) for r in rows]}
     import pyarrow as pa
     whole = pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in cols.items()})
