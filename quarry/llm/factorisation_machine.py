@@ -127,7 +127,7 @@ def _with_meta(docs: DataFrame) -> Column:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        meta = np.array([np.nan if x is None else x for x in batch["_meta"].to_pylist()])
+        meta = np.array([np.nan if x is None else x for x in batch["_meta_of_text"].to_pylist()])
         for first, last, rows in features(batch["text"], meta):
             part = batch.slice(first, last - first)
             yield pa.RecordBatch.from_arrays(
@@ -145,8 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most
     chosen = (known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                        _with_meta(docs).alias("_meta"))
-    got = (plain.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_meta", "quality")
+                        _with_meta(docs).alias("_meta_of_text"))
+    got = (plain.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_meta_of_text", "quality")
            .mapInArrow(_sparse, "doc_id long, quality int, i array<int>, x array<double>").dropDuplicates(["doc_id"]).toPandas())
     got = got.sort_values("doc_id", kind="stable")
     rows = [(np.asarray(i, np.int64), np.asarray(x, float)) for i, x in zip(got["i"], got["x"])]
@@ -156,12 +156,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            meta = np.array([np.nan if x is None else x for x in batch["_meta"].to_pylist()])
+            meta = np.array([np.nan if x is None else x for x in batch["_meta_of_text"].to_pylist()])
             for first, last, rows in features(batch["text"], meta):
                 part = batch.slice(first, last - first)
                 z = np.array([model.raw(i, x) for i, x in rows])
                 score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                keep = [c for c in part.schema.names if c != "_meta"]
+                keep = [c for c in part.schema.names if c != "_meta_of_text"]
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in keep), pa.array(score)], names=[*keep, "score"])
 
     return run
@@ -172,7 +172,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     plain = docs.drop("score").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in plain.schema.fields),
                            T.StructField("score", T.DoubleType())])
-    return plain.withColumn("_meta", _with_meta(docs)).mapInArrow(_score(model), schema)
+    return plain.withColumn("_meta_of_text", _with_meta(docs)).mapInArrow(_score(model), schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

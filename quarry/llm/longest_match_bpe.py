@@ -36,14 +36,32 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words and neighbour tests kept by a worker (the least recently used go).
-WORDS, PAIRS = 1 << 18, 1 << 17
+#: Words of at most ``LONGEST`` characters (the older half goes when full) and neighbour tests
+#: (the least recently used go) that a worker keeps.
+WORDS, LONGEST, PAIRS = 1 << 18, 64, 1 << 17
 #: Words of one text in memory at a time, and characters or ids read for one batch of results.
 SLICE, BATCH = 1 << 18, 1 << 18
 
 MATCHED = methodcaller("group")
 
 
+class Words(dict):
+    """The ids of words met before; a word that is missing is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(word) <= LONGEST:
+            if len(self) >= WORDS:
+                for old in list(islice(self, WORDS // 2)):
+                    del self[old]
+            self[word] = ids
+        return ids
+
+
 class Ranks:
     """A vocabulary whose merge order is its id order, as in files of ranks."""
 
@@ -69,7 +87,7 @@ class Ranks:
             self.shorter[i] = next((known[label[:n]] for n in range(len(label) - 1, 0, -1) if label[:n] in known), None)
         self.automaton.make_automaton()
         self.fits = lru_cache(PAIRS)(self._fits)
-        self.word = lru_cache(WORDS)(self._word)
+        self.words = Words(self._word)
 
     def _find_halves(self, label: bytes, i: int) -> bool:
         for cut in range(1, len(label)):
@@ -141,7 +159,7 @@ class Encoder:
         self.decimals = list(map(str, range(self.ranks.size)))
 
     def encode(self, text: str) -> array:
-        word = self.ranks.word
+        word = self.ranks.words.__getitem__
         if len(text) <= SLICE:
             return array("i", b"".join(map(word, self.split.findall(text))))
         found, ids = self.split.finditer(text), array("i")
@@ -161,7 +179,7 @@ _MADE: dict[tuple[str, str], Encoder] = {}
 
 
 def encoder(path: str, pattern: str) -> Encoder:
-    """The worker's encoder of one rank file (the last one used stays, without its words)."""
+    """The worker's encoder of one rank file (the last one used stays, with its bounded tables)."""
     if (path, pattern) not in _MADE:
         _MADE.clear()
         _MADE[path, pattern] = Encoder(path, pattern)
@@ -172,19 +190,16 @@ def _rows(path: str, pattern: str, column: str, row, fields: list[pa.Field]):
     """A function on Arrow batches: ``row(encoder, value)`` of each value of ``column``, in small batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        try:
-            for batch in batches:
-                rows, n = [], 0
-                for doc, value in zip(batch["doc_id"], batch[column]):
-                    rows.append((doc.as_py(), *row(own, value)))
-                    n += len(value) if column == "ids" and value.is_valid else len(value.as_py() or "")
-                    if n >= BATCH:
-                        yield _batch(rows, fields)
-                        rows, n = [], 0
-                if rows:
+        for batch in batches:
+            rows, n = [], 0
+            for doc, value in zip(batch["doc_id"], batch[column]):
+                rows.append((doc.as_py(), *row(own, value)))
+                n += len(value) if column == "ids" and value.is_valid else len(value.as_py() or "")
+                if n >= BATCH:
                     yield _batch(rows, fields)
-        finally:
-            own.ranks.word.cache_clear()
+                    rows, n = [], 0
+            if rows:
+                yield _batch(rows, fields)
 
     return run
 
