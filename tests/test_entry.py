@@ -11,8 +11,9 @@ from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"forest_search", "boost_search", "classifier_report", "recommender_backtest",
-        "taste_clusters", "cluster_genres", "validation_curve"}
+# Minutes of small tree fits whatever the data; test_model_checks runs the same job with small grids
+# (and test_jobs the taste clusters).
+SLOW = {"boost_search", "classifier_report", "taste_clusters"}
 
 
 def _norm(v):
