@@ -52,7 +52,7 @@ def row_hash(df: DataFrame) -> Column:
 class Cuts(NamedTuple):
     by: list[str]
     order: list[Column]
-    #: One row per class: ``_g`` and ``_cuts``, per fraction the key of the last head row
+    #: One row per class: ``_cut_class`` and ``_cut_list``, per fraction the key of the last head row
     #: (``k``, NULL: empty head), copies of it in all (``copies``) and in the head (``inside``).
     table: DataFrame
     broadcast: bool
@@ -77,12 +77,12 @@ def find_cuts(df: DataFrame, by: Sequence[str], order: Sequence[Column], fractio
         raise ValueError("fractions must ascend")
     with WorkTables(df.sparkSession, "cuts") as work:
         # The row number spreads equal keys over ranges; their order among themselves means nothing.
-        keys = df.select(_class(by).alias("_g"), _key(df, order).alias("_k"), F.monotonically_increasing_id().alias("_r"))
-        placed = in_ranges(keys, [F.col("_g"), F.col("_k"), F.col("_r")], work).drop("_r")
-        parts = placed.groupBy("_part", "_g").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
-        earlier = Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        keys = df.select(_class(by).alias("_cut_class"), _key(df, order).alias("_cut_key"), F.monotonically_increasing_id().alias("_r"))
+        placed = in_ranges(keys, [F.col("_cut_class"), F.col("_cut_key"), F.col("_r")], work).drop("_r")
+        parts = placed.groupBy("_part", "_cut_class").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
+        earlier = Window.partitionBy("_cut_class").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
         parts = (parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-                 .withColumn("_all", F.sum("_n").over(Window.partitionBy("_g"))))
+                 .withColumn("_all", F.sum("_n").over(Window.partitionBy("_cut_class"))))
         wanted = F.array(*[F.struct(F.lit(i).alias("i"), _floor_of(F.col("_all"), s, min_class).alias("need"))
                            for i, s in enumerate(shares)])
         parts = parts.select("*", F.explode(wanted).alias("_w")).select("*", "_w.i", "_w.need").drop("_w")
@@ -90,28 +90,27 @@ def find_cuts(df: DataFrame, by: Sequence[str], order: Sequence[Column], fractio
         # Rows that end a head: one per class and fraction, none where the head is empty.
         ends = (at.where((F.col("_before") < F.col("need")) & (F.col("need") <= F.col("_before") + F.col("_n")))
                 .select("_part", (F.col("_first") + F.col("need") - F.col("_before") - 1).alias("_pos"), "i", "need"))
-        found = placed.join(ends, ["_part", "_pos"]).select("_g", "i", "need", F.col("_k").alias("k"))
+        found = placed.join(ends, ["_part", "_pos"]).select("_cut_class", "i", "need", F.col("_cut_key").alias("k"))
         found = work.keep(found, "found")
-        met = placed.join(found, "_g").where(F.col("_k") <= F.col("k"))
-        copies = met.groupBy("_g", "i").agg(
-            F.count(F.when(F.col("_k") == F.col("k"), 1)).alias("copies"),
-            F.count(F.when(F.col("_k") < F.col("k"), 1)).alias("below"))
-        ready = (found.join(copies, ["_g", "i"])
-                 .select("_g", "i", "k", "copies", (F.col("need") - F.col("below")).alias("inside")))
-        classes = at.select("_g", "i").distinct()
-        table = (classes.join(ready, ["_g", "i"], "left").groupBy("_g")
-                 .agg(F.sort_array(F.collect_list(F.struct("i", "k", "copies", "inside"))).alias("_cuts")))
+        met = placed.join(found, "_cut_class").where(F.col("_cut_key") <= F.col("k"))
+        copies = met.groupBy("_cut_class", "i").agg(
+            F.count(F.when(F.col("_cut_key") == F.col("k"), 1)).alias("copies"),
+            F.count(F.when(F.col("_cut_key") < F.col("k"), 1)).alias("below"))
+        ready = (found.join(copies, ["_cut_class", "i"])
+                 .select("_cut_class", "i", "k", "copies", (F.col("need") - F.col("below")).alias("inside")))
+        classes = at.select("_cut_class", "i").distinct()
+        table = (classes.join(ready, ["_cut_class", "i"], "left").groupBy("_cut_class")
+                 .agg(F.sort_array(F.collect_list(F.struct("i", "k", "copies", "inside"))).alias("_cut_list")))
         table = work.keep(table, "cuts", result=True)
     size, partial = table.agg(F.sum(F.length(F.to_json(F.struct("*")))),
-                              F.max(F.exists("_cuts", lambda c: c["inside"] < c["copies"]))).first()
+                              F.max(F.exists("_cut_list", lambda c: c["inside"] < c["copies"]))).first()
     return Cuts(list(by), list(order), table, (size or 0) <= BROADCAST_BYTES, bool(partial))
 
 
 def _floor_of(n: Column, share: Fraction, min_class: int) -> Column:
-    # 38 digits hold any row count times any numerator exactly.
+    # 38 digits hold any row count times any numerator exactly; integer division does not round.
     whole = F.lit(share.numerator).cast("decimal(10,0)") * n.cast("decimal(20,0)")
-    need = F.floor(whole / F.lit(share.denominator).cast("decimal(10,0)")) if share.denominator > 1 else whole
-    need = need.cast("long")
+    need = F.call_function("div", whole, F.lit(share.denominator).cast("decimal(10,0)")).cast("long")
     return F.when(n < min_class, n).otherwise(need) if min_class else need
 
 
@@ -122,15 +121,15 @@ def label(df: DataFrame, cuts: Cuts, band: str = "band", only: Column | None = N
     ``only`` does not hold get NULL.
     """
     columns = df.columns
-    keyed = df.withColumns({"_g": _class(cuts.by), "_k": _key(df, cuts.order)})
+    keyed = df.withColumns({"_cut_class": _class(cuts.by), "_cut_key": _key(df, cuts.order)})
     table = F.broadcast(cuts.table) if cuts.broadcast else cuts.table
-    keyed = keyed.join(table, "_g", "left")
-    missed = F.size(F.filter("_cuts", lambda c: c["k"].isNull() | (c["k"] < F.col("_k")))).cast("int")
+    keyed = keyed.join(table, "_cut_class", "left")
+    missed = F.size(F.filter("_cut_list", lambda c: c["k"].isNull() | (c["k"] < F.col("_cut_key")))).cast("int")
     if only is not None:
         missed = F.when(only, missed)
     if not cuts.partial:
         return keyed.withColumn(band, missed).select(*columns, band)
-    split = F.exists("_cuts", lambda c: (c["k"] == F.col("_k")) & (c["inside"] < c["copies"]))
+    split = F.exists("_cut_list", lambda c: (c["k"] == F.col("_cut_key")) & (c["inside"] < c["copies"]))
     split = F.coalesce(split if only is None else split & only, F.lit(False))
     rest = keyed.where(~split).withColumn(band, missed).select(*columns, band)
     return rest.unionByName(_deal_copies(keyed.where(split), columns, band))
@@ -141,13 +140,13 @@ def _deal_copies(copies: DataFrame, columns: list[str], band: str) -> DataFrame:
     kinds = dict(copies.dtypes)
     plain = [c for c in columns if not kinds[c].startswith(("map", "variant"))]
     others = [c for c in columns if c not in plain]
-    counted = (copies.groupBy("_g", "_k", *plain, F.spark_partition_id().alias("_pid"))
-               .agg(F.count("*").alias("_n"), F.first("_cuts").alias("_cuts"), *[F.first(c).alias(c) for c in others]))
-    earlier = Window.partitionBy("_g", "_k").orderBy("_pid", *plain).rowsBetween(Window.unboundedPreceding, -1)
+    counted = (copies.groupBy("_cut_class", "_cut_key", *plain, F.spark_partition_id().alias("_pid"))
+               .agg(F.count("*").alias("_n"), F.first("_cut_list").alias("_cut_list"), *[F.first(c).alias(c) for c in others]))
+    earlier = Window.partitionBy("_cut_class", "_cut_key").orderBy("_pid", *plain).rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     # Copy number x (from 1) misses the heads that hold fewer than x copies.
-    inside = F.transform("_cuts", lambda c: F.when(c["k"].isNull() | (c["k"] < F.col("_k")), F.lit(0).cast("long"))
-                         .when(c["k"] == F.col("_k"), c["inside"]).otherwise(F.lit(2 ** 62)))
+    inside = F.transform("_cut_list", lambda c: F.when(c["k"].isNull() | (c["k"] < F.col("_cut_key")), F.lit(0).cast("long"))
+                         .when(c["k"] == F.col("_cut_key"), c["inside"]).otherwise(F.lit(2 ** 62)))
     dealt = counted.withColumn("_inside", inside).repartition("_pid")
     dealt = dealt.withColumn("_x", F.explode(F.sequence(F.col("_off") + 1, F.col("_off") + F.col("_n"))))
     return (dealt.withColumn(band, F.size(F.filter("_inside", lambda n: n < F.col("_x"))).cast("int"))

@@ -48,6 +48,7 @@ def test_small_fractions_of_many_rows_are_exact(spark):
     df = spark.range(100_000).select(F.col("id").alias("k"), F.lit("x").alias("c"))
     assert sampling.stratified_split(df, "c", "k", 0.00004).where("split = 'train'").count() == 4
     assert sampling.stratified_split(df.limit(99_999), "c", "k", 1 / 3).where("split = 'train'").count() == 33_333
+    assert sampling.stratified_split(df.limit(3), "c", "k", 0.999999999).where("split = 'train'").count() == 2
     with pytest.raises(ValueError):
         sampling.stratified_split(df, "c", "k", 1.5)
 
