@@ -1,5 +1,7 @@
 """Invariants of the model jobs (the reference prints them; we assert them)."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -93,3 +95,19 @@ def test_ratings_split_fingerprint_invariants(spark):
         assert tr.n == (total * int(round(f * 10000))) // 10000 and tr.n + te.n == total
         assert tr.last_ts <= te.first_ts
         assert tr.item_sum + te.item_sum == by[(0.4, "train")].item_sum + by[(0.4, "test")].item_sum
+
+
+def test_als_fit_deletes_the_shuffle_files_of_its_iterations(spark):
+    def files():
+        return spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().size()
+
+    rows = [(u, i, float(1 + (u * i) % 5), t) for t, (u, i) in enumerate((u, i) for u in range(60) for i in range(20))]
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, rating double, ts long")
+    parts = recommender.temporal_parts(ratings, (0.8,))
+    gone = time.time() + 20
+    before = files()
+    _, fitted = recommender.backtest(spark, None, {"x": {"rank": 3, "max_iter": 10, "reg_param": 0.1}}, (0.8,), parts=parts)
+    # One iteration has 2 shuffles of 10 blocks; ten of them, kept, are more than 500 files.
+    while (left := files() - before) > 250 and time.time() < gone:
+        time.sleep(0.5)
+    assert left <= 250 and fitted[("x", 0.8)].userFactors.count() == 48  # of the first 960 ratings
