@@ -24,7 +24,8 @@ order of the n-grams, two sets within the distance share one of their first ones
    far apart, exact distances from them link what is near, every member goes to
    the Voronoi cell of its nearest pivot and, as a boundary member, to each cell
    whose pivot is at most twice the join distance farther; cells of one component
-   are done, the others are joined in the same way without the pivots.
+   are done, the others are joined in the same way without the pivots.  Where cells
+   overlap so much that they hold more pairs than the members left, these stay one cell.
 5. Regions of more than ``WEIGHT`` n-grams are not given to one task: they are
    divided by the same step as a Spark job, and what still is too heavy then is
    joined in pairs of blocks, members near the pivot only with those that are not.
@@ -309,6 +310,8 @@ class _Region:
         self.grams, self.codes = np.unique(np.concatenate(sets), return_inverse=True)
         self.parent = list(range(len(ids)))
         self.links: list[tuple[int, int]] = []
+        #: A number for each n-gram, 0 between uses: what a cell costs depends on its own n-grams only.
+        self.counts = np.zeros(len(self.grams), np.int64)
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -329,7 +332,9 @@ class _Region:
         """Members of whose n-grams others of the cell hold as many as a link needs."""
         while len(cell) > 1:
             codes, begin = self.flat(cell)
-            shared = np.bincount(codes, minlength=len(self.grams))[codes] > 1
+            np.add.at(self.counts, codes, 1)
+            shared = self.counts[codes] > 1
+            self.counts[codes] = 0
             enough = 100 * np.add.reduceat(shared.astype(np.int64), begin) >= self.percent * self.sizes[cell]
             if enough.all():
                 break
@@ -338,9 +343,10 @@ class _Region:
 
     def distances(self, pivot: int, cell: np.ndarray, codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Exact distances of the cell from the pivot; near members join it."""
-        mark = np.zeros(len(self.grams), np.int64)
-        mark[self.codes[self.starts[pivot]:self.starts[pivot + 1]]] = 1
-        both = np.add.reduceat(mark[codes], begin)
+        own = self.codes[self.starts[pivot]:self.starts[pivot + 1]]
+        self.counts[own] = 1
+        both = np.add.reduceat(self.counts[codes], begin)
+        self.counts[own] = 0
         either = self.sizes[cell] + self.sizes[pivot] - both
         for x in cell[100 * both >= self.percent * either]:
             a, b = self.root(pivot), self.root(int(x))
@@ -372,7 +378,12 @@ class _Region:
             table = np.array(rows)[:, rest]
             inside = table <= table.min(axis=0) + window
             # Cells of the same members are one.
-            cells += [cell[rest[row]] for row in np.unique(inside, axis=0) if row.sum() > 1]
+            inside = np.unique(inside, axis=0)
+            if (inside.sum(axis=1) ** 2).sum() > len(rest) ** 2:
+                # Cells that overlap so much hold more pairs than the members left, and would again and
+                # again: those stay together, which never takes more distances than there are pairs.
+                inside = np.ones((1, len(rest)), bool)
+            cells += [cell[rest[row]] for row in inside if row.sum() > 1]
         return [(self.ids[a], self.ids[b]) for a, b in self.links]
 
 

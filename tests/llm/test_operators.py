@@ -355,3 +355,28 @@ def test_runs_are_cut_alike_in_any_batches():
             for r, i in zip(batch["r"].to_pylist(), batch["id"].to_pylist()):
                 got.setdefault(r, []).append(i)
         assert sorted(got.values()) == want
+
+
+def test_jaccard_region_whose_cells_overlap_takes_no_more_distances_than_pairs(monkeypatch):
+    rng = np.random.default_rng(1)
+    sets = [np.sort(rng.choice(40, rng.integers(18, 38), replace=False)).astype("<u8") for _ in range(200)]
+    taken, measure = [], jaccard_join._Region.distances
+
+    def counted(self, pivot, cell, codes, begin):
+        taken.append(len(cell))
+        assert sum(taken) <= 2 * len(sets) ** 2
+        return measure(self, pivot, cell, codes, begin)
+
+    monkeypatch.setattr(jaccard_join._Region, "distances", counted)
+    plain = [set(s.tolist()) for s in sets]
+    linked = [(a, b) for b in range(len(sets)) for a in range(b)
+              if 100 * len(plain[a] & plain[b]) >= 80 * len(plain[a] | plain[b])]
+
+    def parts(pairs):
+        part = list(range(len(sets)))
+        for a, b in pairs:
+            part = [min(part[a], part[b]) if p in (part[a], part[b]) else p for p in part]
+        return part
+
+    assert parts(jaccard_join.join_region(list(range(len(sets))), sets)) == parts(linked)
+    assert len(set(parts(linked))) > 100
