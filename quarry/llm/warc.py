@@ -7,8 +7,9 @@ in small steps, frames the block by Content-Length and checks the digests.
 
 Of records with equal payloads of ``MIN_REVISIT`` bytes or more, the one with
 the smallest page_id is a response and the others revisit it; the digest's
-smallest id comes from a partial aggregation and a join that adaptive
-execution splits where one payload is very frequent.
+smallest id comes from a partial aggregation, written as a table, and a join
+that adaptive execution splits where one payload is very frequent, or a
+broadcast where few payloads repeat.
 
 Edge cases: NULL html is an empty payload; rows of equal id and payload are
 all the response (or revisits) of that id; a NULL page_id never is the
@@ -134,6 +135,7 @@ def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> tupl
     digest = F.sha2(F.col("html").cast("binary"), 256)
     firsts = (rows.where(F.octet_length("html") >= MIN_REVISIT).groupBy(digest.alias("digest"))
               .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    firsts = materialise(firsts, "warc-firsts")  # of known size: where payloads seldom repeat, the pages are not shuffled
     folder = work_folder(pages.sparkSession, "warc")
     refers = F.when(F.col("page_id").eqNullSafe(F.col("first")), F.lit(None)).otherwise(F.col("first"))
     joined = rows.withColumn("digest", digest).join(firsts, "digest", "left").withColumn("refers_to", refers).drop("first")

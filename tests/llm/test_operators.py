@@ -380,3 +380,23 @@ def test_jaccard_region_whose_cells_overlap_takes_no_more_distances_than_pairs(m
 
     assert parts(jaccard_join.join_region(list(range(len(sets))), sets)) == parts(linked)
     assert len(set(parts(linked))) > 100
+
+
+def test_warc_pages_are_not_shuffled_where_few_payloads_repeat(spark, monkeypatch):
+    plans, keep = [], warc.materialise
+
+    def seen(df, name, **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df, name, **options)
+
+    monkeypatch.setattr(warc, "materialise", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        pages = spark.createDataFrame([(i, "u", str(i % 299) * 1000) for i in range(300)], "page_id long, url string, html string")
+        got = {r.page_id: r.refers_to for r in warc.warc_round_trip(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: None for i in range(299)} | {299: 0}
+    plan = dict(plans)["warc-manifest"]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
