@@ -9,7 +9,8 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +97,15 @@ def score(predictions: DataFrame, label: str, metric: str, by: Sequence[str] = (
     return m.select(*by, F.lit(metric).alias("metric"), F.col(metric).cast("double").alias("value"))
 
 
+def add_mean(model, df: DataFrame, name: str) -> tuple[DataFrame, Column]:
+    """``df`` with the predictions of a Poisson or logistic model in columns of their own, and its predicted mean."""
+    model = model.copy().setPredictionCol(name)
+    if not model.hasParam("probabilityCol"):
+        return model.transform(df), F.col(name)
+    model = model.setRawPredictionCol(f"{name}_raw").setProbabilityCol(f"{name}_p")
+    return model.transform(df), vector_to_array(f"{name}_p")[1]
+
+
 def fit_and_score(spark: SparkSession, name: str, reg_param: float, parts: DataFrame,
                   fit_part: str, split_col: str = "split", features: str = "features",
                   label: str | None = None, names: Sequence[str] | None = None):

@@ -63,9 +63,10 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                     part["y"].to_numpy(zero_copy_only=False)])
             if not np.isfinite(rows).all():
                 raise ValueError("a feature or label is NULL, NaN or infinite")
-            groups = part["grp"].to_pylist()
-            for group in set(groups):
-                own = rows[[g == group for g in groups]]
+            groups = part["grp"].dictionary_encode(null_encoding="encode")
+            codes = groups.indices.to_numpy(zero_copy_only=False)
+            for code, group in enumerate(groups.dictionary.to_pylist()):
+                own = rows[codes == code]
                 mean = own.mean(axis=0)
                 own = own - mean
                 _add(found, group, Moments(len(own), mean, own.T @ own))

@@ -40,19 +40,41 @@ def _violation(gradient: np.ndarray, coefficients: np.ndarray, reg: float, alpha
     return np.where((coefficients == 0) & (alpha > 0), np.maximum(np.abs(ridge) - reg * alpha, 0.0), pulled)
 
 
+class Fitted(NamedTuple):
+    """A fitted model: its label and predicted mean as columns, coefficients and penalty."""
+
+    label: Column
+    mean: Column
+    coefficients: Sequence[float]
+    reg: float
+    alpha: float
+    family: str
+
+
+def residuals(scored: DataFrame, x: Column, fits: Sequence[Fitted]) -> list[Residual]:
+    """The conditions of models fitted on the same rows, from one pass of moments over these."""
+    columns = [c for f in fits for c in (f.label.cast("double"), f.mean - f.label)]
+    m = moments(scored, F.concat(x, F.array(*columns[:-1])), columns[-1])["all"]
+    width = len(m.mean) - len(columns)
+    deviation = np.sqrt(np.diag(m.products)[:width] / max(m.n - 1, 1))
+    scale = np.divide(1.0, deviation, out=np.zeros_like(deviation), where=deviation > 0)
+    out = []
+    for i, fit in enumerate(fits):
+        label, off = width + 2 * i, width + 2 * i + 1
+        w = np.array(fit.coefficients, float)
+        sum_label = m.mean[label] * m.n
+        sum_predicted = sum_label + m.mean[off] * m.n
+        # Sums of residual times feature, from centred products and means.
+        sums = m.products[:width, off] + m.n * m.mean[:width] * m.mean[off]
+        if fit.family == "poisson":
+            worst = _violation(sums / sum_predicted, w, fit.reg, fit.alpha) * scale * sum_predicted / m.n
+        else:
+            worst = _violation(sums / m.n * scale, w * deviation, fit.reg, fit.alpha)
+        out.append(Residual(m.n, float(sum_label), float(sum_predicted), float(max([abs(m.mean[off]), *worst]))))
+    return out
+
+
 def residual(scored: DataFrame, x: Column, y: Column, mean: Column, coefficients: Sequence[float], reg: float,
              alpha: float, family: str) -> Residual:
     """The conditions of a fitted model on its training rows; ``mean`` is the predicted mean."""
-    m = moments(scored, F.concat(x, F.array(y.cast("double"))), mean - y)["all"]
-    features, w = slice(0, len(m.mean) - 2), np.array(coefficients, float)
-    deviation = np.sqrt(np.diag(m.products)[features] / max(m.n - 1, 1))
-    sum_label = m.mean[-2] * m.n
-    sum_predicted = sum_label + m.mean[-1] * m.n
-    # Sums of residual times feature, from centred products and means.
-    sums = m.products[features, -1] + m.n * m.mean[features] * m.mean[-1]
-    scale = np.divide(1.0, deviation, out=np.zeros_like(deviation), where=deviation > 0)
-    if family == "poisson":
-        worst = _violation(sums / sum_predicted, w, reg, alpha) * scale * sum_predicted / m.n
-    else:
-        worst = _violation(sums / m.n * scale, w * deviation, reg, alpha)
-    return Residual(m.n, float(sum_label), float(sum_predicted), float(max([abs(m.mean[-1]), *worst])))
+    return residuals(scored, x, [Fitted(y, mean, coefficients, reg, alpha, family)])[0]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import features as feat
 from quarry.operators import models, sampling, selection
-from quarry.operators.optimality import residual
+from quarry.operators.optimality import Fitted, residuals
 from quarry.sources.worktables import WorkTables
 
 NUMERIC = ["total_price", "order_year", "order_month"]
@@ -38,6 +38,11 @@ def split_claims(labels: DataFrame, key: str = "policy_id", ratio: float = 0.7,
     return sampling.holdout_split(labels, "pp_claim_nb", key, ratio, inner_ratio, seed, seed + 1)
 
 
+def labelled(claims: DataFrame, work: WorkTables) -> DataFrame:
+    """The claims (often a join of tables) with their labels, written once: the cuts read them several times."""
+    return work.keep(feat.claim_labels(claims), "labelled")
+
+
 def featurize(parts: DataFrame, fit_part: str, work: WorkTables, numeric: Sequence[str] = NUMERIC,
               categorical: Sequence[str] = CATEGORICAL, key: str = "policy_id",
               split_col: str = "split") -> tuple[DataFrame, list[str]]:
@@ -61,7 +66,7 @@ def claim_models(spark: SparkSession, claims: DataFrame,
     Returns ``(metrics, coefficients)``.
     """
     with WorkTables(spark, "claims") as work:
-        fx, term_names = featurize(split_claims(feat.claim_labels(claims)), "train", work)
+        fx, term_names = featurize(split_claims(labelled(claims, work)), "train", work)
         return selection.sweep(spark, fx, names, reg_params, "train", names=term_names,
                                parallelism=parallelism)
 
@@ -75,8 +80,8 @@ def validation_curve(spark: SparkSession, claims: DataFrame,
     The 70 % training part is split again 90/10 (``fit`` / ``validate``);
     the test part is not touched.
     """
-    parts = split_claims(feat.claim_labels(claims), inner_ratio=0.9).filter(F.col("split") != "test")
     with WorkTables(spark, "claims") as work:
+        parts = split_claims(labelled(claims, work), inner_ratio=0.9).filter(F.col("split") != "test")
         fx, term_names = featurize(parts, "fit", work)
         metrics, _ = selection.sweep(spark, fx, names, reg_params, "fit", names=term_names,
                                      parallelism=parallelism)
@@ -94,20 +99,20 @@ def model_optimum(spark: SparkSession, claims: DataFrame, names: Sequence[str] =
                   reg_params: Sequence[float] = tuple(REG_PARAMS), parallelism: int = 8) -> DataFrame:
     """(model, reg_param, n, sum_label, sum_predicted, worst, at_optimum) of every fit on the training part."""
     with WorkTables(spark, "claims") as work:
-        fx, _ = featurize(split_claims(feat.claim_labels(claims)), "train", work)
+        fx, _ = featurize(split_claims(labelled(claims, work)), "train", work)
+        combos = [(n, r) for n in names for r in reg_params]
         train = fx.where(F.col("split") == "train")
-
-        def one(combo):
-            name, reg = combo
-            family, alpha = CONDITIONS[name]
-            model = models.make_estimator(name, reg).fit(train)
-            mean = F.col("prediction") if family == "poisson" else vector_to_array("probability")[1]
-            r = residual(model.transform(train), vector_to_array("features"), F.col(models.model_label(name)), mean,
-                         model.coefficients.toArray(), reg, alpha, family)
-            return name, float(reg), r.n, r.sum_label, r.sum_predicted, r.worst, r.worst <= OPTIMUM
-
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(one, [(n, r) for n in names for r in reg_params]))
+            fitted = list(pool.map(lambda c: models.make_estimator(*c).fit(train), combos))
+        # All fits are checked in one pass over the rows.
+        scored, checks = train, []
+        for i, ((name, reg), model) in enumerate(zip(combos, fitted)):
+            family, alpha = CONDITIONS[name]
+            scored, mean = models.add_mean(model, scored, f"_mean{i}")
+            checks.append(Fitted(F.col(models.model_label(name)), mean, model.coefficients.toArray(), reg, alpha, family))
+        found = residuals(scored, vector_to_array("features"), checks)
+        rows = [(name, float(reg), r.n, r.sum_label, r.sum_predicted, r.worst, r.worst <= OPTIMUM)
+                for (name, reg), r in zip(combos, found)]
     return spark.createDataFrame(rows, "model string, reg_param double, n long, sum_label double, sum_predicted double, "
                                        "worst double, at_optimum boolean")
 

@@ -9,10 +9,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from quarry.operators import optimality
 from quarry.operators.groups import top_k
 from quarry.operators.ranking import sums_before
 from quarry.operators.split_gains import gain_at, split_gains
-from quarry.plans import classifier, recommender
+from quarry.plans import claims, classifier, recommender
 from quarry.sources import tables
 from quarry.sources.readers import read_table
 from quarry.sources.worktables import WorkTables
@@ -135,3 +136,17 @@ def test_global_top_k_is_a_top_k_in_the_plan(spark):
     out = top_k(df, [F.col("count").desc(), F.col("x")], 3)
     assert [(r.x, r["rank"]) for r in out.collect()] == [(0, 1), (1, 2), (2, 3)]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_fits_are_checked_in_one_pass(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, float(rng.randint(0, 2)), float(rng.randint(1, 9)), 2020.0, float(i % 12), "xyz"[i % 3], "FO"[i % 2]) for i in range(300)]
+    df = spark.createDataFrame(rows, "policy_id long, claim_nb double, total_price double, order_year double, order_month double, "
+                                     "priority string, status string")
+    passes, moments = [], optimality.moments
+    monkeypatch.setattr(optimality, "moments", lambda *a, **k: passes.append(1) or moments(*a, **k))
+    out = claims.model_optimum(spark, df, reg_params=[0.01, 0.1]).collect()
+    n = sum(7 * sum(r[1] == c for r in rows) // 10 for c in (0.0, 1.0, 2.0))
+    assert len(passes) == 1 and len(out) == 6
+    for r in out:
+        assert r.at_optimum and r.n == n and abs(r.sum_label - r.sum_predicted) < 0.5, r
