@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import hash_order_key
-from quarry.operators import sampling
+from quarry.operators import cuts, sampling
 
 
 def _classes(spark):
@@ -169,3 +169,23 @@ def test_rows_are_not_exchanged(spark):
             assert "BroadcastHashJoin" in final and "hashpartitioning" not in final and "rangepartitioning" not in final
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string"])
+def test_only_keys_near_the_cuts_are_sorted(spark, monkeypatch, kind):
+    """The sorted keys are those of the buckets in which a cut falls, the split that of sorting all."""
+    sizes, in_ranges = [], cuts.in_ranges
+    monkeypatch.setattr(cuts, "in_ranges", lambda df, *a, **k: sizes.append(df.count()) or in_ranges(df, *a, **k))
+    df = spark.range(20_000).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("c"),
+        F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.xxhash64("id") % 5_000_000)).cast(kind).alias("ts"))
+    out = sampling.stratified_split(df, "c", "k", 0.7, seed=3)
+    assert sizes[0] <= 60
+    w = Window.partitionBy("c").orderBy(hash_order_key(F.col("k"), 3))
+    want = df.withColumn("split", F.when(F.row_number().over(w) <= 4666, "train").otherwise("test"))
+    assert out.count() == 20_000 and out.exceptAll(want).count() == 0
+    out = sampling.temporal_bands(df, "ts", "k", (0.01, 0.4, 0.8))
+    assert sizes[1] <= (20_000 if kind == "string" else 1_200)  # the rows without a time and two of 116 days
+    at = F.row_number().over(Window.orderBy("ts", "k"))
+    want = df.withColumn("band", sum((at > n).cast("int") for n in (200, 8_000, 16_000)).cast("int"))
+    assert out.count() == 20_000 and out.exceptAll(want).count() == 0
